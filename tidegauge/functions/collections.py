@@ -8,6 +8,10 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .shipping import ship_by_value
+
+ship_by_value(__name__)
+
 
 def all_present(values: Column) -> Column:
     return F.forall(values, lambda v: v.isNotNull())

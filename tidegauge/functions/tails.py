@@ -10,6 +10,10 @@ import math
 import pandas as pd
 from pyspark.sql import functions as F
 
+from .shipping import ship_by_value
+
+ship_by_value(__name__)
+
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
     tiny = 1e-300

@@ -124,6 +124,39 @@ def numbered_rows(df: DataFrame, order: Sequence[str], out: str, keys: Sequence[
     return placed.withColumn(out, F.col("_one_before") + 1).drop("_one", "_one_before", "_one_total")
 
 
+def carry_forward(
+    df: DataFrame,
+    order: Sequence[str],
+    value: str,
+    out: str,
+    *,
+    rows: int | None = None,
+    one_task_rows: int = ONE_TASK_ROWS,
+    slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """Last non-null `value` at or before each row in a total order: an as-of join over the union of both sides.
+
+    Like `running_totals`, cut by range once the table is larger than one task should order; each slice starts with
+    the last value of the slices before it.
+    """
+    if rows is None:
+        df, rows = stage_counted(df, "ordered")
+    if rows <= one_task_rows:
+        upto = Window.partitionBy(F.lit(0)).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(out, F.last(value, ignorenulls=True).over(upto))
+    slices = max(2, min(MAX_SLICES, -(-rows // slice_rows)))
+    cut = stage(df.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id()), "sliced")
+    ends = cut.groupBy("_slice").agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order))).alias("_end"))
+    before = Window.partitionBy(F.lit(0)).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ends.select(F.col("_slice").alias("_s"), F.last("_end", ignorenulls=True).over(before).alias("_start"))
+    local = Window.partitionBy("_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        cut.join(F.broadcast(starts), F.col("_slice") == F.col("_s"))  # one row per slice, at most MAX_SLICES
+        .withColumn(out, F.coalesce(F.last(value, ignorenulls=True).over(local), F.col("_start")))
+        .drop("_slice", "_s", "_start")
+    )
+
+
 def lookup(rows: DataFrame, table: DataFrame, keys: Sequence[str], *, table_rows: int) -> DataFrame:
     """Left-join a table that is unique on its keys, whose row count (or a bound of it) the caller has read.
 

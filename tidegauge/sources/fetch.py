@@ -12,6 +12,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.shipping import ship_by_value
+
+ship_by_value(__name__)
+
 FETCHED = "id bigint, payload string, error_type string, error string, attempts int, retries int"
 
 
