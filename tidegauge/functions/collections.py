@@ -44,18 +44,16 @@ def at(v: Column, path: str, as_type: str = "string") -> Column:
     return F.try_variant_get(v, f"$.{path}" if path else "$", as_type)
 
 
-def kind_of(v: Column) -> Column:
-    """absent, null, object, array, string, boolean or number."""
-    t = F.schema_of_variant(v)
-    return (
-        F.when(v.isNull(), "absent")
-        .when(t == "VOID", "null")
-        .when(F.startswith(t, F.lit("OBJECT")), "object")
-        .when(F.startswith(t, F.lit("ARRAY")), "array")
-        .when(t == "STRING", "string")
-        .when(t == "BOOLEAN", "boolean")
-        .otherwise("number")
-    )
+# Variant types that count as numbers.
+NUMBER_TYPES = ("BIGINT", "DECIMAL", "DOUBLE", "FLOAT", "INT", "SMALLINT", "TINYINT")
+
+
+def type_of(v: Column) -> Column:
+    """OBJECT, ARRAY, STRING, BOOLEAN, VOID (JSON null) or a number type; null where the value is absent.
+
+    Project it as a column of its own before comparing it several times.
+    """
+    return F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
 
 
 def json_fault(text: Column) -> Column:

@@ -66,8 +66,8 @@ def thousands(c: Column, digits: int = 2) -> Column:
 
 
 def percent(c: Column, digits: int = 1) -> Column:
-    return F.format_string(f"%.{digits}f%%", c * 100)
+    return F.format_string(f"%.{digits}f%%", F.bround(c * 100, digits))
 
 
 def signed(c: Column, digits: int = 2, suffix: str = "") -> Column:
-    return F.format_string(f"%+.{digits}f{suffix}", c)
+    return F.format_string(f"%+.{digits}f{suffix}", F.bround(c, digits))

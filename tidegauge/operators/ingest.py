@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CANONICAL_FIELDS
-from ..functions.collections import at, counts_map, kind_of, missing_names, parsed
+from ..functions.collections import NUMBER_TYPES, at, counts_map, missing_names, parsed, type_of
 from ..functions.text import numbered, strip
-from .scale import numbered_rows, salted_lookup
+from .scale import BROADCAST_ROWS, lookup, numbered_rows, salted_lookup, stage, stage_counted
 
 SUPPORTED_VERSIONS = (1, 2)
 OPTIONAL_FIELDS = ("total_charges",)
@@ -66,100 +66,119 @@ def to_events(rows: DataFrame, version: Column, *, order: str, period: str = "pe
     )
 
 
-def _version(v: Column) -> Column:
-    """The declared version where it is a number (a text "1" is none)."""
-    declared = at(v, "schema_version", "variant")
-    return F.when(kind_of(declared).isin("number", "boolean"), at(v, "schema_version", "double"))
-
-
-class _Reading:
-    """Column expressions that read one event, as sent or after the safe repair."""
-
-    def __init__(self, v: Column, repaired: bool):
-        self.is_object = kind_of(v) == "object"
-        self.event_id = strip(at(v, "event_id"))
-        self.payload_is_object = kind_of(at(v, "payload", "variant")) == "object"
-        version = _version(v)
-        supported = F.coalesce(version.isin(*map(float, SUPPORTED_VERSIONS)), F.lit(False))
-        flat = {f: at(v, f"payload.{f}") for f in CANONICAL_FIELDS}
-        nested = {f: at(v, f"payload.{p}") for f, p in V2_PATHS.items()}
-        churn = {1: at(v, "payload.churn", "variant"), 2: at(v, "payload.label.churn", "variant")}
-        if repaired:
-            # an unknown version with any canonical field at the top of the payload reads as version 1
-            has = F.lit(False)
-            for f in CANONICAL_FIELDS:
-                has = has | at(v, f"payload.{f}", "variant").isNotNull()
-            version = F.when(~supported & self.payload_is_object & has, 1.0).otherwise(version)
-            supported = F.coalesce(version.isin(*map(float, SUPPORTED_VERSIONS)), F.lit(False))
-            # aliases count only where the proper key is absent, not where it is null
-            absent = lambda path: at(v, path, "variant").isNull()
-            flat["customer_id"] = F.when(absent("payload.customer_id"), at(v, "payload.customerId")).otherwise(
-                flat["customer_id"]
-            )
-            nested["customer_id"] = F.when(absent("payload.customerId"), at(v, "payload.customer_id")).otherwise(
-                nested["customer_id"]
-            )
-            nested["monthly_charges"] = F.when(
-                absent("payload.billing.monthlyCharges"), at(v, "payload.monthly_charges")
-            ).otherwise(nested["monthly_charges"])
-        self.version, self.supported = version, supported
-        self.second = version == 2.0
-        self.fields = {f: F.when(self.second, nested[f]).otherwise(flat[f]) for f in CANONICAL_FIELDS}
-        self.nested_objects = {p: kind_of(at(v, f"payload.{p}", "variant")) == "object" for p in V2_OBJECTS}
-        self.period = at(v, "payload.period")
-        mark = F.when(self.second, churn[2]).otherwise(churn[1])
-        number = F.when(kind_of(mark).isin("number", "boolean"), F.try_variant_get(mark, "$", "double"))
-        self.churn_ok = F.coalesce(number.isin(0.0, 1.0), F.lit(False))
-
-    def failure(self) -> Column:
-        """struct(code, message) of the first failing check, null for a valid event."""
-        absent = missing_names({f: c for f, c in self.fields.items() if f not in OPTIONAL_FIELDS})
-        lost_object = F.lit(None).cast("string")
-        for p in reversed(V2_OBJECTS):
-            lost_object = F.when(~self.nested_objects[p], F.lit(p)).otherwise(lost_object)
-        lost_object = F.when(~self.payload_is_object, F.lit("payload")).when(self.second, lost_object)
-
-        def fault(code: str, message: Column) -> Column:
-            return F.struct(F.lit(code).alias("code"), message.alias("message"))
-
-        shown = F.coalesce(self.version.cast("bigint").cast("string"), F.lit("none"))
-        return (
-            F.when(~self.is_object, fault("invalid_event", F.lit("an event must be an object")))
-            .when(
-                self.event_id.isNull() | (self.event_id == ""), fault("missing_event_id", F.lit("event_id is missing"))
-            )
-            .when(
-                ~self.supported,
-                fault("unsupported_schema", F.concat(F.lit("unsupported schema version: "), shown)),
-            )
-            .when(
-                lost_object.isNotNull(),
-                fault("invalid_structure", F.concat(lost_object, F.lit(" must be an object"))),
-            )
-            .when(
-                F.size(absent) > 0,
-                fault("missing_required_field", F.concat(F.lit("missing fields: "), F.array_join(absent, ", "))),
-            )
-            .when(~self.churn_ok, fault("invalid_churn", F.lit("churn must be 0 or 1")))
-        )
+# Columns every reading needs besides the 2 x 10 field texts: projected once, then compared by name.
+_WORK = "_w_"
+
+
+def _w(name: str) -> Column:
+    return F.col(_WORK + name)
+
+
+def _is(name: str, wanted: str) -> Column:
+    return F.coalesce(_w(name) == wanted, F.lit(False))
+
+
+def _read(events: DataFrame, event: str) -> DataFrame:
+    """Parse once and project every leaf of both payload shapes as its own column."""
+    v = F.col("_v")
+    number = lambda path: F.when(
+        type_of(at(v, path, "variant")).isin(*NUMBER_TYPES, "BOOLEAN"), at(v, path, "double")
+    )
+    leaves = {
+        "root": type_of(v),
+        "event_id": strip(at(v, "event_id")),
+        "version": number("schema_version"),
+        "payload": type_of(at(v, "payload", "variant")),
+        "period": at(v, "payload.period"),
+        "churn1": number("payload.churn"),
+        "churn2": number("payload.label.churn"),
+        "no_flat_id": at(v, "payload.customer_id", "variant").isNull(),
+        "no_nested_id": at(v, "payload.customerId", "variant").isNull(),
+        "no_nested_monthly": at(v, "payload.billing.monthlyCharges", "variant").isNull(),
+    }
+    leaves |= {f"object_{p}": type_of(at(v, f"payload.{p}", "variant")) for p in V2_OBJECTS}
+    leaves |= {f"flat_{f}": at(v, f"payload.{f}") for f in CANONICAL_FIELDS}
+    leaves |= {f"nested_{f}": at(v, f"payload.{p}") for f, p in V2_PATHS.items()}
+    # presence of a key, which may hold a null
+    any_flat = F.lit(False)
+    for f in CANONICAL_FIELDS:
+        any_flat = any_flat | at(v, f"payload.{f}", "variant").isNotNull()
+    leaves["any_flat"] = any_flat
+    return events.withColumn("_v", parsed(F.col(event))).withColumns({_WORK + n: c for n, c in leaves.items()}).drop("_v")
+
+
+def _supported(version: Column) -> Column:
+    return F.coalesce(version.isin(*map(float, SUPPORTED_VERSIONS)), F.lit(False))
+
+
+def _judge(read: DataFrame, side: str, repaired: bool) -> DataFrame:
+    """Add the event as read in one way, as sent or after the safe repair: `<side>_code`, `<side>_message`, fields."""
+    s = lambda n: F.col(f"{side}_{n}")
+    version = _w("version")
+    if repaired:
+        # an unknown version with any canonical field at the top of the payload reads as version 1
+        version = F.when(~_supported(version) & _is("payload", "OBJECT") & _w("any_flat"), 1.0).otherwise(version)
+    out = read.withColumn(f"{side}_version", version)
+    out = out.withColumn(f"{side}_second", F.coalesce(s("version") == 2.0, F.lit(False)))
+    flat = {f: _w(f"flat_{f}") for f in CANONICAL_FIELDS}
+    nested = {f: _w(f"nested_{f}") for f in CANONICAL_FIELDS}
+    if repaired:
+        # an alias counts only where the proper key is absent, not where it is null
+        flat["customer_id"] = F.when(_w("no_flat_id"), _w("nested_customer_id")).otherwise(_w("flat_customer_id"))
+        nested["customer_id"] = F.when(_w("no_nested_id"), _w("flat_customer_id")).otherwise(_w("nested_customer_id"))
+        nested["monthly_charges"] = F.when(
+            _w("no_nested_monthly") & _is("object_billing", "OBJECT"), _w("flat_monthly_charges")
+        ).otherwise(_w("nested_monthly_charges"))
+    out = out.withColumns({f"{side}_{f}": F.when(s("second"), nested[f]).otherwise(flat[f]) for f in CANONICAL_FIELDS})
+    lost = F.lit(None).cast("string")
+    for p in reversed(V2_OBJECTS):
+        lost = F.when(~_is(f"object_{p}", "OBJECT"), F.lit(p)).otherwise(lost)
+    out = out.withColumns(
+        {
+            f"{side}_lost": F.when(~_is("payload", "OBJECT"), F.lit("payload")).when(s("second"), lost),
+            f"{side}_absent": missing_names({f: s(f) for f in CANONICAL_FIELDS if f not in OPTIONAL_FIELDS}),
+            f"{side}_label": F.when(s("second"), _w("churn2")).otherwise(_w("churn1")),
+        }
+    )
+    # the first failing check names the failure
+    code = (
+        F.when(~_is("root", "OBJECT"), "invalid_event")
+        .when(F.coalesce(_w("event_id"), F.lit("")) == "", "missing_event_id")
+        .when(~_supported(s("version")), "unsupported_schema")
+        .when(s("lost").isNotNull(), "invalid_structure")
+        .when(F.size(s("absent")) > 0, "missing_required_field")
+        .when(~F.coalesce(s("label").isin(0.0, 1.0), F.lit(False)), "invalid_churn")
+    )
+    shown = F.coalesce(s("version").cast("bigint").cast("string"), F.lit("none"))
+    out = out.withColumn(f"{side}_code", code)
+    message = (
+        F.when(s("code") == "invalid_event", "an event must be an object")
+        .when(s("code") == "missing_event_id", "event_id is missing")
+        .when(s("code") == "unsupported_schema", F.concat(F.lit("unsupported schema version: "), shown))
+        .when(s("code") == "invalid_structure", F.concat(s("lost"), F.lit(" must be an object")))
+        .when(s("code") == "missing_required_field", F.concat(F.lit("missing fields: "), F.array_join(s("absent"), ", ")))
+        .when(s("code") == "invalid_churn", "churn must be 0 or 1")
+    )
+    return out.withColumn(f"{side}_message", message)
 
-    def canonical(self) -> Column:
-        return F.struct(
-            *[c.alias(f) for f, c in self.fields.items()],
-            self.period.alias("period"),
-            self.event_id.alias("event_id"),
-            self.version.cast("int").alias("source_schema_version"),
-        )
+
+def _canonical(side: str) -> Column:
+    return F.struct(
+        *[F.col(f"{side}_{f}").alias(f) for f in CANONICAL_FIELDS],
+        _w("period").alias("period"),
+        _w("event_id").alias("event_id"),
+        F.col(f"{side}_version").cast("int").alias("source_schema_version"),
+    )
 
 
 def normalize(events: DataFrame, event: str = "event", *, repaired: bool = False) -> DataFrame:
-    """Add `failure` (first failing check) and `canonical` (null where it failed) (ING-01..03)."""
-    read = _Reading(F.col("_v"), repaired)
-    return (
-        events.withColumn("_v", parsed(F.col(event)))
-        .withColumn("failure", read.failure())
-        .withColumn("canonical", F.when(F.col("failure").isNull(), read.canonical()))
-        .drop("_v")
+    """Add `reason_code`, `error_message` (first failing check) and `canonical` (null where one failed) (ING-01..03)."""
+    judged = _judge(_read(events, event), "_s", repaired)
+    return judged.select(
+        *events.columns,
+        F.col("_s_code").alias("reason_code"),
+        F.col("_s_message").alias("error_message"),
+        F.when(F.col("_s_code").isNull(), _canonical("_s")).alias("canonical"),
     )
 
 
@@ -169,45 +188,44 @@ def route(events: DataFrame, accepted_ids: DataFrame | None = None) -> DataFrame
     Adds event_id, schema_version, outcome (accepted | duplicate | dlq), reason_code, error_message, replay (recovered |
     duplicate | failed, null unless dlq), replay_code, replay_message, and canonical (of the event or of its repair).
     `accepted_ids` (event_id) holds ids accepted by earlier runs; seq must be unique.
+
+    The JSON is parsed once: the judged events are staged, and the grouped minimum then reads four narrow columns of them.
     """
-    v = F.col("_v")
-    sent, mended = _Reading(v, repaired=False), _Reading(v, repaired=True)
-    read = (
-        events.withColumn("_v", parsed(F.col("event")))
-        .withColumn("_first", sent.failure())
-        .withColumn("_second", F.when(F.col("_first").isNotNull(), mended.failure()))
-        .select(
-            "seq",
-            "event",
-            sent.event_id.alias("event_id"),
-            sent.version.cast("int").alias("schema_version"),
-            F.col("_first"),
-            F.col("_second"),
-            F.when(F.col("_first").isNull(), sent.canonical())
-            .when(F.col("_second").isNull(), mended.canonical())
-            .alias("canonical"),
-        )
+    judged = _judge(_judge(_read(events, "event"), "_s", False), "_m", True)
+    read = judged.select(
+        "seq",
+        "event",
+        _w("event_id").alias("event_id"),
+        F.col("_s_version").cast("int").alias("schema_version"),
+        "_s_code",
+        "_s_message",
+        "_m_code",
+        "_m_message",
+        F.when(F.col("_s_code").isNull(), _canonical("_s")).when(F.col("_m_code").isNull(), _canonical("_m")).alias("canonical"),
     )
-    named = F.col("event_id").isNotNull() & (F.col("event_id") != "")
-    good = F.col("_first").isNull()
-    marks = read.filter(named).select(
+    read = stage(read, "judged-events")
+    good, mended = F.col("_s_code").isNull(), F.col("_m_code").isNull()
+    marks = read.filter(F.coalesce("event_id", F.lit("")) != "").select(
         "event_id",
         F.when(good, F.col("seq")).alias("valid_seq"),
-        F.when(~good & F.col("_second").isNull(), F.col("seq")).alias("mended_seq"),
+        F.when(~good & mended, F.col("seq")).alias("mended_seq"),
     )
     if accepted_ids is not None:
         before = accepted_ids.select("event_id").join(marks.select("event_id").distinct(), "event_id", "left_semi")
+        none = F.lit(None).cast("bigint")
         marks = marks.unionByName(
-            before.select("event_id", F.lit(-1).cast("bigint").alias("valid_seq"), F.lit(None).cast("bigint").alias("mended_seq"))
+            before.select("event_id", F.lit(-1).cast("bigint").alias("valid_seq"), none.alias("mended_seq"))
         )
     firsts = marks.groupBy("event_id").agg(
         F.min("valid_seq").alias("_f"), F.min("mended_seq").alias("_g"), F.count(F.lit(1)).alias("_n")
     )
-    joined = salted_lookup(read, firsts, ["event_id"], weight="_n")
+    firsts, ids = stage_counted(firsts, "first-positions")
+    if ids <= BROADCAST_ROWS:
+        joined = lookup(read, firsts, ["event_id"], table_rows=ids)
+    else:
+        joined = salted_lookup(read, firsts, ["event_id"], weight="_n")
     f, g, seq = F.col("_f"), F.col("_g"), F.col("seq")
-    outcome = (
-        F.when(good & (seq == f), "accepted").when(f.isNotNull() & (seq > f), "duplicate").otherwise("dlq")
-    )
+    outcome = F.when(good & (seq == f), "accepted").when(f.isNotNull() & (seq > f), "duplicate").otherwise("dlq")
     replay = F.when(
         F.col("outcome") == "dlq",
         F.when(f.isNotNull(), "duplicate")
@@ -216,6 +234,7 @@ def route(events: DataFrame, accepted_ids: DataFrame | None = None) -> DataFrame
         .otherwise("duplicate"),
     )
     dlq, failed = F.col("outcome") == "dlq", F.col("replay") == "failed"
+    taken = (F.col("outcome") == "accepted") | F.coalesce(F.col("replay") == "recovered", F.lit(False))
     return (
         joined.withColumn("outcome", outcome)
         .withColumn("replay", replay)
@@ -224,12 +243,12 @@ def route(events: DataFrame, accepted_ids: DataFrame | None = None) -> DataFrame
             "event_id",
             "schema_version",
             "outcome",
-            F.when(dlq, F.col("_first.code")).alias("reason_code"),
-            F.when(dlq, F.col("_first.message")).alias("error_message"),
+            F.when(dlq, F.col("_s_code")).alias("reason_code"),
+            F.when(dlq, F.col("_s_message")).alias("error_message"),
             "replay",
-            F.when(failed, F.col("_second.code")).alias("replay_code"),
-            F.when(failed, F.col("_second.message")).alias("replay_message"),
-            F.when((F.col("outcome") == "accepted") | (F.col("replay") == "recovered"), F.col("canonical")).alias("canonical"),
+            F.when(failed, F.col("_m_code")).alias("replay_code"),
+            F.when(failed, F.col("_m_message")).alias("replay_message"),
+            F.when(taken, F.col("canonical")).alias("canonical"),
             "event",
         )
     )

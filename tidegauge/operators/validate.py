@@ -1,6 +1,6 @@
 """Declarative row validation (VAL-01..12).
 
-A list of `Field`s compiles to two columns over a VARIANT record: `errors`, an array with every error of the row, and
+A list of `Field`s adds two columns to a frame with a VARIANT record: `errors`, an array with every error of the row, and
 `clean`, the coerced and normalised struct. The type of a value is read from the variant itself, so `"7"` and `7` stay
 different until the coercion table of the declared kind is applied.
 """
@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.collections import at, kind_of
+from ..functions.collections import NUMBER_TYPES, at, type_of
 from ..functions.text import OUTER_SPACE
 
 ERROR = "struct<loc:string,type:string,msg:string,input:string>"
@@ -22,6 +22,11 @@ ERROR = "struct<loc:string,type:string,msg:string,input:string>"
 TRUE_TEXTS = ("1", "on", "t", "true", "y", "yes")
 FALSE_TEXTS = ("0", "off", "f", "false", "n", "no")
 
+# Shapes of a day and of a moment in text.
+DAY = r"^\d{4}-\d{2}-\d{2}\z"
+MOMENT = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?\z"
+ZONE = r"(Z|[+-]\d{2}:?\d{2})\z"
+
 # Message per error code.
 MESSAGES = {
     "missing": "Field required",
@@ -69,99 +74,173 @@ class Field:
         return self.name or self.path.replace(".", "_")
 
 
-@dataclass
+def _error(loc: str | Column, code: str | Column, value: Column, message: str | Column | None = None) -> Column:
+    as_column = lambda x: x if isinstance(x, Column) else F.lit(x)
+    return F.struct(
+        as_column(loc).alias("loc"),
+        as_column(code).alias("type"),
+        as_column(message if message is not None else MESSAGES[code]).alias("msg"),
+        value.alias("input"),
+    )
+
+
 class _Leaf:
-    value: Column
-    errors: list[Column]  # each null or one error
-    element_errors: Column | None = None  # an array of errors
-
-
-def _error(loc: str | Column, code: str, value: Column, message: str | Column | None = None) -> Column:
-    loc = F.lit(loc) if isinstance(loc, str) else loc
-    msg = message if isinstance(message, Column) else F.lit(message or MESSAGES[code])
-    return F.struct(loc.alias("loc"), F.lit(code).alias("type"), msg.alias("msg"), value.alias("input"))
-
-
-def _coerced(v: Column, kind: str) -> tuple[Column, Column]:
-    """(value, error code) under the lax coercion table of the kind."""
-    seen = kind_of(v)
-    text = at(v, "", "string")
-    squeezed = F.regexp_replace(text, OUTER_SPACE, "")
-    number = at(v, "", "double")
-    whole = number == F.floor(number)
-    if kind == "int":
-        from_text = F.when(
-            squeezed.rlike(r"^[+-]?\d+(\.0*)?\z"), F.regexp_replace(squeezed, r"\.0*\z", "").try_cast("bigint")
-        )
-        value = (
-            F.when(seen == "boolean", at(v, "", "boolean").cast("bigint"))
-            .when((seen == "number") & whole, number.try_cast("bigint"))
-            .when(seen == "string", from_text)
-        )
-        code = (
-            F.when((seen == "number") & ~whole, "int_from_float")
-            .when((seen == "string") & from_text.isNull(), "int_parsing")
-            .when(~seen.isin("boolean", "number", "string"), "int_type")
-        )
-    elif kind == "float":
-        from_text = F.when(
-            squeezed.rlike(r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|nan|inf|infinity)\z"),
-            F.regexp_replace(squeezed, r"(?i)^([+-]?)inf\z", "$1infinity").try_cast("double"),
-        )
-        value = (
-            F.when(seen == "boolean", at(v, "", "boolean").cast("int").cast("double"))
-            .when(seen == "number", number)
-            .when(seen == "string", from_text)
-        )
-        code = F.when((seen == "string") & from_text.isNull(), "float_parsing").when(
-            ~seen.isin("boolean", "number", "string"), "float_type"
-        )
-    elif kind == "bool":
-        low = F.lower(text)
-        value = (
-            F.when(seen == "boolean", at(v, "", "boolean"))
-            .when((seen == "number") & number.isin(0.0, 1.0), number == 1.0)
-            .when((seen == "string") & low.isin(*TRUE_TEXTS), True)
-            .when((seen == "string") & low.isin(*FALSE_TEXTS), False)
-        )
-        code = F.when(
-            ((seen == "string") | ((seen == "number") & whole)) & value.isNull(), "bool_parsing"
-        ).when(value.isNull(), "bool_type")
-    elif kind == "date":
-        day_text = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}\z"), text.try_cast("date"))
-        moment = F.when(
-            text.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?\z"),
-            F.regexp_replace(text, r"(Z|[+-]\d{2}:?\d{2})\z", "").try_cast("timestamp_ntz"),
-        )
-        epoch = F.when(seen == "number", F.timestamp_seconds(number).cast("timestamp_ntz"))
-        at_time = F.coalesce(moment, epoch)
-        midnight = at_time == F.date_trunc("day", at_time)
-        value = F.when(seen == "string", F.coalesce(day_text, F.when(midnight, at_time.cast("date")))).when(
-            seen == "number", F.when(midnight, at_time.cast("date"))
+    """Names of the working columns of one field; each step below is a projection of its own.
+
+    A value is read from the variant once and referred to by column afterwards. Written as one nested expression the same
+    rules would repeat their inputs many times over.
+    """
+
+    def __init__(self, i: int, f: Field):
+        self.f, self.family = f, f.kind.split("<")[0]
+        self.type, self.text, self.number = (F.col(f"_{n}{i}") for n in ("type", "text", "number"))
+        self.value, self.code, self.normal = (F.col(f"_{n}{i}") for n in ("value", "code", "normal"))
+        self.extra = F.col(f"_extra{i}")
+        self.names = {n: f"_{n}{i}" for n in ("type", "text", "number", "value", "code", "normal", "extra")}
+
+    def read(self, record: Column) -> dict[str, Column]:
+        v = at(record, self.f.path, "variant")
+        out = {self.names["type"]: type_of(v), self.names["text"]: at(record, self.f.path, "string")}
+        if self.family in ("int", "float", "bool", "date"):
+            out[self.names["number"]] = at(record, self.f.path, "double")
+        if self.family == "list":
+            out[self.names["extra"]] = at(record, self.f.path, "array<variant>")
+        if self.family == "map":
+            out[self.names["extra"]] = at(record, self.f.path, "map<string,variant>")
+        return out
+
+    def is_number(self) -> Column:
+        return self.type.isin(*NUMBER_TYPES)
+
+    def coerce(self) -> Column:
+        """Value under the lax coercion table of the kind; null where it does not fit."""
+        text, number, type_ = self.text, self.number, self.type
+        squeezed = F.regexp_replace(text, OUTER_SPACE, "")
+        truth = F.when(text == "true", 1).when(text == "false", 0)
+        if self.family == "int":
+            whole = F.when(squeezed.rlike(r"^[+-]?\d+(\.0*)?\z"), F.regexp_replace(squeezed, r"\.0*\z", ""))
+            return (
+                F.when(type_ == "BOOLEAN", truth.cast("bigint"))
+                .when(type_ == "STRING", whole.try_cast("bigint"))
+                .when(self.is_number() & (number == F.floor(number)), number.try_cast("bigint"))
+            )
+        if self.family == "float":
+            shape = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|nan|inf|infinity)\z"
+            spelled = F.regexp_replace(squeezed, r"(?i)^([+-]?)inf\z", "$1infinity")
+            return (
+                F.when(type_ == "BOOLEAN", truth.cast("double"))
+                .when(type_ == "STRING", F.when(squeezed.rlike(shape), spelled.try_cast("double")))
+                .when(self.is_number(), number)
+            )
+        if self.family == "bool":
+            low = F.lower(text)
+            return (
+                F.when(type_ == "BOOLEAN", text == "true")
+                .when((type_ == "STRING") & low.isin(*TRUE_TEXTS), True)
+                .when((type_ == "STRING") & low.isin(*FALSE_TEXTS), False)
+                .when(self.is_number() & number.isin(0.0, 1.0), number == 1.0)
+            )
+        if self.family == "date":
+            moment = F.coalesce(
+                F.when((type_ == "STRING") & text.rlike(MOMENT), F.regexp_replace(text, ZONE, "").try_cast("timestamp_ntz")),
+                F.when(self.is_number(), F.timestamp_seconds(number).cast("timestamp_ntz")),
+            )
+            day = F.when((type_ == "STRING") & text.rlike(DAY), text.try_cast("date"))
+            return F.coalesce(day, F.when(F.date_format(moment, "HH:mm:ss.SSSSSS") == "00:00:00.000000", moment.cast("date")))
+        if self.family == "str":
+            return F.when(type_ == "STRING", text)
+        if self.family == "list":
+            element = "string" if self.f.kind == "list<str>" else "bigint"
+            return F.transform(self.extra, lambda e: F.try_variant_get(e, "$", element))
+        if self.family == "map":
+            return F.transform_values(self.extra, lambda k, e: F.try_variant_get(e, "$", "bigint"))
+        raise ValueError(f"unknown kind: {self.f.kind}")
+
+    def fault(self) -> Column:
+        """Error code of a present value that does not fit its kind."""
+        text, number = self.type == "STRING", self.is_number()
+        if self.family == "int":
+            return F.when(text, "int_parsing").when(number, "int_from_float").otherwise("int_type")
+        if self.family == "float":
+            return F.when(text, "float_parsing").otherwise("float_type")
+        if self.family == "bool":
+            return F.when(text | (number & (self.number == F.floor(self.number))), "bool_parsing").otherwise("bool_type")
+        if self.family == "date":
+            shaped = self.text.rlike(DAY) | self.text.rlike(MOMENT)
+            return F.when(text & ~shaped, "date_parsing").when(text | number, "date_inexact").otherwise("date_type")
+        return F.lit({"str": "string_type", "list": "list_type", "map": "map_type"}[self.family])
+
+    def normalise(self) -> Column:
+        c = self.value
+        if self.f.strip:
+            c = F.regexp_replace(c, OUTER_SPACE, "")
+        return F.lower(c) if self.f.lower else c
+
+    def first_fault(self, inside: Column) -> Column:
+        """Code of the field's error, null where there is none; nothing is reported inside an absent parent."""
+        f, absent = self.f, self.type.isNull()
+        code = F.when(~inside, F.lit(None).cast("string"))
+        code = code.when(absent, "missing") if f.required else code.when(absent | (self.type == "VOID"), F.lit(None))
+        code = code.when(self.value.isNull(), self.fault())
+        for bad, name, _ in self.rules():
+            code = code.when(bad, name)
+        return code
+
+    def error(self) -> Column:
+        """One struct per field; its type is null where the field is fine."""
+        messages = {c: MESSAGES[c] for c in (*_CODES[self.family], "missing")} | {n: m for _, n, m in self.rules()}
+        texts = F.create_map(*[F.lit(x) for pair in messages.items() for x in pair])
+        shown = F.when(self.code != "missing", self.text)
+        return F.struct(
+            F.lit(self.f.path).alias("loc"), self.code.alias("type"), F.element_at(texts, self.code).alias("msg"), shown.alias("input")
         )
-        code = (
-            F.when((seen == "string") & day_text.isNull() & moment.isNull(), "date_parsing")
-            .when(seen.isin("string", "number") & value.isNull(), "date_inexact")
-            .when(~seen.isin("string", "number"), "date_type")
+
+    def element_errors(self) -> Column:
+        texts = self.f.kind == "list<str>"
+        wanted = ("STRING",) if texts else NUMBER_TYPES
+        code = "string_type" if texts else "int_type"
+        wrong = F.transform(
+            self.extra,
+            lambda e, i: F.when(
+                ~type_of(e).isin(*wanted), _error(F.concat(F.lit(f"{self.f.path}."), i.cast("string")), code, e.cast("string"))
+            ),
         )
-    elif kind == "str":
-        value, code = F.when(seen == "string", text), F.when(seen != "string", "string_type")
-    elif kind.startswith("list<"):
-        value = F.when(seen == "array", at(v, "", "array<variant>"))
-        code = F.when(seen != "array", "list_type")
-    elif kind.startswith("map<"):
-        value = F.when(seen == "object", at(v, "", "map<string,variant>"))
-        code = F.when(seen != "object", "map_type")
-    else:
-        raise ValueError(f"unknown kind: {kind}")
-    return value, code
-
-
-def _message(code: Column, codes: Sequence[str]) -> Column:
-    out = F.lit(None).cast("string")
-    for c in codes:
-        out = F.when(code == c, F.lit(MESSAGES[c])).otherwise(out)
-    return out
+        return F.coalesce(F.filter(wrong, lambda x: x.isNotNull()), _no_errors())
+
+    def rules(self) -> list[tuple[Column, str, str]]:
+        """(broken, code, message) in the order they are tested; the first broken one is reported."""
+        f, value, normal = self.f, self.value, self.normal
+        checks: list[tuple[Column, str, str]] = []
+        if self.family in ("int", "float"):
+            # NaN breaks every bound; Spark orders it above all numbers, so it is tested by name
+            nan = F.isnan(value.cast("double"))
+            for limit, code, word, holds in (
+                (f.gt, "greater_than", "greater than", lambda x: value > x),
+                (f.ge, "greater_than_equal", "greater than or equal to", lambda x: value >= x),
+                (f.lt, "less_than", "less than", lambda x: value < x),
+                (f.le, "less_than_equal", "less than or equal to", lambda x: value <= x),
+            ):
+                if limit is not None:
+                    checks.append((~holds(limit) | nan, code, f"Input should be {word} {limit:g}"))
+        if f.choices:
+            wanted = " or ".join(f"'{c}'" for c in f.choices)
+            checks.append((~value.isin(*f.choices), "literal_error", f"Input should be {wanted}"))
+        if f.min_length is not None:
+            text = f"String should have at least {f.min_length} characters"
+            checks.append((F.char_length(value) < f.min_length, "string_too_short", text))
+        if f.max_length is not None:
+            text = f"String should have at most {f.max_length} characters"
+            checks.append((F.char_length(value) > f.max_length, "string_too_long", text))
+        if f.min_stripped is not None:
+            text = f"the text needs at least {f.min_stripped} characters without outer spaces"
+            checks.append((F.char_length(normal) < f.min_stripped, "value_error", text))
+        if f.pattern:
+            checks.append((~normal.rlike(f.pattern), "value_error", f.pattern_message))
+        if self.family == "map" and f.element_ge is not None:
+            low = f.element_ge
+            fine = F.coalesce(F.forall(F.map_values(value), lambda x: x >= low), F.lit(False))
+            checks.append((~fine, "value_error", f"all values must be at least {low:g}"))
+        return checks
 
 
 _CODES = {
@@ -175,128 +254,59 @@ _CODES = {
 }
 
 
-def _rules(f: Field, value: Column, raw: Column) -> tuple[Column, Column]:
-    """(value, first broken rule) of a coerced value; rules of one field stop at the first that breaks."""
-    broken = F.lit(None).cast(ERROR)
-    checks: list[tuple[Column, str, str]] = []
-    if f.kind in ("int", "float"):
-        # NaN breaks every bound; Spark orders it above all numbers, so it is tested by name
-        nan = F.isnan(value.cast("double"))
-        for limit, code, word, bad in (
-            (f.gt, "greater_than", "greater than", lambda x: ~(value > x)),
-            (f.ge, "greater_than_equal", "greater than or equal to", lambda x: ~(value >= x)),
-            (f.lt, "less_than", "less than", lambda x: ~(value < x)),
-            (f.le, "less_than_equal", "less than or equal to", lambda x: ~(value <= x)),
-        ):
-            if limit is not None:
-                checks.append((bad(limit) | nan, code, f"Input should be {word} {limit:g}"))
-    if f.choices:
-        wanted = " or ".join(f"'{c}'" for c in f.choices)
-        checks.append((~value.isin(*f.choices), "literal_error", f"Input should be {wanted}"))
-    if f.min_length is not None:
-        text = f"String should have at least {f.min_length} characters"
-        checks.append((F.char_length(value) < f.min_length, "string_too_short", text))
-    if f.max_length is not None:
-        text = f"String should have at most {f.max_length} characters"
-        checks.append((F.char_length(value) > f.max_length, "string_too_long", text))
-    normal = value
-    if f.strip:
-        normal = F.regexp_replace(normal, OUTER_SPACE, "")
-    if f.lower:
-        normal = F.lower(normal)
-    if f.min_stripped is not None:
-        text = f"the text needs at least {f.min_stripped} characters without outer spaces"
-        checks.append((F.char_length(normal) < f.min_stripped, "value_error", text))
-    if f.pattern:
-        checks.append((~normal.rlike(f.pattern), "value_error", f.pattern_message))
-    for bad, code, text in reversed(checks):
-        broken = F.when(bad, _error(f.path, code, raw, text)).otherwise(broken)
-    return normal, broken
-
-
-def _compile(f: Field, record: Column) -> _Leaf:
-    v = at(record, f.path, "variant")
-    raw = at(record, f.path, "string")
-    value, code = _coerced(v, f.kind)
-    present = v.isNotNull()
-    family = f.kind.split("<")[0]
-    given = present if f.required else present & (kind_of(v) != "null")
-    type_error = F.when(
-        given & code.isNotNull(),
-        F.struct(
-            F.lit(f.path).alias("loc"), code.alias("type"), _message(code, _CODES[family]).alias("msg"), raw.alias("input")
-        ),
-    )
-    errors = [type_error]
-    if f.required:
-        errors.append(F.when(~present, _error(f.path, "missing", F.lit(None).cast("string"))))
-    if family == "list":
-        want = "string" if f.kind == "list<str>" else "number"
-        code_name = "string_type" if want == "string" else "int_type"
-        wrong = F.filter(
-            F.transform(
-                value,
-                lambda e, i: F.when(
-                    kind_of(e) != want, _error(F.concat(F.lit(f"{f.path}."), i.cast("string")), code_name, e.cast("string"))
-                ),
-            ),
-            lambda x: x.isNotNull(),
-        )
-        element = "string" if want == "string" else "bigint"
-        typed = F.transform(value, lambda e: F.try_variant_get(e, "$", element))
-        return _Leaf(typed, errors, F.coalesce(wrong, _no_errors()))
-    if family == "map":
-        low = f.element_ge
-        typed = F.transform_values(value, lambda k, e: F.try_variant_get(e, "$", "bigint"))
-        if low is not None:
-            bad = value.isNotNull() & ~F.coalesce(F.forall(F.map_values(typed), lambda x: x >= low), F.lit(False))
-            errors.append(F.when(bad, _error(f.path, "value_error", raw, f"all values must be at least {low:g}")))
-        return _Leaf(typed, errors)
-    normal, broken = _rules(f, value, raw)
-    errors.append(F.when(value.isNotNull(), broken))
-    return _Leaf(normal, errors)
-
-
-def compile_fields(fields: Sequence[Field], record: Column) -> tuple[Column, Column]:
-    """(errors, clean) columns for a VARIANT record."""
-    parents: dict[str, Column] = {}
+def _no_errors() -> Column:
+    return F.array().cast(f"array<{ERROR}>")
+
+
+def validate(df: DataFrame, record: str, fields: Sequence[Field]) -> DataFrame:
+    """Add `errors` (all errors of the row) and `clean`; a broken row never stops the others.
+
+    Stage the result before splitting it: a filter on `errors` over the lazy frame would be pushed below the rules and
+    repeat them.
+    """
+    leaves = [_Leaf(i, f) for i, f in enumerate(fields)]
+    parents: dict[str, str] = {"": "_parent_root"}
     for f in fields:
         steps = f.path.split(".")[:-1]
         for i in range(1, len(steps) + 1):
-            path = ".".join(steps[:i])
-            parents.setdefault(path, kind_of(at(record, path, "variant")))
-
-    is_object = kind_of(record) == "object"
-    found = [F.array(F.when(~is_object, _error("", "model_type", at(record, "", "string"))))]
-    values, reported = [], set()
-    for f in fields:
-        leaf = _compile(f, record)
-        values.append(leaf.value.alias(f.column))
-        parent, _, _ = f.path.rpartition(".")
-        inside = parents[parent] == "object" if parent else is_object
-        if parent and parent not in reported:
-            reported.add(parent)
-            above, _, _ = parent.rpartition(".")
-            problem = F.when(parents[parent] == "absent", _error(parent, "missing", F.lit(None).cast("string"))).when(
-                parents[parent] != "object", _error(parent, "model_type", at(record, parent, "string"))
-            )
-            found.append(F.array(F.when(parents[above] == "object" if above else is_object, problem)))
-        own = F.array(*leaf.errors)
-        if leaf.element_errors is not None:
-            own = F.concat(own, leaf.element_errors)
-        found.append(F.when(inside, own).otherwise(_no_errors()))
-    errors = F.array_compact(F.concat(*found))
-    return errors.cast(f"array<{ERROR}>"), F.struct(*values)
-
+            parents.setdefault(".".join(steps[:i]), f"_parent{len(parents)}")
+    source = F.col(record)
 
-def _no_errors() -> Column:
-    return F.array().cast(f"array<{ERROR}>")
+    work = df.withColumns(
+        {name: type_of(at(source, path, "variant")) for path, name in parents.items()}
+        | {name: c for leaf in leaves for name, c in leaf.read(source).items()}
+    )
+    work = work.withColumns({leaf.names["value"]: leaf.coerce() for leaf in leaves})
+    work = work.withColumns({leaf.names["normal"]: leaf.normalise() for leaf in leaves})
 
+    def holds_object(path: str) -> Column:
+        return F.coalesce(F.col(parents[path]) == "OBJECT", F.lit(False))
 
-def validate(df: DataFrame, record: str, fields: Sequence[Field]) -> DataFrame:
-    """Add `errors` (all errors of the row) and `clean`; a broken row never stops the others."""
-    errors, clean = compile_fields(fields, F.col(record))
-    return df.withColumn("errors", errors).withColumn("clean", clean)
+    work = work.withColumns(
+        {leaf.names["code"]: leaf.first_fault(holds_object(leaf.f.path.rpartition(".")[0])) for leaf in leaves}
+    )
+    root = F.when(~holds_object(""), "model_type")
+    found = [F.array(_error("", root, at(source, "", "string"), MESSAGES["model_type"]))]
+    reported = {""}
+    for leaf in leaves:
+        parent, _, _ = leaf.f.path.rpartition(".")
+        if parent not in reported:
+            reported.add(parent)
+            absent = F.col(parents[parent]).isNull()
+            code = F.when(~holds_object(parent.rpartition(".")[0]), F.lit(None).cast("string")).when(absent, "missing").when(
+                ~holds_object(parent), "model_type"
+            )
+            message = F.when(absent, MESSAGES["missing"]).otherwise(MESSAGES["model_type"])
+            found.append(F.array(_error(parent, code, at(source, parent, "string"), message)))
+        found.append(F.array(leaf.error()))
+        if leaf.family == "list":
+            found.append(leaf.element_errors())
+    errors = F.filter(F.concat(*found), lambda e: e["type"].isNotNull())
+    return work.select(
+        *df.columns,
+        errors.cast(f"array<{ERROR}>").alias("errors"),
+        F.struct(*[leaf.normal.alias(leaf.f.column) for leaf in leaves]).alias("clean"),
+    )
 
 
 def valid_rows(checked: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -304,10 +314,10 @@ def valid_rows(checked: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return checked.filter(F.size("errors") == 0).select(*keep, "clean.*")
 
 
-def invalid_rows(checked: DataFrame, keep: Sequence[str], record: str, stage: str = "transform") -> DataFrame:
-    """{keep..., stage, data, errors} of the rows with errors (VAL-10)."""
+def invalid_rows(checked: DataFrame, keep: Sequence[str], data: str, stage: str = "transform") -> DataFrame:
+    """{keep..., stage, data, errors} of the rows with errors (VAL-10); `data` is the column with the record's JSON text."""
     return checked.filter(F.size("errors") > 0).select(
-        *keep, F.lit(stage).alias("stage"), F.to_json(record).alias("data"), "errors"
+        *keep, F.lit(stage).alias("stage"), F.col(data).alias("data"), "errors"
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.collections import at, json_fault, kind_of, parsed
+from ..functions.collections import at, json_fault, parsed, type_of
 from .gates import require_columns
 
 # The texts a CSV cell may hold for "missing".
@@ -75,22 +75,28 @@ def envelope_status(envelopes: DataFrame, text: str = "value") -> DataFrame:
     Faults: malformed JSON (with position), not an object, results no list, a result no object, count mismatch.
     """
     v = F.col("envelope")
-    records = at(v, "results", "array<variant>")
-    declared = at(v, "count", "bigint")
+    found = F.col("_found")
+    read = envelopes.withColumn("envelope", parsed(F.col(text))).withColumns(
+        {
+            "_top": type_of(v),
+            "_list": type_of(at(v, "results", "variant")),
+            "_found": at(v, "results", "array<variant>"),
+            "_declared": at(v, "count", "bigint"),
+        }
+    )
+    number = lambda c: F.coalesce(c.cast("string"), F.lit("none"))
+    mismatch = F.concat(
+        F.lit("count ("), number(F.col("_declared")), F.lit(") differs from the number of results ("),
+        F.size(found).cast("string"), F.lit(")"),
+    )
     fault = (
         F.when(v.isNull(), F.lit("malformed"))
-        .when(kind_of(v) != "object", F.lit("the top level must be an object"))
-        .when(kind_of(at(v, "results", "variant")) != "array", F.lit("there is no results list"))
-        .when(~F.forall(records, lambda r: kind_of(r) == "object"), F.lit("results must hold objects only"))
-        .when(
-            declared.isNull() | (declared != F.size(records)),
-            F.concat(
-                F.lit("count ("), F.coalesce(declared.cast("string"), F.lit("none")),
-                F.lit(") differs from the number of results ("), F.size(records).cast("string"), F.lit(")"),
-            ),
-        )
-    )
-    return envelopes.withColumn("envelope", parsed(F.col(text))).withColumn("fault", fault)
+        .when(F.col("_top") != "OBJECT", F.lit("the top level must be an object"))
+        .when(F.coalesce("_list", F.lit("")) != "ARRAY", F.lit("there is no results list"))
+        .when(~F.forall(found, lambda r: type_of(r) == "OBJECT"), F.lit("results must hold objects only"))
+        .when(~F.coalesce(F.col("_declared") == F.size(found), F.lit(False)), mismatch)
+    )
+    return read.withColumn("fault", fault).drop("_top", "_list", "_found", "_declared")
 
 
 def envelope_records(checked: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
