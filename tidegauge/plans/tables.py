@@ -88,10 +88,10 @@ raw_sales AS (
   FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
 
-def customers(spark: SparkSession, sf: str) -> DataFrame:
+def customers(spark: SparkSession, sf: str, read=table) -> DataFrame:
     """Customers in the canonical schema of the monitor, with a period, missing charges and stray spaces."""
     n, b = F.col("c_nationkey"), F.col("c_acctbal")
-    return table(spark, sf, "customer").select(
+    return read(spark, sf, "customer").select(
         F.col("c_custkey").alias("seq"),
         n.alias("nation"),
         F.col("c_name").alias("customer_id"),
