@@ -22,12 +22,14 @@ def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def drain(result: DataFrame, tag: str, mode: str = "append") -> DataFrame:
-    """All output of a streaming frame as a table. In `complete` and `update` mode only the last batch counts."""
+    """All output of a streaming frame as a table; in `complete` mode the last micro-batch holds all of it."""
+    if mode not in ("append", "complete"):
+        raise ValueError("update mode has no single final table")
     spark = result.sparkSession
     folder = run_folder(spark, tag)
 
     def write(batch: DataFrame, n: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/out/batch={n}")
+        batch.write.mode("overwrite").parquet(f"{folder}/out/microbatch={n}")
 
     query = (
         result.writeStream.outputMode(mode)
@@ -37,8 +39,8 @@ def drain(result: DataFrame, tag: str, mode: str = "append") -> DataFrame:
         .start()
     )
     query.awaitTermination()
-    out = spark.read.schema(StructType([*result.schema.fields, StructField("batch", LongType())])).parquet(f"{folder}/out")
-    if mode != "append":
-        last = out.agg(F.max("batch")).first()[0]
-        out = out.filter(F.col("batch") == last)
-    return out.drop("batch")
+    out = spark.read.schema(StructType([*result.schema.fields, StructField("microbatch", LongType())])).parquet(f"{folder}/out")
+    if mode == "complete":
+        last = out.agg(F.max("microbatch")).first()[0]
+        out = out.filter(F.col("microbatch") == last)
+    return out.drop("microbatch")
