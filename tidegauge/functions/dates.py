@@ -5,20 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The layouts accepted by `mixed_timestamp`, tried in this order.
-MIXED_LAYOUTS = (
-    "yyyy-MM-dd",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy/MM/dd",
-    "MM/dd/yyyy",
-    "yyyyMMdd",
-)
-
-
-def mixed_timestamp(c: Column, layouts: tuple[str, ...] = MIXED_LAYOUTS) -> Column:
-    """First layout that fits; null where none does."""
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(p)) for p in layouts])
+# The layouts accepted by `mixed_timestamp`, each with the shape of its text.
+MIXED_LAYOUTS = {
+    "yyyy-MM-dd": r"^\d{4}-\d{2}-\d{2}\z",
+    "yyyy-MM-dd HH:mm:ss": r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\z",
+    "yyyy-MM-dd'T'HH:mm:ss": r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\z",
+    "yyyy/MM/dd": r"^\d{4}/\d{2}/\d{2}\z",
+    "MM/dd/yyyy": r"^\d{2}/\d{2}/\d{4}\z",
+    "yyyyMMdd": r"^\d{8}\z",
+}
+
+
+def mixed_timestamp(c: Column, layouts: dict[str, str] = MIXED_LAYOUTS) -> Column:
+    """Timestamp under the layout whose shape fits; null where none does.
+
+    The shape is tested first: a parse that fails costs an exception per row.
+    """
+    out = F.lit(None).cast("timestamp")
+    for layout, shape in reversed(layouts.items()):
+        out = F.when(c.rlike(shape), F.try_to_timestamp(c, F.lit(layout))).otherwise(out)
+    return out
 
 
 def micros(ts: Column) -> Column:

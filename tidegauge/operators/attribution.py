@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import MonitorConfig
-from .drift import CURRENT, REFERENCE, UNKNOWN, bin_label, bin_of
+from .drift import CURRENT, REFERENCE, UNKNOWN, bin_among, bin_label
 from .quantiles import quantiles_of_counts, stacked_values
 from .scale import stage_counted
 
@@ -33,25 +33,31 @@ def edges_of_counts(counts: DataFrame, rows: int | None = None, **limits) -> dic
 
 
 def segment(column: str, edges: dict[str, list[float]]) -> Column:
-    """Label of a row's segment: the category itself, or its right-closed quartile bin (null stays null)."""
+    """A row's segment: the category itself, or the index of its right-closed quartile bin as text (null stays null)."""
     if column not in edges:
         return F.coalesce(F.col(column).cast("string"), F.lit(UNKNOWN))
-    inner = F.array(*[F.lit(float(e)) for e in edges[column]]).cast("array<double>")
     value = F.col(column).cast("double")
-    value = F.when(~F.isnan(value), value)
-    return F.when(value.isNotNull(), bin_label(bin_of(value, inner), inner))
+    return bin_among(F.when(~F.isnan(value), value), edges[column]).cast("string")
+
+
+def segment_name(edges: dict[str, list[float]]) -> Column:
+    """Readable label of (segment_feature, segment), for counted segments."""
+    name = F.col("segment")
+    for column, inner in edges.items():
+        label = bin_label(F.col("segment").cast("int"), F.array(*[F.lit(float(e)) for e in inner]).cast("array<double>"))
+        name = F.when(F.col("segment_feature") == column, label).otherwise(name)
+    return name
 
 
 def segment_table(both: DataFrame, target: str, segments: Sequence[str], edges: dict[str, list[float]]) -> DataFrame:
     """(segment_feature, segment, n_ref, n_cur, mean_ref, mean_cur): one scan, partial sums before the shuffle."""
-    pairs = F.array(
-        *[F.struct(F.lit(s).alias("segment_feature"), segment(s, edges).alias("segment")) for s in segments]
-    )
-    long = both.select("period", F.col(target).cast("double").alias("_t"), F.explode(pairs).alias("p")).select(
-        "period", "_t", "p.segment_feature", "p.segment"
+    used = {c: e for c, e in edges.items() if c in segments}
+    wide = both.select(
+        "period", F.col(target).cast("double").alias("_t"), *[segment(s, used).alias(f"_s_{s}") for s in segments]
     )
+    long = wide.unpivot(["period", "_t"], [f"_s_{s}" for s in segments], "segment_feature", "segment")
     is_ref, is_cur = F.col("period") == REFERENCE, F.col("period") == CURRENT
-    return (
+    counted = (
         long.filter(F.col("segment").isNotNull())
         .groupBy("segment_feature", "segment")
         .agg(
@@ -61,6 +67,8 @@ def segment_table(both: DataFrame, target: str, segments: Sequence[str], edges:
             F.avg(F.when(is_cur, F.col("_t"))).alias("mean_cur"),
         )
     )
+    named = counted.withColumn("segment_feature", F.substring("segment_feature", 4, 1000))
+    return named.withColumn("segment", segment_name(used))
 
 
 def explain_shift(

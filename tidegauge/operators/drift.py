@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..config import MonitorConfig
 from ..functions.numeric import half_even
 from ..functions.tails import kolmogorov_p
-from .quantiles import quantiles_of_counts
+from .quantiles import quantile_picks
 from .scale import running_totals, stage, stage_counted
 
 EPSILON = 1e-6
@@ -38,11 +38,9 @@ def period_value_counts(
     "Unknown". `position` adds the first position of each value per period.
     """
     kind = "string" if text else "double"
-    pairs = F.array(
-        *[F.struct(F.lit(f).alias("feature"), F.col(f).cast(kind).alias("value")) for f in features]
-    )
     extra = [F.col(position).alias("_pos")] if position else []
-    long = df.select("period", *extra, F.explode(pairs).alias("p")).select("period", *extra and ["_pos"], "p.feature", "p.value")
+    wide = df.select("period", *extra, *[F.col(f).cast(kind).alias(f) for f in features])
+    long = wide.unpivot(["period", *(["_pos"] if position else [])], list(features), "feature", "value")
     if text:
         long = long.withColumn("value", F.coalesce("value", F.lit(UNKNOWN)))
     else:
@@ -60,24 +58,45 @@ def period_value_counts(
 # --- numeric ---------------------------------------------------------------------------------------------------------
 
 
-def bin_edges(counts: DataFrame, *, rows: int | None = None, bins: int = BINS, **limits) -> DataFrame:
-    """(feature, edges): inner edges of the reference deciles (STA-04); outer bins are open.
+def ordered_values(counts: DataFrame, *, rows: int | None = None, **limits) -> DataFrame:
+    """The present values in order, with running counts of both periods. Edges, medians and KS are all read from it."""
+    present = counts.filter(F.col("value").isNotNull())
+    return stage(running_totals(present, ["feature"], ["value"], ["n_ref", "n_cur"], rows=rows, **limits), "ordered-values")
+
+
+def numeric_summary(ordered: DataFrame, bins: int = BINS) -> DataFrame:
+    """One row per feature from one aggregate: edges, KS, means and medians (STA-03, STA-04).
 
-    One distinct value gives that value as the only edge; fewer than three distinct deciles fall back to the median.
+    Edges are the inner reference deciles, outer bins are open. One distinct value gives that value as the only edge;
+    fewer than three distinct deciles fall back to the median. The KS p-value is the limit form, see README.
     """
-    probs = [i / bins for i in range(bins + 1)]
-    ref = counts.filter(F.col("value").isNotNull() & (F.col("n_ref") > 0)).select(
-        "feature", "value", F.col("n_ref").alias("n")
+    ref_picks, ref_q = quantile_picks([i / bins for i in range(bins + 1)], "n_ref")
+    cur_picks, cur_q = quantile_picks([0.5], "n_cur")
+    share = lambda w: F.try_divide(
+        (F.col(f"{w}_before") + F.col(w)).cast("double"), F.col(f"{w}_total")
+    )
+    mean = lambda w: F.try_divide(F.sum(F.col("value") * F.col(w)), F.sum(w))
+    found = ordered.groupBy("feature").agg(
+        *ref_picks,
+        *cur_picks,
+        F.max(F.abs(share("n_ref") - share("n_cur"))).alias("ks_statistic"),
+        mean("n_ref").alias("ref_mean"),
+        mean("n_cur").alias("cur_mean"),
     )
-    q = quantiles_of_counts(ref, probs, ["feature"], rows=rows, **limits)
-    distinct = F.array_distinct(F.col("q"))
-    inner = F.slice(distinct, 2, F.greatest(F.size(distinct) - 2, F.lit(0)))
-    edges = (
-        F.when(F.size(distinct) == 1, distinct)
-        .when(F.size(distinct) < 3, F.array(F.col("q")[bins // 2]))
-        .otherwise(inner)
+    found = found.withColumn("_q", ref_q).withColumn("_d", F.array_distinct("_q"))
+    inner = F.slice("_d", 2, F.greatest(F.size("_d") - 2, F.lit(0)))
+    edges = F.when(F.size("_d") == 1, F.col("_d")).when(F.size("_d") < 3, F.array(F.col("_q")[bins // 2])).otherwise(inner)
+    sizes = [F.col(f"_{w}_size").cast("double") for w in ("n_ref", "n_cur")]
+    return found.select(
+        "feature",
+        edges.alias("edges"),
+        "ks_statistic",
+        kolmogorov_p(F.col("ks_statistic"), *sizes).alias("ks_pvalue"),
+        "ref_mean",
+        "cur_mean",
+        F.col("_q")[bins // 2].alias("ref_median"),
+        cur_q[0].alias("cur_median"),
     )
-    return q.select("feature", edges.alias("edges"))
 
 
 def bin_of(value: Column, edges: Column) -> Column:
@@ -85,14 +104,23 @@ def bin_of(value: Column, edges: Column) -> Column:
     return F.size(F.filter(edges, lambda e: value > e))
 
 
+def bin_among(value: Column, edges: Sequence[float]) -> Column:
+    """The same for edges known to the driver: a sum of comparisons, compiled with the rest of the row."""
+    index = F.lit(0)
+    for e in edges:
+        index = index + F.when(value > F.lit(float(e)), 1).otherwise(0)
+    return F.when(value.isNotNull(), index)
+
+
 def bin_label(index: Column, edges: Column) -> Column:
     low = F.coalesce(F.try_element_at(edges, F.when(index > 0, index)).cast("string"), F.lit("-inf"))
     high = F.coalesce(F.try_element_at(edges, index + 1).cast("string"), F.lit("inf"))
     return F.concat(F.lit("("), low, F.lit(", "), high, F.lit("]"))
 
 
-def psi_bins(counts: DataFrame, edges: DataFrame) -> DataFrame:
-    """(feature, bin, edges, label, n_ref, n_cur, ref_share, cur_share, contribution), empty bins included (STA-05)."""
+def psi_bins(counts: DataFrame, summary: DataFrame) -> DataFrame:
+    """(feature, bin, label, n_ref, n_cur, ref_share, cur_share, contribution), empty bins included (STA-05)."""
+    edges = summary.select("feature", "edges")
     table = edges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.size("edges"))))
     filled = (
         counts.filter(F.col("value").isNotNull())
@@ -132,48 +160,6 @@ def psi(bins: DataFrame) -> DataFrame:
     return bins.groupBy("feature").agg(F.sum("contribution").alias("psi"))
 
 
-def ks(counts: DataFrame, *, rows: int | None = None, **limits) -> DataFrame:
-    """(feature, ks_statistic, ks_pvalue): largest gap of the two empirical distributions (STA-03, WIN-04).
-
-    The p-value is the limit form, see README.
-    """
-    present = counts.filter(F.col("value").isNotNull())
-    placed = running_totals(present, ["feature"], ["value"], ["n_ref", "n_cur"], rows=rows, **limits)
-    at = lambda w: F.try_divide(
-        (F.col(f"{w}_before") + F.col(w)).cast("double"), F.col(f"{w}_total")
-    )
-    gaps = placed.groupBy("feature").agg(
-        F.max(F.abs(at("n_ref") - at("n_cur"))).alias("ks_statistic"),
-        F.max("n_ref_total").alias("_r"),
-        F.max("n_cur_total").alias("_c"),
-    )
-    p = kolmogorov_p(F.col("ks_statistic"), F.col("_r").cast("double"), F.col("_c").cast("double"))
-    return gaps.select("feature", "ks_statistic", p.alias("ks_pvalue"))
-
-
-def moments(counts: DataFrame, *, rows: int | None = None, **limits) -> DataFrame:
-    """(feature, ref_mean, cur_mean, ref_median, cur_median) from the counts."""
-    present = counts.filter(F.col("value").isNotNull())
-    means = present.groupBy("feature").agg(
-        *[
-            F.try_divide(F.sum(F.col("value") * F.col(n)), F.sum(n)).alias(f"{p}_mean")
-            for p, n in (("ref", "n_ref"), ("cur", "n_cur"))
-        ]
-    )
-    sides = F.array(
-        F.struct(F.lit("ref").alias("side"), F.col("n_ref").alias("n")),
-        F.struct(F.lit("cur").alias("side"), F.col("n_cur").alias("n")),
-    )
-    long = present.select("feature", "value", F.explode(sides).alias("s")).select("feature", "value", "s.side", "s.n")
-    medians = quantiles_of_counts(
-        long.filter(F.col("n") > 0), [0.5], ["feature", "side"], rows=None if rows is None else 2 * rows, **limits
-    )
-    wide = medians.groupBy("feature").agg(
-        *[F.max(F.when(F.col("side") == s, F.col("q")[0])).alias(f"{s}_median") for s in ("ref", "cur")]
-    )
-    return means.join(wide, "feature")
-
-
 # --- categorical -----------------------------------------------------------------------------------------------------
 
 
@@ -259,23 +245,21 @@ class DriftProfile:
     """Staged counts of both kinds of features; every result below is read from them."""
 
     def __init__(self, both: DataFrame, config: MonitorConfig, position: str | None = None, **limits):
-        self.config, self.limits = config, limits
-        self.numeric, self.rows = stage_counted(period_value_counts(both, config.numeric), "numeric-counts")
+        self.config = config
+        counts, rows = stage_counted(period_value_counts(both, config.numeric), "numeric-counts")
+        self.ordered = ordered_values(counts, rows=rows, **limits)
+        self.summary = stage(numeric_summary(self.ordered), "numeric-summary")
         self.categorical = stage(
             period_value_counts(both, config.categorical, text=True, position=position), "category-counts"
         )
 
-    def edges(self) -> DataFrame:
-        return bin_edges(self.numeric, rows=self.rows, **self.limits)
-
     def bins(self) -> DataFrame:
-        return psi_bins(self.numeric, self.edges())
+        return psi_bins(self.ordered, self.summary)
 
     def numeric_table(self) -> DataFrame:
-        score = psi(self.bins())
         return (
-            score.join(ks(self.numeric, rows=self.rows, **self.limits), "feature")
-            .join(moments(self.numeric, rows=self.rows, **self.limits), "feature")
+            psi(self.bins())
+            .join(self.summary, "feature")
             .select(
                 "feature",
                 F.lit("numeric").alias("kind"),

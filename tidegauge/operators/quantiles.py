@@ -24,12 +24,11 @@ def value_counts(
     )
 
 
-def stacked_values(df: DataFrame, columns: dict[str, Column], keys: Sequence[str | Column] = ()) -> DataFrame:
-    """Long form (feature, value[, keys]) of several columns in one scan."""
-    pairs = F.array(
-        *[F.struct(F.lit(name).alias("feature"), c.cast("double").alias("value")) for name, c in columns.items()]
-    )
-    return df.select(*keys, F.explode(pairs).alias("_p")).select("*", "_p.feature", "_p.value").drop("_p")
+def stacked_values(df: DataFrame, columns: dict[str, Column], keys: Sequence[Column] = ()) -> DataFrame:
+    """Long form (keys, feature, value) of several columns in one scan; an Expand in front of the partial counts."""
+    wide = df.select(*keys, *[c.cast("double").alias(name) for name, c in columns.items()])
+    ids = wide.columns[: len(keys)]
+    return wide.unpivot(ids, list(columns), "feature", "value")
 
 
 def quantiles_of_counts(
@@ -46,34 +45,38 @@ def quantiles_of_counts(
     `linear` interpolates between neighbours; `nearest` takes the value of rank ceil(p * n). Both are exact. The
     work is ordered by `running_totals`, so neither the number of distinct values nor one huge key is a limit.
     """
+    placed = running_totals(counts, keys, ["value"], ["n"], rows=rows, **limits)
+    picks, q = quantile_picks(probs, "n", method=method)
+    found = placed.groupBy(*keys).agg(*picks)
+    return found.select(*keys, q.alias("q"), F.coalesce(F.col("_n_size"), F.lit(0)).cast("bigint").alias("n"))
+
+
+def quantile_picks(probs: Sequence[float], n: str, *, method: str = "linear") -> tuple[list[Column], Column]:
+    """Quantiles of a table ordered by `running_totals`, weighted by its column `n`.
+
+    Returns the aggregates that pick the values at the wanted ranks, and the array of quantiles over their results. No
+    further ordering is needed, so one ordered table serves any number of quantiles and weights.
+    """
     if method not in ("linear", "nearest"):
         raise ValueError(f"unknown quantile method: {method}")
-    placed = running_totals(counts, keys, ["value"], ["n"], rows=rows, **limits)
-    first, after, total = F.col("n_before"), F.col("n_before") + F.col("n"), F.col("n_total")
+    first, total = F.col(f"{n}_before"), F.col(f"{n}_total")
+    after = first + F.col(n)
+    size = F.col(f"_{n}_size")
 
-    def value_at(rank: Column) -> Column:
-        return F.max(F.when((first <= rank) & (rank < after), F.col("value")))
+    def value_at(rank: Column, name: str) -> Column:
+        return F.max(F.when((first <= rank) & (rank < after), F.col("value"))).alias(f"_{n}_{name}")
 
-    picks = []
+    picks, values = [F.max(f"{n}_total").alias(f"_{n}_size")], []
     for i, p in enumerate(probs):
-        if method == "linear":
-            spot = (total - 1) * F.lit(float(p))
-            picks += [value_at(F.floor(spot)).alias(f"_lo{i}"), value_at(F.ceil(spot)).alias(f"_hi{i}")]
-        else:
-            rank = F.greatest(F.ceil(total * F.lit(float(p))) - 1, F.lit(0))
-            picks.append(value_at(rank).alias(f"_at{i}"))
-    found = placed.groupBy(*keys).agg(*picks, F.max("n_total").alias("n"))
-    if method == "nearest":
-        q = F.array(*[F.col(f"_at{i}") for i in range(len(probs))])
-    else:
-        q = F.array(*[_between(i, float(p)) for i, p in enumerate(probs)])
-    return found.select(*keys, q.alias("q"), F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"))
-
-
-def _between(i: int, p: float) -> Column:
-    spot = (F.col("n") - 1) * F.lit(p)
-    low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-    return low + (high - low) * (spot - F.floor(spot))
+        if method == "nearest":
+            picks.append(value_at(F.greatest(F.ceil(total * F.lit(float(p))) - 1, F.lit(0)), f"at{i}"))
+            values.append(F.col(f"_{n}_at{i}"))
+            continue
+        spot = (total - 1) * F.lit(float(p))
+        picks += [value_at(F.floor(spot), f"lo{i}"), value_at(F.ceil(spot), f"hi{i}")]
+        low, high, where = F.col(f"_{n}_lo{i}"), F.col(f"_{n}_hi{i}"), (size - 1) * F.lit(float(p))
+        values.append(low + (high - low) * (where - F.floor(where)))
+    return picks, F.array(*values)
 
 
 def quantiles(

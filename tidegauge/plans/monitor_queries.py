@@ -51,16 +51,18 @@ js AS (SELECT feature, sum(kl) / 2 AS js, max(abs(round_even(sr, 6) - round_even
               arg_min(value, (-r, value)) AS ref_top, arg_min(value, (-c, value)) AS cur_top FROM js_terms GROUP BY feature)"""
 
 
-def counts(spark, sf):
+def ordered(spark, sf):
     from ..operators.scale import stage_counted
 
-    return stage_counted(D.period_value_counts(line_periods(spark, sf), NUMERIC), "numeric-counts")
+    counts, rows = stage_counted(D.period_value_counts(line_periods(spark, sf), NUMERIC), "numeric-counts")
+    return D.ordered_values(counts, rows=rows)
 
 
 @query("psi", "STA-04 STA-05 JN-07 AGG-21", f"WITH {LONG_SQL} SELECT feature, round(psi, 8) AS psi FROM psi")
 def psi(spark, sf):
-    c, rows = counts(spark, sf)
-    return D.psi(D.psi_bins(c, D.bin_edges(c, rows=rows))).withColumn("psi", F.round("psi", 8))
+    values = ordered(spark, sf)
+    summary = stage(D.numeric_summary(values), "numeric-summary")
+    return D.psi(D.psi_bins(values, summary)).withColumn("psi", F.round("psi", 8))
 
 
 @query(
@@ -68,8 +70,8 @@ def psi(spark, sf):
     f"WITH {LONG_SQL} SELECT feature, bin, round(r, 8) AS ref_share, round(c, 8) AS cur_share, round(v, 8) AS contribution FROM terms",
 )
 def psi_bins(spark, sf):
-    c, rows = counts(spark, sf)
-    bins = D.psi_bins(c, D.bin_edges(c, rows=rows))
+    values = ordered(spark, sf)
+    bins = D.psi_bins(values, stage(D.numeric_summary(values), "numeric-summary"))
     return bins.select("feature", F.col("bin").cast("bigint").alias("bin"), *[F.round(x, 8).alias(x) for x in ("ref_share", "cur_share", "contribution")])
 
 
@@ -81,8 +83,7 @@ def psi_bins(spark, sf):
         FROM (SELECT feature, ks, ks * ks * n * m / (n + m) AS lam FROM ks JOIN sizes USING (feature))""",
 )
 def ks(spark, sf):
-    c, rows = counts(spark, sf)
-    return D.ks(c, rows=rows).select("feature", F.round("ks_statistic", 10).alias("ks_statistic"), F.round("ks_pvalue", 8).alias("ks_pvalue"))
+    return D.numeric_summary(ordered(spark, sf)).select("feature", F.round("ks_statistic", 10).alias("ks_statistic"), F.round("ks_pvalue", 8).alias("ks_pvalue"))
 
 
 @query(
