@@ -159,6 +159,8 @@ class _Leaf:
     def fault(self) -> Column:
         """Error code of a present value that does not fit its kind."""
         text, number = self.type == "STRING", self.is_number()
+        if self.f.choices:
+            return F.lit("literal_error")
         if self.family == "int":
             return F.when(text, "int_parsing").when(number, "int_from_float").otherwise("int_type")
         if self.family == "float":
@@ -166,8 +168,9 @@ class _Leaf:
         if self.family == "bool":
             return F.when(text | (number & (self.number == F.floor(self.number))), "bool_parsing").otherwise("bool_type")
         if self.family == "date":
-            shaped = self.text.rlike(DAY) | self.text.rlike(MOMENT)
-            return F.when(text & ~shaped, "date_parsing").when(text | number, "date_inexact").otherwise("date_type")
+            # a real moment off midnight is inexact, any other text is no date
+            moment = self.text.rlike(MOMENT) & F.regexp_replace(self.text, ZONE, "").try_cast("timestamp_ntz").isNotNull()
+            return F.when(number | (text & moment), "date_inexact").when(text, "date_parsing").otherwise("date_type")
         return F.lit({"str": "string_type", "list": "list_type", "map": "map_type"}[self.family])
 
     def normalise(self) -> Column:
@@ -215,10 +218,10 @@ class _Leaf:
             # NaN breaks every bound; Spark orders it above all numbers, so it is tested by name
             nan = F.isnan(value.cast("double"))
             for limit, code, word, holds in (
-                (f.gt, "greater_than", "greater than", lambda x: value > x),
-                (f.ge, "greater_than_equal", "greater than or equal to", lambda x: value >= x),
-                (f.lt, "less_than", "less than", lambda x: value < x),
                 (f.le, "less_than_equal", "less than or equal to", lambda x: value <= x),
+                (f.lt, "less_than", "less than", lambda x: value < x),
+                (f.ge, "greater_than_equal", "greater than or equal to", lambda x: value >= x),
+                (f.gt, "greater_than", "greater than", lambda x: value > x),
             ):
                 if limit is not None:
                     checks.append((~holds(limit) | nan, code, f"Input should be {word} {limit:g}"))

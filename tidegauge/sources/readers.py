@@ -110,7 +110,7 @@ def envelope_records(checked: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
     """Records of JSON envelope files; any faulty file stops the job with its fault."""
-    files = spark.read.option("wholetext", True).text(path).withColumn("file", F.input_file_name())
+    files = spark.read.text(path, wholetext=True).withColumn("file", F.input_file_name())
     checked = envelope_status(files)
     bad = checked.filter(F.col("fault").isNotNull()).select("file", "fault", "value").limit(1)
     first = bad.select(
