@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import half_even
 from ..functions.text import is_server_error
+from .scale import stage
 
 
 def keyed_counts(df: DataFrame, dimensions: Sequence[str], order: str | None = None) -> DataFrame:
@@ -118,20 +119,40 @@ def kpi(df: DataFrame) -> DataFrame:
 
 
 def sales_report(df: DataFrame, top_n: int = 5) -> DataFrame:
-    """KPI, best categories and all regions as (section, label, value) (REP-01)."""
+    """KPI, best categories and all regions as (section, label, value) (REP-01).
+
+    The sums by order, category and region come from one pass with grouping sets, staged for the four readings of it.
+    """
     if top_n <= 0:
         raise ValueError("top_n must be at least 1")
-    k = kpi(df)
-    figures = k.select(
-        F.explode(
-            F.create_map(*[x for c in k.columns for x in (F.lit(c), F.col(c).cast("double"))])
-        ).alias("label", "value")
-    ).select(F.lit("kpi").alias("section"), "label", "value")
-    by = lambda key: df.groupBy(F.col(key).alias("label")).agg(F.sum("amount").alias("value"))
-    best = top_k(by("category"), top_n, F.desc("value"), F.asc("label"))
-    return figures.unionByName(best.select(F.lit("category").alias("section"), "label", "value")).unionByName(
-        by("region").select(F.lit("region").alias("section"), "label", "value")
+    sets = [["order_id"], ["category"], ["region"]]
+    keys = ["order_id", "category", "region"]
+    sums = df.groupingSets(sets, *keys).agg(F.grouping_id(*keys).alias("_set"), F.sum("amount").alias("amount"))
+    sums = stage(sums, "report-sums")
+    orders, categories, regions = (sums.filter(F.col("_set") == bits) for bits in (0b011, 0b101, 0b110))
+    n_regions = regions.agg(F.count("region")).scalar()
+    figures = orders.agg(
+        F.count(F.lit(1)).alias("n"), F.sum("amount").alias("total"), F.avg("amount").alias("mean")
+    ).select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit("kpi").alias("section"), F.lit(label).alias("label"), value.cast("double").alias("value"))
+                    for label, value in (
+                        ("orders", F.col("n")),
+                        ("net_sales", half_even(F.col("total"))),
+                        ("mean_order_value", half_even(F.col("mean"))),
+                        ("regions", n_regions),
+                    )
+                ]
+            )
+        )
+    )
+    shown = lambda rows, key: rows.select(
+        F.lit(key).alias("section"), F.col(key).alias("label"), F.col("amount").alias("value")
     )
+    best = top_k(shown(categories, "category"), top_n, F.desc("value"), F.asc("label"))
+    return figures.unionByName(best).unionByName(shown(regions, "region"))
 
 
 def ratio_to_best(df: DataFrame, key: str, value: str) -> DataFrame:

@@ -148,7 +148,8 @@ def concurrency_trace(metrics: DataFrame, config: ConcurrencyConfig, run: str =
     are chained per run, and each chunk then replays from its own first level.
     """
     action, reason = decision(config)
-    steps = numbered_rows(metrics.withColumn("action", action).withColumn("reason", reason), [batch], "_ord", [run], **limits)
+    decided = stage(metrics.select(run, batch, action.alias("action"), reason.alias("reason")), "decisions")
+    steps = numbered_rows(decided, [batch], "_ord", [run], **limits)
     steps = stage(
         steps.select(run, batch, "action", "reason", F.col("_ord"), F.floor((F.col("_ord") - 1) / CHUNK).alias("_chunk")), "steps"
     )

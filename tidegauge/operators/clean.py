@@ -27,10 +27,11 @@ UNKNOWN = "Unknown"
 class FillStatistics:
     """Value counts of some columns, with missing values counted under a null value."""
 
-    def __init__(self, df: DataFrame, columns: dict[str, Column], group: Column, **limits):
+    def __init__(self, df: DataFrame, columns: dict[str, Column], group: Column, grouped: Sequence[str], **limits):
         long = stacked_values(df.withColumn("_grp", group), columns, [F.col("_grp").alias("grp")])
-        # only the group-filled columns need the group; the rest share one
-        counts = long.groupBy("feature", "grp", "value").agg(F.count(F.lit(1)).alias("n"))
+        # only the group-filled columns need the group, the counts of the others stay shorter without it
+        own_group = F.when(F.col("feature").isin(*grouped), F.col("grp"))
+        counts = long.groupBy("feature", own_group.alias("grp"), "value").agg(F.count(F.lit(1)).alias("n"))
         self.counts, self.rows = stage_counted(counts, "fill-counts")
         self.limits = limits
 
@@ -151,6 +152,7 @@ def clean_sales(raw: DataFrame, **limits) -> tuple[DataFrame, dict]:
         typed,
         {"unit_price": F.col("unit_price"), "quantity": F.col("quantity"), "order_date": micros(F.col("order_date"))},
         F.col("category"),
+        ["unit_price"],
         **limits,
     )
     medians, n_medians = stats.group_medians(["unit_price"])
@@ -216,7 +218,7 @@ def report_sales(raw: DataFrame, **limits) -> DataFrame:
     require_columns(require_rows(raw), REPORT_COLUMNS)
     typed = typed_sales(raw.select(*REPORT_COLUMNS))
     stats = FillStatistics(
-        typed, {"unit_price": F.col("unit_price"), "quantity": F.col("quantity")}, F.col("category"), **limits
+        typed, {"unit_price": F.col("unit_price"), "quantity": F.col("quantity")}, F.col("category"), ["unit_price"], **limits
     )
     medians, n_medians = stats.group_medians(["unit_price"])
     fallback = {k: q[0] for k, q in stats.quantile_values(stats.fill_groups(medians, n_medians), [0.5]).items()}
@@ -253,7 +255,7 @@ def clean_customers(
             for c in raw.columns
         ]
     )
-    stats = FillStatistics(typed, {c: F.col(c) for c in numeric}, F.col(group), **limits)
+    stats = FillStatistics(typed, {c: F.col(c) for c in numeric}, F.col(group), [grouped], **limits)
     medians, n_medians = stats.group_medians([grouped])
     fallback = {k: q[0] for k, q in stats.quantile_values(stats.fill_groups(medians, n_medians), [0.5]).items()}
     rows = group_fill(typed, [grouped], group, medians, n_medians)

@@ -40,13 +40,24 @@ def staging_root(spark: SparkSession) -> str:
     return root
 
 
+def own_folder(spark: SparkSession) -> str:
+    """This application's part of the shared folder."""
+    return f"{staging_root(spark)}/tidegauge/{spark.sparkContext.applicationId}"
+
+
+def clear_staging(spark: SparkSession) -> None:
+    """Remove what this application staged; frames read from staged tables end with it. Call it when a job is done."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, tag: str = "table") -> DataFrame:
     """Write once to the shared folder and go on from the written table.
 
     Cuts lineage, survives lost executors, and gives Catalyst real file sizes for its join choice.
     """
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/tidegauge/{tag}-{uuid.uuid4().hex}"
+    path = f"{own_folder(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -119,7 +130,11 @@ def running_totals(
 
 
 def numbered_rows(df: DataFrame, order: Sequence[str], out: str, keys: Sequence[str] = (), **limits) -> DataFrame:
-    """1-based position in the given order (unique on it), without a single-task sort of a large table."""
+    """1-based position in the given order (unique on it), without a single-task sort of a large table.
+
+    The rows may be wide, so they are counted by a column-pruned scan and written at most once.
+    """
+    limits.setdefault("rows", df.count())
     placed = running_totals(df.withColumn("_one", F.lit(1).cast("bigint")), keys, order, ["_one"], **limits)
     return placed.withColumn(out, F.col("_one_before") + 1).drop("_one", "_one_before", "_one_total")
 

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from ..operators.scale import staging_root
+from ..operators.scale import own_folder
 
 
 def run_folder(spark: SparkSession, tag: str) -> str:
-    return f"{staging_root(spark)}/tidegauge/stream-{tag}-{uuid.uuid4().hex}"
+    return f"{own_folder(spark)}/stream-{tag}-{uuid.uuid4().hex}"
 
 
 def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
