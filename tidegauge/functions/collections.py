@@ -56,6 +56,12 @@ def type_of(v: Column) -> Column:
     return F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
 
 
+def object_mark(v: Column, path: str = "") -> Column:
+    """OBJECT, OTHER, or null where the value is absent. Reading an object as an empty struct tells it without a walk
+    through its fields, which the type text of a large object needs."""
+    return F.when(at(v, path, "struct<>").isNotNull(), "OBJECT").when(at(v, path, "variant").isNotNull(), "OTHER")
+
+
 def json_fault(text: Column) -> Column:
     """Where a malformed JSON text breaks, as `line L, column C: reason`.
 

@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 # The accepted e-mail shape and the white space a trim removes.
 EMAIL_PATTERN = r"(?U)^[^@\s]+@[^@\s]+\.[^@\s]+\z"
-OUTER_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(c: Column) -> Column:
     """Trim every kind of white space, not only blanks."""
-    return F.regexp_replace(c, OUTER_SPACE, "")
+    return F.trim(c, F.lit(WHITE_SPACE))
 
 
 def strip_lower(c: Column) -> Column:

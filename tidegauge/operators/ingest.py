@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CANONICAL_FIELDS
-from ..functions.collections import NUMBER_TYPES, at, counts_map, missing_names, parsed, type_of
+from ..functions.collections import NUMBER_TYPES, at, counts_map, missing_names, object_mark, parsed, type_of
 from ..functions.text import numbered, strip
 from .scale import BROADCAST_ROWS, lookup, numbered_rows, salted_lookup, stage, stage_counted
 
@@ -85,10 +85,10 @@ def _read(events: DataFrame, event: str) -> DataFrame:
         type_of(at(v, path, "variant")).isin(*NUMBER_TYPES, "BOOLEAN"), at(v, path, "double")
     )
     leaves = {
-        "root": type_of(v),
+        "root": object_mark(v),
         "event_id": strip(at(v, "event_id")),
         "version": number("schema_version"),
-        "payload": type_of(at(v, "payload", "variant")),
+        "payload": object_mark(v, "payload"),
         "period": at(v, "payload.period"),
         "churn1": number("payload.churn"),
         "churn2": number("payload.label.churn"),
@@ -96,14 +96,15 @@ def _read(events: DataFrame, event: str) -> DataFrame:
         "no_nested_id": at(v, "payload.customerId", "variant").isNull(),
         "no_nested_monthly": at(v, "payload.billing.monthlyCharges", "variant").isNull(),
     }
-    leaves |= {f"object_{p}": type_of(at(v, f"payload.{p}", "variant")) for p in V2_OBJECTS}
+    leaves |= {f"object_{p}": object_mark(v, f"payload.{p}") for p in V2_OBJECTS}
     leaves |= {f"flat_{f}": at(v, f"payload.{f}") for f in CANONICAL_FIELDS}
     leaves |= {f"nested_{f}": at(v, f"payload.{p}") for f, p in V2_PATHS.items()}
     # presence of a key, which may hold a null
     any_flat = F.lit(False)
     for f in CANONICAL_FIELDS:
         any_flat = any_flat | at(v, f"payload.{f}", "variant").isNotNull()
-    leaves["any_flat"] = any_flat
+    # looked at only where the version is unknown
+    leaves["any_flat"] = F.when(~_supported(number("schema_version")), any_flat).otherwise(F.lit(False))
     return events.withColumn("_v", parsed(F.col(event))).withColumns({_WORK + n: c for n, c in leaves.items()}).drop("_v")
 
 

@@ -13,8 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.collections import NUMBER_TYPES, at, type_of
-from ..functions.text import OUTER_SPACE
+from ..functions.collections import NUMBER_TYPES, at, object_mark, type_of
+from ..functions.text import strip
 
 ERROR = "struct<loc:string,type:string,msg:string,input:string>"
 
@@ -115,7 +115,7 @@ class _Leaf:
     def coerce(self) -> Column:
         """Value under the lax coercion table of the kind; null where it does not fit."""
         text, number, type_ = self.text, self.number, self.type
-        squeezed = F.regexp_replace(text, OUTER_SPACE, "")
+        squeezed = strip(text)
         truth = F.when(text == "true", 1).when(text == "false", 0)
         if self.family == "int":
             whole = F.when(squeezed.rlike(r"^[+-]?\d+(\.0*)?\z"), F.regexp_replace(squeezed, r"\.0*\z", ""))
@@ -176,7 +176,7 @@ class _Leaf:
     def normalise(self) -> Column:
         c = self.value
         if self.f.strip:
-            c = F.regexp_replace(c, OUTER_SPACE, "")
+            c = strip(c)
         return F.lower(c) if self.f.lower else c
 
     def first_fault(self, inside: Column) -> Column:
@@ -276,7 +276,7 @@ def validate(df: DataFrame, record: str, fields: Sequence[Field]) -> DataFrame:
     source = F.col(record)
 
     work = df.withColumns(
-        {name: type_of(at(source, path, "variant")) for path, name in parents.items()}
+        {name: object_mark(source, path) for path, name in parents.items()}
         | {name: c for leaf in leaves for name, c in leaf.read(source).items()}
     )
     work = work.withColumns({leaf.names["value"]: leaf.coerce() for leaf in leaves})

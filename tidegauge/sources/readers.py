@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.collections import at, json_fault, parsed, type_of
+from ..functions.collections import at, json_fault, object_mark, parsed, type_of
 from .gates import require_columns
 
 # The texts a CSV cell may hold for "missing".
@@ -78,7 +78,7 @@ def envelope_status(envelopes: DataFrame, text: str = "value") -> DataFrame:
     found = F.col("_found")
     read = envelopes.withColumn("envelope", parsed(F.col(text))).withColumns(
         {
-            "_top": type_of(v),
+            "_top": object_mark(v),
             "_list": type_of(at(v, "results", "variant")),
             "_found": at(v, "results", "array<variant>"),
             "_declared": at(v, "count", "bigint"),
