@@ -81,7 +81,8 @@ def explain_shift(
 ) -> DataFrame:
     """Top causes of the change of a mean between the periods of `both` (STA-11, STA-12).
 
-    Contribution is a share of the score of all candidates; the table then keeps the `top_causes` best.
+    Contribution is a share of the score of all candidates; the table then keeps the `top_causes` best. The two groups of
+    a split in two have the same score but for the last bits, so the order looks at ten digits of the share, then at names.
     """
     if segments is None:
         segments = [c for c in (*config.categorical, *config.numeric) if c != target]
@@ -129,7 +130,7 @@ def explain_shift(
         staged.withColumn("contribution", F.col("explanation_score") / F.lit(total))
         .withColumn("total_delta", F.lit(delta).cast("double"))
         .withColumn("direction", F.lit(direction))
-        .orderBy(F.desc("explanation_score"), "segment_feature", "segment")
+        .orderBy(F.desc(F.bround("contribution", 10)), "segment_feature", "segment")
         .limit(config.top_causes)
     )
 

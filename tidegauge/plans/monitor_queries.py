@@ -192,7 +192,7 @@ SEGMENTS = (*CATEGORICAL, "l_quantity", "l_discount", "l_tax")
         SELECT segment_feature, kr AS reference_count, kc AS current_count, round(within_effect, 4) AS within_effect,
                round(mix_effect, 4) AS mix_effect, round(score, 4) AS explanation_score, round(contribution, 6) AS contribution,
                CASE WHEN delta > 0 THEN 'increase' WHEN delta < 0 THEN 'decrease' ELSE 'stable' END AS direction
-        FROM causes ORDER BY score DESC, segment_feature, segment LIMIT 6""",
+        FROM causes ORDER BY round_even(contribution, 10) DESC, segment_feature, segment LIMIT 6""",
 )
 def root_cause(spark, sf):
     top = A.explain_shift(line_periods(spark, sf), "l_extendedprice", LINE_CONFIG, SEGMENTS)
