@@ -90,14 +90,14 @@ def test_churn_study(spark, tmp_path):
     assert out["report"].filter("class = 'accuracy'").first().support == 120
 
 
-def test_drift_monitor(spark, tmp_path):
+def test_monitor_periods(spark, tmp_path):
     now = people(spark).withColumn("monthly_charges", F.col("monthly_charges") + F.when(F.col("contract") == "Month-to-month", 45).otherwise(0))
     now = now.withColumn("total_charges", F.when(F.col("seq") % 8 != 0, F.col("total_charges")))
     feed = lambda df, period, version: I.to_events(df.withColumn("period", F.lit(period)), version, order="seq")
     old = feed(people(spark), "reference", F.lit(1))
     new = feed(now, "current", F.when(F.col("seq") % 2 == 1, 2).otherwise(1))
     new = new.withColumn("event", F.when(F.col("seq") < 10, F.regexp_replace("event", '"churn":[01]', '"churn":7')).otherwise(F.col("event")))
-    out = jobs.drift_monitor(old, new, str(tmp_path / "m"), CONFIG, trees=8, depth=4)
+    out = jobs.monitor_periods(old, new, str(tmp_path / "m"), CONFIG, trees=8, depth=4)
     drift = {r.feature: r for r in out["drift_metrics"].collect()}
     assert drift["monthly_charges"].status == "danger" and drift["total_charges"].status == "danger"
     assert drift["total_charges"].missing_change_pp == pytest.approx(12.5, abs=0.5)

@@ -147,7 +147,7 @@ def _clean(rows: DataFrame, config: MonitorConfig) -> DataFrame:
     )
 
 
-def drift_monitor(
+def monitor_periods(
     reference_events: DataFrame, current_events: DataFrame, out: str, config: MonitorConfig = MonitorConfig(), **forest
 ) -> dict[str, DataFrame]:
     """Two periods of raw events -> intake, quality, drift, causes, model change, health; tables under `out`.

@@ -408,3 +408,22 @@ def model_monitor(spark, sf):
     reference, current = orders.filter(~now).drop("o_orderdate"), orders.filter(now).drop("o_orderdate")
     _, change, _ = M.monitor(reference, current, "o_orderkey", ORDER_MODEL, trees=10, depth=4)
     return change
+
+
+@query(
+    "model_reload", "SNK-05 ML-03 ML-09",
+    "SELECT 0 AS only_first, 0 AS only_second, 0 AS cells_off, count(*) AS rows, true AS equal FROM orders",
+)
+def model_reload(spark, sf):
+    """A saved and reloaded model predicts the same for every order."""
+    from ..operators.compare import predictions_equal
+    from ..operators.scale import own_folder
+
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", "o_totalprice", "o_custkey", "o_orderpriority", F.date_format("o_orderdate", "E").alias("weekday"),
+        (F.col("o_orderstatus") == "F").cast("int").alias("churn"),
+    )
+    model = M.train(orders, ORDER_MODEL, trees=5, depth=3)
+    again = M.save(model, f"{own_folder(spark)}/order-model")
+    first, second = M.score(model, orders, ORDER_MODEL), M.score(again, orders, ORDER_MODEL)
+    return predictions_equal(first, second, "o_orderkey", "risk_score")

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import aggregate as A
 from ..operators.clean import join_check, join_dimension
 from ..operators.compare import compare
 from ..operators.quantiles import quantiles
-from ..sources.readers import dimension, table, view
-from ..sources.sinks import row_count
+from ..operators.scale import own_folder
+from ..sources.readers import csv_view, dimension, read_csv, table, view
+from ..sources.sinks import row_count, write_csv
 from .catalogue import query
 from .tables import SALES_SQL, sales
 
@@ -311,3 +314,26 @@ def segment_modes(spark, sf):
         F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("p")
     )
     return A.most_frequent(counts, ["o_orderstatus"], "o_orderpriority", "n", "p")
+
+
+@query(
+    "csv_summary", "SRC-04 SRC-05 SRC-06 SNK-01",
+    """SELECT o_orderpriority, count(*) AS n, round(sum(o_totalprice), 2) AS total, min(o_orderkey) AS first_order,
+              count(*) FILTER (o_orderstatus = 'F') AS finished
+       FROM orders GROUP BY o_orderpriority""",
+)
+def csv_summary(spark, sf):
+    """Orders written as CSV, read back once with a declared schema and once through SQL over the path."""
+    folder = f"{own_folder(spark)}/orders-csv-{uuid.uuid4().hex}"
+    write_csv(table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice"), folder)
+    csv_view(spark, "tidegauge_orders_csv", folder)
+    by_sql = spark.sql(
+        "SELECT o_orderpriority, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM tidegauge_orders_csv GROUP BY o_orderpriority"
+    )
+    schema = "o_orderkey bigint, o_orderpriority string, o_orderstatus string, o_totalprice double"
+    by_frame = (
+        read_csv(spark, folder, schema, required=["o_orderkey", "o_orderstatus"])
+        .groupBy("o_orderpriority")
+        .agg(F.min("o_orderkey").alias("first_order"), F.count_if(F.col("o_orderstatus") == "F").alias("finished"))
+    )
+    return by_sql.join(by_frame, "o_orderpriority")
