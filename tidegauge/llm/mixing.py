@@ -59,13 +59,10 @@ def source_targets(
         F.col("_weight_total") - F.col("_weight_before")
     )
     levelled = run.withColumn("_level", level).withColumn("_capped", cap <= F.col("_level") * F.col("_weight"))
-    open_level = levelled.filter(~F.col("_capped")).agg(
-        F.min_by("_level", F.struct("_ratio", "_rank")).alias("_open")
-    )
-    targets = levelled.join(F.broadcast(open_level)).select(  # one row
-        "source",
-        "source_size",
-        F.when(F.col("_capped"), cap).otherwise(F.least(cap, F.col("_open") * F.col("_weight"))).alias("target"),
+    first_open = levelled.filter(~F.col("_capped")).agg(F.min_by("_level", F.struct("_ratio", "_rank"))).first()[0]
+    share = F.lit(first_open).cast("double") * F.col("_weight")  # one number, read on the driver
+    targets = levelled.select(
+        "source", "source_size", F.when(F.col("_capped"), cap).otherwise(F.least(cap, share)).alias("target")
     )
     return targets, count
 

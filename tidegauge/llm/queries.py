@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.readers import table
-from . import chat, merkle, mixing
+from . import bpe, chat, merkle, mixing, simhash, topk
 
 Run = Callable[[SparkSession, str], DataFrame]
 
 
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """Place of a public vocabulary file on the driver."""
+    return public_tokenizers.path(name)
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
@@ -20,6 +26,18 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_report(table(spark, sf_dir, "conversations"))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_report(table(spark, sf_dir, "documents"), vocabulary())
+
+
+def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search_report(table(spark, sf_dir, "embeddings"))
+
+
 def op8_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprint_report(table(spark, sf_dir, "documents"))
 
@@ -27,5 +45,8 @@ def op8_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, tuple[Run, str | None]] = {
     "op3_mix_sources": (op3_mix_sources, mixing.SQL),
     "op4_chat_format": (op4_chat_format, chat.SQL),
+    "op5_simhash": (op5_simhash, None),
+    "op6_bpe": (op6_bpe, None),
+    "op7_topk_search": (op7_topk_search, topk.SQL),
     "op8_merkle_fingerprints": (op8_merkle_fingerprints, merkle.SQL),
 }
