@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.readers import table
-from . import bpe, chat, merkle, mixing, simhash, topk
+from . import bpe, chat, gam, merkle, mixing, simhash, topk, toxicity
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,10 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
@@ -42,11 +46,17 @@ def op8_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprint_report(table(spark, sf_dir, "documents"))
 
 
+def op10_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gam.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, tuple[Run, str | None]] = {
+    "op1_toxicity": (op1_toxicity, None),
     "op3_mix_sources": (op3_mix_sources, mixing.SQL),
     "op4_chat_format": (op4_chat_format, chat.SQL),
     "op5_simhash": (op5_simhash, None),
     "op6_bpe": (op6_bpe, None),
     "op7_topk_search": (op7_topk_search, topk.SQL),
     "op8_merkle_fingerprints": (op8_merkle_fingerprints, merkle.SQL),
+    "op10_quality_gam": (op10_quality_gam, None),
 }
