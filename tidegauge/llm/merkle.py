@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LEAF = r"[^.!?]{1,96}[.!?]*|[.!?]+"
-SLICES = 256
+# Documents of a slice, and bounds of the number of slices: beyond 65 million documents the slices grow instead.
+SLICE_ROWS, LEAST_SLICES, MOST_SLICES = 1000, 256, 65_536
 
 
 def leaves(text: Column) -> Column:
@@ -69,40 +70,50 @@ def edits(left: Column, right: Column) -> Column:
     return F.flatten(F.transform(differing, lambda i: inside(at(left, i), at(right, i), i)))
 
 
-def with_next(docs: DataFrame, slices: int = SLICES) -> DataFrame:
+def _position(cuts: list, of: Column, kind: str) -> Column:
+    """How many of the ascending cuts are at or below a value: first among every n-th cut, then inside one stretch."""
+    step = max(1, int(len(cuts) ** 0.5))
+    listed = lambda values: F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+    at_most = lambda values: F.size(F.filter(values, lambda c: c <= of))
+    stretch = at_most(listed(cuts[::step])) - 1
+    inside = at_most(F.slice(listed(cuts), stretch * step + 1, F.lit(step)))
+    return F.when(of < F.lit(cuts[0]).cast(kind), 0).otherwise(stretch * step + inside)
+
+
+def with_next(docs: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """`doc_id`, `text` and `next_text`, the text of the next document by id; after the last comes the first.
 
-    The ids are cut into slices at quantiles; a slice also receives the first document of the next one, so each
-    successor is found inside its slice and no task orders the whole table. Null ids come first; equal ids go by text.
+    The ids are cut into slices at quantiles, about `slice_rows` documents each; a slice also receives the first document
+    of the next one, so each successor is found inside its slice and no task orders the whole table. Ids are whole numbers;
+    null ids come first; equal ids go by text.
     """
     plain = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    share = [i / slices for i in range(1, slices)]
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = plain.count()
+    slices = min(MOST_SLICES, max(LEAST_SLICES, rows // slice_rows))
     found = plain.agg(
         F.min("doc_id").alias("low"),
         F.max(F.col("doc_id").isNull()).alias("nulls"),
-        F.percentile_approx("doc_id", share, 10 * slices).alias("cuts"),
+        F.percentile_approx("doc_id", [i / slices for i in range(1, slices)], 10 * slices).alias("cuts"),
     ).first()
     cuts = sorted({c for c in (found["cuts"] or []) if c > found["low"]})
-    number = {c: i + 1 for i, c in enumerate(cuts)}
-    own = F.lit(0)
+    own = F.coalesce(_position(cuts, F.col("doc_id"), kind), F.lit(0)) if cuts else F.lit(0)
+    # a slice begins at a cut, which is an id: that document is also a guest at the end of the slice before
+    begins = F.lit(False)
     if cuts:
-        own = F.coalesce(F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("doc_id"))), F.lit(0))
-        own = F.when(F.col("doc_id").isNull(), 0).otherwise(own)
-    # where a slice begins, its first document is also a guest at the end of the slice before
-    begins = [(c, i - 1) for c, i in number.items()]
-    guest = F.lit(None).cast("int")
-    if begins:
-        table = F.create_map(*[F.lit(x) for pair in begins for x in pair])
-        guest = F.try_element_at(table, F.col("doc_id"))
+        at_cut = F.split(F.lit(",".join(map(str, cuts))), ",").cast(f"array<{kind}>")
+        begins = F.coalesce(F.get(at_cut, F.col("_own") - 1) == F.col("doc_id"), F.lit(False))
     first = F.col("doc_id").isNull() if found["nulls"] else F.col("doc_id") == F.lit(found["low"])
+    place = lambda number, guest: F.struct(number.alias("slice"), F.lit(guest).alias("guest"))
     places = F.array_compact(
         F.array(
-            F.struct(F.col("_own").alias("slice"), F.lit(False).alias("guest")),
-            F.when(F.col("_guest").isNotNull(), F.struct(F.col("_guest").alias("slice"), F.lit(True).alias("guest"))),
-            F.when(first, F.struct(F.lit(len(cuts)).alias("slice"), F.lit(True).alias("guest"))),
+            place(F.col("_own"), False),
+            F.when(begins, place(F.col("_own") - 1, True)),
+            F.when(first, place(F.lit(len(cuts)), True)),
         )
     )
-    placed = plain.withColumns({"_own": own, "_guest": guest}).select("doc_id", "text", F.inline(places))
+    placed = plain.withColumn("_own", own).select("doc_id", "text", F.inline(places))
+    # the very first document closes the last slice, behind any other guest
     order = Window.partitionBy("slice").orderBy("guest", F.col("doc_id").asc_nulls_first(), "text")
     return placed.withColumn("next_text", F.lead("text").over(order)).filter(~F.col("guest")).drop("slice", "guest")
 

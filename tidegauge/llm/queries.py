@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.readers import table
-from . import bpe, chat, gam, merkle, mixing, simhash, topk, toxicity
+from . import bpe, chat, gam, merkle, mixing, simhash, suffix_tree, topk, toxicity
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +46,10 @@ def op8_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprint_report(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gam.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -58,5 +62,6 @@ QUERIES: dict[str, tuple[Run, str | None]] = {
     "op6_bpe": (op6_bpe, None),
     "op7_topk_search": (op7_topk_search, topk.SQL),
     "op8_merkle_fingerprints": (op8_merkle_fingerprints, merkle.SQL),
+    "op9_suffix_tree_lm": (op9_suffix_tree_lm, None),
     "op10_quality_gam": (op10_quality_gam, None),
 }
