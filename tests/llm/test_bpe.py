@@ -53,7 +53,22 @@ def test_broken_sequences_are_replaced(coder, library):
 def test_cuts_are_certain(coder):
     """No vocabulary token holds a pair at which a text is cut."""
     raw = [b for b in coder.bytes_of.values() if b not in {t.encode() for t in coder.special}]
-    assert all(b[i : i + 2] in coder.joined for b in raw for i in range(len(b) - 1))
+    assert all(pair in coder.joined for b in raw for pair in zip(b, b[1:], strict=False))
+
+
+def test_memory_is_bounded_and_keeps_what_is_used(coder):
+    memory = bpe.Memory(3)
+    for i in range(20):
+        memory.put(i, i + 1)
+        assert memory.get(0) == 1
+        assert len(memory.young) + len(memory.old) <= 6
+
+
+def test_long_fragments_merge_as_short_ones(coder, monkeypatch):
+    fragments = [b"aaaaaaa", b"abababab" * 5, b"thethethe" * 6, b"=" * 50]
+    short = [coder.merge(f) for f in fragments]
+    monkeypatch.setattr(bpe, "LONG", 1)
+    assert [coder.merge(f) for f in fragments] == short
 
 
 def test_report(spark, library):

@@ -20,7 +20,6 @@ import heapq
 import json
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import pyarrow as pa
 import regex
@@ -29,7 +28,30 @@ from pyspark.sql import functions as F
 
 # The split pattern of byte-level BPE files.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-KNOWN_FRAGMENTS = 200_000
+# Pieces and fragments remembered per worker: at most twice this number each.
+REMEMBERED = 300_000
+LONG = 64
+NO_MERGE = 1 << 62
+
+
+class Memory:
+    """A map of bounded size in two generations: what was used since the last change of generations stays."""
+
+    def __init__(self, size: int = REMEMBERED) -> None:
+        self.size, self.young, self.old = size, {}, {}
+
+    def get(self, key):
+        found = self.young.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is not None:
+                self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
 
 
 def byte_letters() -> dict[str, int]:
@@ -49,82 +71,101 @@ class Coder:
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         plain = {token: i for token, i in vocab.items() if token not in special}
         pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
-        self.rank = {(plain[a], plain[b]): (i, plain[a + b]) for i, (a, b) in enumerate(pairs)}
+        # by both ids in one number: rank and new id in one number
+        self.rank = {plain[a] << 20 | plain[b]: i << 20 | plain[a + b] for i, (a, b) in enumerate(pairs)}
         self.single = [plain.get(letter) for letter, _ in sorted(letters.items(), key=lambda x: x[1])]
         self.bytes_of = {i: raw(token) for token, i in plain.items()} | {i: t.encode() for t, i in special.items()}
-        inside = {token[k : k + 2] for token in map(raw, plain) for k in range(len(token) - 1)}
-        self.joined = frozenset(inside)
+        self.joined = frozenset(pair for token in map(raw, plain) for pair in zip(token, token[1:], strict=False))
         self.special = special
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
         self.pieces = regex.compile(PATTERN).findall
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.fragments: dict[bytes, tuple[int, ...]] = {}
+        self.digits = {i: str(i) for i in self.bytes_of}
+        self.known, self.fragments = Memory(), Memory()
 
     def merge(self, fragment: bytes) -> tuple[int, ...]:
-        """Merge a fragment, lowest rank first and then leftmost, with a heap over a linked list."""
-        ids: list[int] = [self.single[b] for b in fragment]
-        n = len(ids)
-        if n == 1:
-            return tuple(ids)
+        """Merge a fragment: lowest rank first, then leftmost."""
+        ids = [self.single[b] for b in fragment]
+        if len(ids) > LONG:
+            return self._merge_long(ids)
+        find = self.rank.get
+        open_ranks = [find(a << 20 | b, NO_MERGE) for a, b in zip(ids, ids[1:], strict=False)]
+        while open_ranks:
+            best = min(open_ranks)
+            if best == NO_MERGE:
+                break
+            i = open_ranks.index(best)
+            ids[i : i + 2] = [best & 0xFFFFF]
+            del open_ranks[i]
+            if i:
+                open_ranks[i - 1] = find(ids[i - 1] << 20 | ids[i], NO_MERGE)
+            if i < len(open_ranks):
+                open_ranks[i] = find(ids[i] << 20 | ids[i + 1], NO_MERGE)
+        return tuple(ids)
+
+    def _merge_long(self, ids: list[int]) -> tuple[int, ...]:
+        """The same with a heap over a linked list, for fragments without a bound."""
+        n, find = len(ids), self.rank.get
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = []
-        for i in range(n - 1):
-            if found := self.rank.get((ids[i], ids[i + 1])):
-                heap.append((found[0], i, ids[i], ids[i + 1]))
+        pairs = enumerate(zip(ids, ids[1:], strict=False))
+        heap = [(rank, i, a, b) for i, (a, b) in pairs if (rank := find(a << 20 | b, NO_MERGE)) != NO_MERGE]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b = heapq.heappop(heap)
+            rank, i, a, b = heapq.heappop(heap)
             j = after[i] if ids[i] == a else n
             if j >= n or ids[j] != b:
                 continue  # one of the two has been merged since
-            ids[i], ids[j] = self.rank[a, b][1], -1
+            ids[i], ids[j] = rank & 0xFFFFF, -1
             after[i] = after[j]
             if after[i] < n:
                 before[after[i]] = i
             for left in (before[i], i):
-                if left >= 0 and after[left] < n and (found := self.rank.get((ids[left], ids[after[left]]))):
-                    heapq.heappush(heap, (found[0], left, ids[left], ids[after[left]]))
+                if left >= 0 and after[left] < n:
+                    a, b = ids[left], ids[after[left]]
+                    if (rank := find(a << 20 | b, NO_MERGE)) != NO_MERGE:
+                        heapq.heappush(heap, (rank, left, a, b))
         return tuple(i for i in ids if i >= 0)
 
     def encode_piece(self, piece: str) -> tuple[int, ...]:
         """Cut a piece of the split pattern at its certain boundaries and join the fragments' ids."""
         data, joined = piece.encode("utf-8", "surrogatepass"), self.joined
-        cuts = [0, *(k + 1 for k in range(len(data) - 1) if data[k : k + 2] not in joined), len(data)]
+        cuts = [k for k, pair in enumerate(zip(data, data[1:], strict=False), 1) if pair not in joined]
+        if not cuts:
+            return self.merge(data)
         ids: list[int] = []
-        for a, b in zip(cuts, cuts[1:], strict=False):
+        for a, b in zip([0, *cuts], [*cuts, len(data)], strict=True):
             fragment = data[a:b]
             found = self.fragments.get(fragment)
             if found is None:
                 found = self.merge(fragment)
-                if len(self.fragments) >= KNOWN_FRAGMENTS:
-                    self.fragments.clear()
-                if len(fragment) <= 64:
-                    self.fragments[fragment] = found
+                if len(fragment) <= LONG:
+                    self.fragments.put(fragment, found)
             ids.extend(found)
         return tuple(ids)
 
-    def _plain(self, text: str) -> Iterator[tuple[int, ...]]:
-        known = self.known
+    def _extend(self, ids: list[int], text: str) -> None:
+        young, known, extend = self.known.young.get, self.known, ids.extend
         for piece in self.pieces(text):
-            found = known.get(piece)
+            found = young(piece)
             if found is None:
-                found = self.encode_piece(piece)
-                if len(known) >= KNOWN_FRAGMENTS:
-                    known.clear()
-                if len(piece) <= 64:
-                    known[piece] = found
-            yield found
+                found = known.get(piece)
+                if found is None:
+                    found = self.encode_piece(piece)
+                    if len(piece) <= LONG:
+                        known.put(piece, found)
+                young = known.young.get
+            extend(found)
 
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text."""
-        if not self.special or not any(t in text for t in self.special):
-            return list(chain.from_iterable(self._plain(text)))
         ids: list[int] = []
+        if not any(t in text for t in self.special):
+            self._extend(ids, text)
+            return ids
         for part in self.split_special.split(text):
             if part in self.special:
                 ids.append(self.special[part])
             else:
-                ids.extend(chain.from_iterable(self._plain(part)))
+                self._extend(ids, part)
         return ids
 
     def decode(self, ids: list[int]) -> str:
@@ -192,7 +233,7 @@ def decode(rows: DataFrame, vocabulary: str, ids: str = "ids", into: str = "text
 def _digests(coder: Coder, text: str) -> tuple[int, str, str]:
     ids = coder.encode(text)
     sha = lambda data: hashlib.sha256(data).hexdigest()
-    return len(ids), sha(",".join(map(str, ids)).encode()), sha(coder.decode(ids).encode())
+    return len(ids), sha(",".join([coder.digits[i] for i in ids]).encode()), sha(coder.decode(ids).encode())
 
 
 DIGESTS = [
