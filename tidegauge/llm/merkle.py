@@ -77,7 +77,7 @@ def _position(cuts: list, of: Column, kind: str) -> Column:
     at_most = lambda values: F.size(F.filter(values, lambda c: c <= of))
     stretch = at_most(listed(cuts[::step])) - 1
     inside = at_most(F.slice(listed(cuts), stretch * step + 1, F.lit(step)))
-    return F.when(of < F.lit(cuts[0]).cast(kind), 0).otherwise(stretch * step + inside)
+    return F.when(of.isNull() | (of < F.lit(cuts[0]).cast(kind)), 0).otherwise(stretch * step + inside)
 
 
 def with_next(docs: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
@@ -97,7 +97,7 @@ def with_next(docs: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
         F.percentile_approx("doc_id", [i / slices for i in range(1, slices)], 10 * slices).alias("cuts"),
     ).first()
     cuts = sorted({c for c in (found["cuts"] or []) if c > found["low"]})
-    own = F.coalesce(_position(cuts, F.col("doc_id"), kind), F.lit(0)) if cuts else F.lit(0)
+    own = _position(cuts, F.col("doc_id"), kind) if cuts else F.lit(0)
     # a slice begins at a cut, which is an id: that document is also a guest at the end of the slice before
     begins = F.lit(False)
     if cuts:
