@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.readers import table
-from . import bpe, chat, gam, merkle, mixing, simhash, suffix_tree, topk, toxicity
+from . import bpe, chat, gam, licenses, merkle, mixing, simhash, suffix_tree, topk, toxicity
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ def op10_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, tuple[Run, str | None]] = {
     "op1_toxicity": (op1_toxicity, None),
+    "op2_license_scan": (op2_license_scan, licenses.SQL),
     "op3_mix_sources": (op3_mix_sources, mixing.SQL),
     "op4_chat_format": (op4_chat_format, chat.SQL),
     "op5_simhash": (op5_simhash, None),
