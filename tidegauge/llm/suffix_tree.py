@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,7 @@ from .labels import held_out
 LEAST_SHARE = 2e-5
 DEPTH = 3
 BLOCK_BYTES = 24 << 20
+PIECE_SYMBOLS = 400_000
 DISCOUNT = 0.5
 LEAST_GAIN = 20.0
 END, REST, WORDS = 0, 1, 2  # symbols: end of text, any rare word, then the frequent words; the start mark is the last one
@@ -253,6 +255,16 @@ def flat_texts(lists: pa.Array, start: int) -> tuple[np.ndarray, np.ndarray, np.
     return flat, np.repeat(begins, sizes), np.repeat(np.arange(len(sizes)), sizes)
 
 
+def _symbol_pieces(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """Pieces of a batch of about PIECE_SYMBOLS symbols, so that work arrays have a fixed size."""
+    sizes = pc.list_value_length(batch.column(column)).to_numpy(zero_copy_only=False)
+    number = np.cumsum(sizes) // PIECE_SYMBOLS
+    cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def _member(keys: np.ndarray, of: np.ndarray) -> np.ndarray:
     if not len(of):
         return np.zeros(len(keys), bool)
@@ -268,8 +280,8 @@ def run_counts(texts: DataFrame, length: int, size: int, shorter: np.ndarray | N
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shorter = sent.value
-        for batch in batches:
-            flat, begins, _ = flat_texts(batch.column(0), size - 1)
+        for piece in chain.from_iterable(_symbol_pieces(batch, "symbols") for batch in batches):
+            flat, begins, _ = flat_texts(piece.column(0), size - 1)
             before = histories(flat, begins, length - 1)
             ok = (before[-1] >= 0)
             key, power = flat.copy(), size
@@ -349,13 +361,13 @@ def with_scores(texts: DataFrame, tree: Tree) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = sent.value
-        for batch in batches:
-            flat, begins, owner = flat_texts(batch.column("symbols"), tree.size - 1)
+        for piece in chain.from_iterable(_symbol_pieces(batch, "symbols") for batch in batches):
+            flat, begins, owner = flat_texts(piece.column("symbols"), tree.size - 1)
             real = np.arange(len(flat)) != begins
             before = [h[real] for h in histories(flat, begins, DEPTH)]
             logs = np.log10(tree.probabilities(before, flat[real]))
-            score = _per_text(logs, owner[real], batch.num_rows) + batch.column("inside").to_numpy()
-            arrays = [batch.column(name) for name in names]
+            score = _per_text(logs, owner[real], piece.num_rows) + piece.column("inside").to_numpy()
+            arrays = [piece.column(name) for name in names]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(score)], names=[*names, "score"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
