@@ -82,7 +82,7 @@ def spanning_links(sides: list[np.ndarray], radius: int) -> list[tuple[int, int]
 
     Breadth first; each step compares one fingerprint with those not yet reached, so at most one link per member results.
     """
-    rest, found = list(sides), []
+    rest, found = [side.view(np.uint64) for side in sides], []  # bits are counted on unsigned numbers
     while len(rest[0]):
         front, rest[0] = [(0, rest[0][0])], rest[0][1:]
         while front:
@@ -94,7 +94,8 @@ def spanning_links(sides: list[np.ndarray], radius: int) -> list[tuple[int, int]
             if near.any():
                 reached = rest[other][near]
                 rest[other] = rest[other][~near]
-                found.extend((int(one), int(x)) for x in reached)
+                start = int(one.view(np.int64))
+                found.extend((start, x) for x in reached.view(np.int64).tolist())
                 front.extend((other, x) for x in reached)
     return found
 
@@ -104,6 +105,7 @@ def _group_links(radius: int):
 
     def flush(fp: np.ndarray, block: np.ndarray) -> list[tuple[int, int]]:
         lower = block == block[0]
+        fp = np.ascontiguousarray(fp)
         return spanning_links([fp] if lower.all() else [fp[lower], fp[~lower]], radius)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

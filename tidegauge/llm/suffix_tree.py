@@ -319,6 +319,9 @@ def grow(tree: Tree, contexts: np.ndarray, totals: np.ndarray, runs: np.ndarray,
     value = np.minimum((counts - DISCOUNT) / n, 1 - 1e-9)
     owned = np.bincount(place, value, len(contexts))
     lent = np.bincount(place, shorter, len(contexts))
+    # where every symbol has an entry of its own, nothing is left for others: the discounts go back to the entries
+    value = np.where(lent[place] > 1 - 1e-9, value / owned[place], value)
+    owned = np.bincount(place, value, len(contexts))
     left, lent_left = np.maximum(1 - owned, 1e-12), np.maximum(1 - lent, 1e-12)
     gain = np.bincount(place, value * np.log(value / np.maximum(shorter, 1e-300)), len(contexts)) + left * np.log(left / lent_left)
     keep = (np.bincount(place, minlength=len(contexts)) > 0) & (gain * totals >= LEAST_GAIN)
