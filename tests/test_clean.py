@@ -89,6 +89,19 @@ def test_mean_order_value_is_a_mean_of_sums(spark):
     assert (k.orders, k.mean_order_value) == (2, 150)
 
 
+def test_rows_without_an_order_id_are_no_order(spark):
+    df = spark.createDataFrame(
+        [(1, "r", "c", 100.0), (1, "r", "c", 100.0), (None, "q", "d", 50.0)], "order_id int, region string, category string, amount double"
+    )
+    k = kpi(df).first()
+    assert (k.orders, k.net_sales, k.mean_order_value) == (1, 250, 200)
+    rows = sorted((r.section, r["rank"], r.label, r.value) for r in sales_report(df, 1).collect())
+    assert rows == [
+        ("category", 1, "c", 200.0), ("kpi", 1, "orders", 1.0), ("kpi", 2, "net_sales", 250.0), ("kpi", 3, "mean_order_value", 200.0),
+        ("kpi", 4, "regions", 2.0), ("region", 1, "r", 200.0), ("region", 2, "q", 50.0),
+    ]
+
+
 def test_summary_and_pivot(spark):
     clean, _ = C.clean_sales(sales(spark))
     assert {r.category: r.orders for r in category_summary(clean).collect()} == {"Food": 2, "Home": 2}

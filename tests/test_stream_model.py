@@ -58,6 +58,15 @@ def test_route_over_batches(spark, tmp_path):
         assert {r.seq for r in got.collect()} == {s for s, (o, _) in expected.items() if o == name}
     assert spark.read.parquet(f"{folder}/accepted").select("batch").distinct().count() > 1
     assert {r.seq: r.replay for r in intake.replay_letters(spark, folder).collect()} == {s: r for s, (o, r) in expected.items() if r}
+    # recovered ids are accepted now, no letter is pending any more, and a repaired event sent again is a duplicate
+    mended = {s for s, (o, r) in expected.items() if r == "recovered"}
+    assert {r.seq for r in spark.read.parquet(f"{folder}/accepted").filter("batch < 0").collect()} == mended
+    assert intake.replay_letters(spark, folder).count() == 0
+    assert intake.replay_letters(spark, folder, 1).count() == sum(o == "dlq" for o, _ in expected.values())
+    assert {r.seq for r in spark.read.parquet(f"{folder}/accepted").filter("batch < 0").collect()} == mended
+    again = spark.createDataFrame([(1000 + s, t) for s, t in texts if s in mended], "seq bigint, event string")
+    intake.route_batch(again, 99, folder)
+    assert spark.read.parquet(f"{folder}/duplicate").filter("batch = 99").count() == len(mended)
     # the last batch once more changes nothing
     before = spark.read.parquet(f"{folder}/accepted").count()
     intake.route_batch(df.filter("seq >= 40"), 2, folder)
@@ -104,11 +113,40 @@ def test_failing_batch_does_not_stop_the_next(spark, tmp_path):
 
     recurring.recurring(stream, task, f"{tmp_path}/gc").awaitTermination()
     assert seen == [0, 2, 3]
-    assert recurring.guarded(lambda b, n: "done")(df, 0) == "done"
+    assert recurring.guarded(lambda b, n: "done", f"{tmp_path}/gf")(df, 0) == "done"
     with pytest.raises(ValueError):
         recurring.recurring(stream, task, f"{tmp_path}/gx", 0)
 
 
+def test_failed_batch_is_worked_off_by_the_next_run(spark, tmp_path):
+    df = spark.range(3).select(F.col("id").alias("i"))
+    stream = written(spark, f"{tmp_path}/h", df, 3, "i")
+    seen, broken = [], [True]
+
+    def task(batch, n):
+        rows = [r.i for r in batch.collect()]
+        if n == 1 and broken:
+            raise RuntimeError("broken")
+        seen.extend(rows)
+
+    recurring.recurring(stream, task, f"{tmp_path}/hc").awaitTermination()
+    assert sorted(seen) == [0, 2]
+    recurring.recurring(stream, task, f"{tmp_path}/hc").awaitTermination()
+    assert sorted(seen) == [0, 2]  # it failed again and is still kept
+    broken.clear()
+    recurring.recurring(stream, task, f"{tmp_path}/hc").awaitTermination()
+    assert sorted(seen) == [0, 1, 2]
+    recurring.recurring(stream, task, f"{tmp_path}/hc").awaitTermination()
+    assert sorted(seen) == [0, 1, 2]
+
+
+def test_a_broken_accepted_table_is_an_error(spark, tmp_path):
+    (tmp_path / "accepted" / "batch=0").mkdir(parents=True)
+    (tmp_path / "accepted" / "batch=0" / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception):  # noqa: B017
+        intake.route_batch(spark.createDataFrame([(1, "{}")], "seq bigint, event string"), 1, str(tmp_path))
+
+
 def test_csv_stream(spark, tmp_path):
     (tmp_path / "x.csv").write_text("ip,status\n1,200\n2,500\n")
     stream = stream_csv(spark, str(tmp_path), "ip string, status string", 1)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import half_even
@@ -102,12 +102,15 @@ def most_frequent(counts: DataFrame, keys: Sequence[str], value: str, n: str, fi
 
 
 def kpi(df: DataFrame) -> DataFrame:
-    """Orders, net sales, mean order value and number of regions (AGG-08, AGG-09) in one row."""
+    """Orders, net sales, mean order value and number of regions (AGG-08, AGG-09) in one row.
+
+    Rows without an order id count in the sales, not as an order.
+    """
     orders = df.groupBy("order_id").agg(F.sum("amount").alias("amount"))
     per_order = orders.agg(
-        F.count(F.lit(1)).alias("orders"),
+        F.count("order_id").alias("orders"),
         F.sum("amount").alias("net_sales"),
-        F.avg("amount").alias("mean_order_value"),
+        F.avg(F.when(F.col("order_id").isNotNull(), F.col("amount"))).alias("mean_order_value"),
     )
     regions = df.agg(F.count_distinct("region").alias("n")).scalar()
     return per_order.select(
@@ -119,7 +122,9 @@ def kpi(df: DataFrame) -> DataFrame:
 
 
 def sales_report(df: DataFrame, top_n: int = 5) -> DataFrame:
-    """KPI, best categories and all regions as (section, label, value) (REP-01).
+    """KPI, best categories and all regions as (section, label, value, rank) (REP-01).
+
+    `rank` carries the order inside a section: the figures as listed, categories and regions by falling amount.
 
     The sums by order, category and region come from one pass with grouping sets, staged for the four readings of it.
     """
@@ -132,26 +137,34 @@ def sales_report(df: DataFrame, top_n: int = 5) -> DataFrame:
     orders, categories, regions = (sums.filter(F.col("_set") == bits) for bits in (0b011, 0b101, 0b110))
     n_regions = regions.agg(F.count("region")).scalar()
     figures = orders.agg(
-        F.count(F.lit(1)).alias("n"), F.sum("amount").alias("total"), F.avg("amount").alias("mean")
+        F.count("order_id").alias("n"), F.sum("amount").alias("total"),
+        F.avg(F.when(F.col("order_id").isNotNull(), F.col("amount"))).alias("mean"),
     ).select(
         F.inline(
             F.array(
                 *[
-                    F.struct(F.lit("kpi").alias("section"), F.lit(label).alias("label"), value.cast("double").alias("value"))
-                    for label, value in (
-                        ("orders", F.col("n")),
-                        ("net_sales", half_even(F.col("total"))),
-                        ("mean_order_value", half_even(F.col("mean"))),
-                        ("regions", n_regions),
+                    F.struct(
+                        F.lit("kpi").alias("section"), F.lit(label).alias("label"), value.cast("double").alias("value"),
+                        F.lit(rank).alias("rank"),
+                    )
+                    for rank, (label, value) in enumerate(
+                        (
+                            ("orders", F.col("n")),
+                            ("net_sales", half_even(F.col("total"))),
+                            ("mean_order_value", half_even(F.col("mean"))),
+                            ("regions", n_regions),
+                        ),
+                        1,
                     )
                 ]
             )
         )
     )
+    falling = Window.partitionBy("section").orderBy(F.desc("value"), F.asc("label"))  # one row per category or region
     shown = lambda rows, key: rows.select(
         F.lit(key).alias("section"), F.col(key).alias("label"), F.col("amount").alias("value")
-    )
-    best = top_k(shown(categories, "category"), top_n, F.desc("value"), F.asc("label"))
+    ).withColumn("rank", F.row_number().over(falling))
+    best = shown(categories, "category").filter(F.col("rank") <= top_n)
     return figures.unionByName(best).unionByName(shown(regions, "region"))
 
 

@@ -221,10 +221,14 @@ def route(events: DataFrame, accepted_ids: DataFrame | None = None) -> DataFrame
         F.min("valid_seq").alias("_f"), F.min("mended_seq").alias("_g"), F.count(F.lit(1)).alias("_n")
     )
     firsts, ids = stage_counted(firsts, "first-positions")
+    # events without an id are letters whatever else came: they stay out of the join, where they would be one hot key
+    has_id = F.coalesce("event_id", F.lit("")) != ""
+    asked, nameless = read.filter(has_id), read.filter(~has_id)
     if ids <= BROADCAST_ROWS:
-        joined = lookup(read, firsts, ["event_id"], table_rows=ids)
+        joined = lookup(asked, firsts, ["event_id"], table_rows=ids)
     else:
-        joined = salted_lookup(read, firsts, ["event_id"], weight="_n")
+        joined = salted_lookup(asked, firsts, ["event_id"], weight="_n")
+    joined = joined.unionByName(nameless, allowMissingColumns=True)
     f, g, seq = F.col("_f"), F.col("_g"), F.col("seq")
     outcome = F.when(good & (seq == f), "accepted").when(f.isNotNull() & (seq > f), "duplicate").otherwise("dlq")
     replay = F.when(
@@ -255,16 +259,20 @@ def route(events: DataFrame, accepted_ids: DataFrame | None = None) -> DataFrame
     )
 
 
+def without_replay(routed: DataFrame) -> DataFrame:
+    """Routed events as they stand before any replay: letters are pending, and nothing of them is accepted."""
+    letter = F.col("outcome") == "dlq"
+    keep = lambda c: F.when(~letter, F.col(c)).alias(c)
+    return routed.select(*[keep(c) if c in ("replay", "replay_code", "replay_message", "canonical") else c for c in routed.columns])
+
+
 def dead_letters(routed: DataFrame, *, replayed: bool = True, **limits) -> DataFrame:
     """DLQ records numbered in arrival order, before or after the one replay (ING-06, ING-08)."""
-    rows = numbered_rows(
-        routed.filter(F.col("outcome") == "dlq").select(
-            "seq", "event_id", "schema_version", "reason_code", "error_message", "replay", "replay_code", "replay_message", "event"
-        ),
-        ["seq"],
-        "_number",
-        **limits,
+    letters = routed.filter(F.col("outcome") == "dlq").select(
+        "seq", "event_id", "schema_version", "reason_code", "error_message", "replay", "replay_code", "replay_message", "event"
     )
+    # only the positions are ordered; whole events are joined back by them
+    rows = letters.join(numbered_rows(letters.select("seq"), ["seq"], "_number", **limits), "seq")
     entry = lambda status, code: F.struct(status.alias("status"), code.alias("reason_code"))
     first = F.array(entry(F.lit("pending"), F.col("reason_code")))
     if replayed:

@@ -26,6 +26,8 @@ def standardize(df: DataFrame, columns: Sequence[str], **limits) -> DataFrame:
         F.count(F.lit(1)).alias("n")
     )
     medians = {r["feature"]: r["q"][0] for r in quantiles_of_counts(counts, [0.5], ["feature"], **limits).collect()}
+    if empty := [c for c in columns if c not in medians]:
+        raise ValueError(f"columns without a value have no median: {', '.join(sorted(empty))}")
     filled = df.withColumns({c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None)), F.lit(medians[c])) for c in columns})
     moments = filled.agg(
         F.struct(

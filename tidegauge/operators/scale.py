@@ -12,6 +12,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -25,7 +26,8 @@ SLICE_ROWS = 2_000_000
 MAX_SLICES = 20_000
 # A key above this share of the rows counts as hot: at most 1 / HOT_SHARE such keys exist.
 HOT_SHARE = 0.002
-SALTS = 64
+# Rows of a hot key that one salt should hold.
+SALT_ROWS = 250_000
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -45,10 +47,39 @@ def own_folder(spark: SparkSession) -> str:
     return f"{staging_root(spark)}/tidegauge/{spark.sparkContext.applicationId}"
 
 
+def _on_file_system(spark: SparkSession, path: str):
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there; an unreachable one is an error, not an absent one."""
+    system, found = _on_file_system(spark, path)
+    return system.exists(found)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    system, found = _on_file_system(spark, path)
+    system.delete(found, True)
+
+
 def clear_staging(spark: SparkSession) -> None:
     """Remove what this application staged; frames read from staged tables end with it. Call it when a job is done."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own_folder(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    remove_path(spark, own_folder(spark))
+
+
+_OPEN_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def staged_until_end(spark: SparkSession):
+    """Remove what is staged inside the block when it ends; for steps whose results are written before that."""
+    _OPEN_SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN_SCOPES.pop():
+            remove_path(spark, path)
 
 
 def stage(df: DataFrame, tag: str = "table") -> DataFrame:
@@ -58,6 +89,8 @@ def stage(df: DataFrame, tag: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{own_folder(spark)}/{tag}-{uuid.uuid4().hex}"
+    if _OPEN_SCOPES:
+        _OPEN_SCOPES[-1].append(path)
     df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -188,13 +221,14 @@ def salted_lookup(
     keys: Sequence[str],
     *,
     weight: str | None = None,
-    salts: int = SALTS,
+    salt_rows: int = SALT_ROWS,
     hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """Left-join a large unique table where single keys may hold a large share of `rows`.
 
     `weight` names the column of `table` that holds how many rows carry the key (counted here when absent). Keys above
-    `hot_share` of the total, at most 1/hot_share of them, get a salt on both sides; all others keep salt 0.
+    `hot_share` of the total, at most 1/hot_share of them, get one salt per `salt_rows` rows on both sides, so that the part
+    of a salt does not grow with the key; all others keep salt 0.
     """
     keys = list(keys)
     if weight is None:
@@ -203,14 +237,14 @@ def salted_lookup(
         sizes = table.select(*keys, F.col(weight).alias("_weight"))
     total = sizes.agg(F.sum("_weight").alias("t")).scalar()
     hot = sizes.filter(F.col("_weight") > F.greatest(total * hot_share, F.lit(1000))).select(
-        *keys, F.lit(True).alias("_hot")
+        *keys, F.greatest(F.ceil(F.col("_weight") / salt_rows), F.lit(2)).cast("int").alias("_hot")
     )
     marked_rows = _left(rows, F.broadcast(hot), keys)  # at most 1/hot_share rows by construction
     marked_table = _left(table, F.broadcast(hot), keys)
-    spread = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    spread = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.col("_hot") - 1)).otherwise(F.array(F.lit(0)))
     # the partition number gives the same salt when a lost task runs again
     left = marked_rows.withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(F.lit(0))
+        "_salt", F.when(F.col("_hot").isNotNull(), F.pmod(F.spark_partition_id(), F.col("_hot"))).otherwise(F.lit(0))
     ).drop("_hot")
     right = marked_table.withColumn("_salt", F.explode(spread)).drop("_hot")
     return _left(left, right, [*keys, "_salt"]).drop("_salt")

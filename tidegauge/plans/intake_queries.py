@@ -116,6 +116,27 @@ def ingest_summary(spark, sf):
     return summary.withColumn("versions", F.array_join(pairs, ",")).drop("accepted_schema_versions")
 
 
+@query(
+    "period_summaries", "ING-10 AGG-34",
+    f"""WITH {ROUTED_SQL}
+        SELECT period, count(*) AS received, count(*) FILTER (outcome = 'accepted') AS accepted_initial,
+               count(*) FILTER (outcome = 'dlq') AS dlq_initial,
+               count(*) FILTER (replay = 'recovered' AND period = 'current') AS recovered,
+               count(*) FILTER (outcome = 'duplicate' OR replay = 'duplicate' AND period = 'current') AS duplicates,
+               count(*) FILTER (outcome = 'accepted' OR replay = 'recovered' AND period = 'current') AS accepted_total
+        FROM routed GROUP BY period""",
+)
+def period_summaries(spark, sf):
+    """The two periods as two feeds; only the current one is replayed."""
+    # a broken payload has lost its period; the customer's number tells it
+    known = customers(spark, sf).select(F.col("seq").alias("_seq"), F.col("period").alias("_period"))
+    placed = events(spark, sf).join(known, F.col("seq") % TWIN == F.col("_seq"))
+    feeds = {p: I.route(placed.filter(F.col("_period") == p).select("seq", "event")) for p in ("reference", "current")}
+    feeds["reference"] = I.without_replay(feeds["reference"])
+    rows = [I.ingest_summary(r).withColumn("period", F.lit(p)) for p, r in feeds.items()]
+    return rows[0].unionByName(rows[1]).drop("unresolved", "accepted_schema_versions")
+
+
 @query(
     "second_run_route", "JN-04 ST-04",
     f"""WITH {ROUTED_SQL}, known AS (SELECT DISTINCT event_id FROM routed WHERE outcome = 'accepted')

@@ -155,6 +155,8 @@ def monitor_periods(
     Null rates are taken from the normalised rows before cleaning, so cleaning cannot hide a quality problem.
     """
     routed = {p: stage(I.route(e), f"routed-{p}") for p, e in ((D.REFERENCE, reference_events), (D.CURRENT, current_events))}
+    # the replay belongs to the current period; a reference letter stays a letter
+    routed[D.REFERENCE] = I.without_replay(routed[D.REFERENCE])
     raw = {p: I.accepted(r).select(*CANONICAL_FIELDS) for p, r in routed.items()}
     features = [*config.numeric, *config.categorical]
     missing = stage(D.missing_rates(D.two_periods(raw[D.REFERENCE], raw[D.CURRENT]), features), "missing")
@@ -162,8 +164,9 @@ def monitor_periods(
     both = stage(D.two_periods(clean[D.REFERENCE], clean[D.CURRENT]), "both")
     profile = D.DriftProfile(both, config)
     drift = stage(profile.table(missing), "drift")
-    summary = stage(I.ingest_summary(routed[D.CURRENT]), "intake")
-    unresolved = summary.select("unresolved").scalar()
+    summaries = [I.ingest_summary(r).withColumn("period", F.lit(p)) for p, r in routed.items()]
+    summary = stage(summaries[0].unionByName(summaries[1]), "intake")
+    unresolved = summary.filter(F.col("period") == D.CURRENT).select("unresolved").scalar()
     quality = [quality_snapshot(r, "customer_id", [*config.numeric, "churn"]).withColumn("period", F.lit(p)) for p, r in raw.items()]
     metrics, change, risk_causes = M.monitor(clean[D.REFERENCE], clean[D.CURRENT], "customer_id", config, **forest)
     results = {

@@ -162,30 +162,39 @@ def manager_join_check(spark, sf):
     return join_check(sales(spark, sf), managers, "category", "manager")
 
 
+SOME_IDS_SQL = "SELECT CASE WHEN order_id % 97 <> 0 THEN order_id END AS order_id, amount FROM sales"
 REPORT_SQL = f"""WITH {SALES_SQL},
-per_order AS (SELECT order_id, sum(amount) AS amount FROM sales GROUP BY order_id),
-by_category AS (SELECT category AS label, sum(amount) AS value FROM sales GROUP BY category ORDER BY value DESC LIMIT 3)
-SELECT 'kpi' AS section, 'orders' AS label, CAST(count(*) AS DOUBLE) AS value FROM per_order
-UNION ALL SELECT 'kpi', 'net_sales', round_even(sum(amount), 0) FROM per_order
-UNION ALL SELECT 'kpi', 'mean_order_value', round_even(avg(amount), 0) FROM per_order
-UNION ALL SELECT 'kpi', 'regions', CAST(count(DISTINCT region) AS DOUBLE) FROM sales
-UNION ALL SELECT 'category', label, round(value, 2) FROM by_category
-UNION ALL SELECT 'region', region, round(sum(amount), 2) FROM sales GROUP BY region"""
+per_order AS (SELECT order_id, sum(amount) AS amount FROM ({SOME_IDS_SQL}) GROUP BY order_id),
+ranked AS (
+  SELECT section, label, value, row_number() OVER (PARTITION BY section ORDER BY value DESC, label)::INT AS rank
+  FROM (SELECT 'category' AS section, category AS label, sum(amount) AS value FROM sales GROUP BY category
+        UNION ALL SELECT 'region', region, sum(amount) FROM sales GROUP BY region))
+SELECT 'kpi' AS section, 'orders' AS label, CAST(count(order_id) AS DOUBLE) AS value, 1 AS rank FROM per_order
+UNION ALL SELECT 'kpi', 'net_sales', round_even(sum(amount), 0), 2 FROM per_order
+UNION ALL SELECT 'kpi', 'mean_order_value', round_even(avg(amount) FILTER (order_id IS NOT NULL), 0), 3 FROM per_order
+UNION ALL SELECT 'kpi', 'regions', CAST(count(DISTINCT region) AS DOUBLE), 4 FROM sales
+UNION ALL SELECT section, label, round(value, 2), rank FROM ranked WHERE section = 'region' OR rank <= 3"""
 
 
 @query("sales_report", "REP-01 AGG-08 AGG-09 ORD-03 ORD-04 NUM-03", REPORT_SQL)
 def sales_report(spark, sf):
-    return A.sales_report(sales(spark, sf), 3).withColumn("value", F.round("value", 2))
+    return A.sales_report(without_some_ids(sales(spark, sf)), 3).withColumn("value", F.round("value", 2))
+
+
+def without_some_ids(rows):
+    """Sales in which every 97th order has lost its id."""
+    return rows.withColumn("order_id", F.when(F.col("order_id") % 97 != 0, F.col("order_id")))
 
 
 @query(
     "kpi", "AGG-08 AGG-09",
-    f"""WITH {SALES_SQL}, per_order AS (SELECT order_id, sum(amount) AS amount FROM sales GROUP BY order_id)
-        SELECT count(*) AS orders, round_even(sum(amount), 0) AS net_sales, round_even(avg(amount), 0) AS mean_order_value,
+    f"""WITH {SALES_SQL}, per_order AS (SELECT order_id, sum(amount) AS amount FROM ({SOME_IDS_SQL}) GROUP BY order_id)
+        SELECT count(order_id) AS orders, round_even(sum(amount), 0) AS net_sales,
+               round_even(avg(amount) FILTER (order_id IS NOT NULL), 0) AS mean_order_value,
                (SELECT count(DISTINCT region) FROM sales) AS regions FROM per_order""",
 )
 def kpi(spark, sf):
-    return A.kpi(sales(spark, sf))
+    return A.kpi(without_some_ids(sales(spark, sf)))
 
 
 @query(
