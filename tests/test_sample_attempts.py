@@ -137,9 +137,10 @@ def replay(rows, config):
 TYPES = "run_id string, batch bigint, failure_rate double, retry_rate double, p95_ms double"
 
 
-@pytest.mark.parametrize("chunk", [2048, 7])
-def test_trace_in_chunks(spark, monkeypatch, chunk):
+@pytest.mark.parametrize("chunk, fan", [(2048, 256), (7, 256), (3, 2)])
+def test_trace_in_chunks(spark, monkeypatch, chunk, fan):
     monkeypatch.setattr(A, "CHUNK", chunk)
+    monkeypatch.setattr(A, "FAN", fan)
     config = ConcurrencyConfig(low=2, high=9, initial=10)
     rows = metrics(spark, 120)
     trace = A.concurrency_trace(spark.createDataFrame(rows, TYPES), config)
@@ -147,6 +148,16 @@ def test_trace_in_chunks(spark, monkeypatch, chunk):
     assert A.level_changes(trace).filter("before = after").isEmpty()
 
 
+def test_fixed_runs_keep_their_level(spark):
+    config = ConcurrencyConfig(low=2, high=9, initial=10)
+    rows = metrics(spark, 60)
+    mixed = spark.createDataFrame(rows, TYPES).withColumn("mode", F.when(F.col("run_id") == "q", "fixed-30").otherwise("adaptive"))
+    got = {(r.run_id, r.batch): (r.before, r.after) for r in A.concurrency_trace(mixed, config).collect()}
+    expected = {k: v if k[0] == "r" else (30, 30) for k, v in replay(rows, config).items()}
+    assert got == expected
+    assert A.concurrency_trace(mixed.limit(0), config).count() == 0
+
+
 def test_start_level_and_speed(spark):
     df = spark.createDataFrame([("adaptive", 4.0, 2.0), ("fixed-30", 1.0, 0.0)], "mode string, a double, b double")
     assert [r[0] for r in df.select(A.start_level(F.col("mode"), ConcurrencyConfig())).collect()] == [10, 30]

@@ -17,7 +17,8 @@ from .quantiles import quantiles
 from .scale import lookup, numbered_rows, stage, stage_counted
 
 SUCCEEDED, FAILED, DEAD = "request_succeeded", "request_failed", "dead_letter"
-CHUNK = 2048
+# Batches folded in one row, and tables of levels chained in one row.
+CHUNK, FAN = 256, 256
 
 
 def sequenced(events: DataFrame, run: str, ts: str, tie: str, **limits) -> DataFrame:
@@ -140,57 +141,100 @@ def start_level(mode: Column, config: ConcurrencyConfig) -> Column:
     return F.when(mode == "adaptive", config.initial).otherwise(part_as_int(mode, "-", 2))
 
 
+def _first_levels(maps: DataFrame, run: str, lowest: int, first: Column) -> DataFrame:
+    """(run, _chunk, _level): the level with which each chunk of a run begins.
+
+    `maps` holds per (run, _chunk) the table "level in -> level out". FAN neighbouring tables are chained into one until
+    a run has at most FAN of them; the levels then go back down the same way, so no row grows with the run.
+    """
+    last = maps.agg(F.max("_chunk")).first()[0]
+    upper = F.floor(F.col("_chunk") / FAN)
+    listed = maps.groupBy(run, upper.alias("_upper")).agg(
+        F.array_sort(F.collect_list(F.struct("_chunk", "_out"))).alias("_maps")  # at most FAN tables
+    )
+    out = lambda table, level: F.element_at(table, level - lowest + 1)
+    if last is None or last < FAN:
+        begun = listed.withColumn("_level", first)
+    else:
+        every = F.element_at("_maps", 1)["_out"]
+        chained = F.aggregate(
+            F.slice("_maps", F.lit(2), F.lit(FAN)), every, lambda acc, m: F.transform(acc, lambda level: out(m["_out"], level))
+        )
+        above = stage(listed.select(run, F.col("_upper").alias("_chunk"), chained.alias("_out")), "chained")
+        found = _first_levels(above, run, lowest, first).withColumnRenamed("_chunk", "_upper")
+        begun = listed.join(found, [run, "_upper"])
+    levels = F.aggregate(
+        "_maps",
+        F.array(F.col("_level").cast("int")),
+        lambda acc, m: F.array_append(acc, out(m["_out"], F.element_at(acc, -1))),
+    )
+    pairs = F.transform("_maps", lambda m, i: F.struct(m["_chunk"].alias("_chunk"), F.get(F.col("_levels"), i).alias("_level")))
+    return begun.withColumn("_levels", levels).select(run, F.inline(pairs))
+
+
 def concurrency_trace(metrics: DataFrame, config: ConcurrencyConfig, run: str = "run_id", batch: str = "batch", **limits) -> DataFrame:
     """Level before and after every batch of a run, in batch order (LOG-05, WIN-05).
 
-    The level after a batch depends on all batches before it. Levels are few, so a chunk of batches is a small table
-    "level in -> level out", and such tables chain: chunks are folded side by side for every level, the chunk tables
-    are chained per run, and each chunk then replays from its own first level.
+    Runs whose `mode` (if the column is there) is not `adaptive` keep their starting level. In the others the level after a
+    batch depends on all batches before it. Levels are few, so a chunk of batches is a small table "level in -> level out",
+    and such tables chain: chunks are folded side by side for every level, the tables are chained in a tree, and each
+    chunk then replays from its own first level.
     """
     action, reason = decision(config)
-    decided = stage(metrics.select(run, batch, action.alias("action"), reason.alias("reason")), "decisions")
+    mode = F.col("mode") if "mode" in metrics.columns else F.lit("adaptive")
+    decided = stage(
+        metrics.select(run, batch, mode.alias("mode"), action.alias("action"), reason.alias("reason")), "decisions"
+    )
     steps = numbered_rows(decided, [batch], "_ord", [run], **limits)
+    fixed = F.col("mode") != "adaptive"
+    level = start_level(F.col("mode"), config).cast("int")
+    kept = steps.filter(fixed).select(
+        run, batch, F.col("_ord").alias("position"), level.alias("before"), level.alias("after"), "reason"
+    )
     steps = stage(
-        steps.select(run, batch, "action", "reason", F.col("_ord"), F.floor((F.col("_ord") - 1) / CHUNK).alias("_chunk")), "steps"
+        steps.filter(~fixed).select(
+            run, batch, "action", "reason", F.col("_ord"), F.floor((F.col("_ord") - 1) / CHUNK).alias("_chunk")
+        ),
+        "steps",
     )
     lowest, highest = min(config.low, config.initial), max(config.high, config.initial)
     listed = steps.groupBy(run, "_chunk").agg(
         F.array_sort(F.collect_list(F.struct("_ord", batch, "action", "reason"))).alias("_steps")  # at most CHUNK entries
     )
     step_to = lambda level, s: next_level(level, s["action"], config)
-    mapped = listed.select(
-        run,
-        "_chunk",
-        F.transform(
-            F.sequence(F.lit(lowest), F.lit(highest)), lambda level: F.aggregate("_steps", level.cast("int"), step_to)
-        ).alias("_out"),
-    )
-    # one entry per chunk of a run, each with one number per level
-    chained = mapped.groupBy(run).agg(F.array_sort(F.collect_list(F.struct("_chunk", "_out"))).alias("_chunks"))
-    first = F.array(F.lit(config.initial).cast("int"))
-    levels = F.aggregate(
-        "_chunks", first, lambda acc, c: F.array_append(acc, F.element_at(c["_out"], F.element_at(acc, -1) - lowest + 1))
+    mapped = stage(
+        listed.select(
+            run,
+            "_chunk",
+            F.transform(
+                F.sequence(F.lit(lowest), F.lit(highest)), lambda level: F.aggregate("_steps", level.cast("int"), step_to)
+            ).alias("_out"),
+        ),
+        "chunk-levels",
     )
-    starts = chained.select(run, F.posexplode(levels).alias("_chunk", "_level"))
+    starts = _first_levels(mapped, run, lowest, F.lit(config.initial).cast("int"))
+    kind = metrics.schema[batch].dataType.simpleString()
+    level_now = lambda acc: F.coalesce(F.try_element_at(acc, F.lit(-1))["after"], F.col("_level"))
     replay = F.aggregate(
         "_steps",
-        F.array().cast("array<struct<batch_key:string,before:int,after:int,reason:string,ord:bigint>>"),
+        F.array().cast(f"array<struct<batch_key:{kind},before:int,after:int,reason:string,ord:bigint>>"),
         lambda acc, s: F.array_append(
             acc,
             F.struct(
-                s[batch].cast("string").alias("batch_key"),
-                F.coalesce(F.try_element_at(acc, F.lit(-1))["after"], F.col("_level")).alias("before"),
-                next_level(F.coalesce(F.try_element_at(acc, F.lit(-1))["after"], F.col("_level")), s["action"], config).alias("after"),
+                s[batch].alias("batch_key"),
+                level_now(acc).alias("before"),
+                next_level(level_now(acc), s["action"], config).alias("after"),
                 s["reason"].alias("reason"),
                 s["_ord"].alias("ord"),
             ),
         ),
     )
-    return (
-        listed.join(starts.withColumn("_chunk", F.col("_chunk").cast("bigint")), [run, "_chunk"])
+    traced = (
+        listed.join(starts, [run, "_chunk"])
         .select(run, F.explode(replay).alias("t"))
         .select(run, F.col("t.batch_key").alias(batch), F.col("t.ord").alias("position"), "t.before", "t.after", "t.reason")
     )
+    return traced.unionByName(kept)
 
 
 def level_changes(trace: DataFrame) -> DataFrame:
