@@ -8,12 +8,14 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from tidegauge.operators.scale import clear_staging  # noqa: E402
 from tidegauge.plans.catalogue import load  # noqa: E402
 
 HEADLINE = (
@@ -35,6 +37,7 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "12g"))
         .config("spark.sql.shuffle.partitions", cpus)
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_STAGING") or tempfile.mkdtemp(prefix="tidegauge-bench-"))
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
@@ -47,6 +50,7 @@ def main() -> None:
             run(spark, folder).write.format("noop").mode("overwrite").save()
             if timed:
                 seconds[name] = round(time.perf_counter() - start, 3)
+            clear_staging(spark)
     spark.stop()
     print(
         json.dumps(

@@ -24,7 +24,7 @@ def done(spark, sf):
 
 
 @query(
-    "event_sequence", "WIN-06 SNK-04",
+    "event_sequence", "WIN-06",
     f"WITH {LOG_SQL} SELECT run_id, sequence, attempt, item_id, round(elapsed_ms, 3) AS elapsed_ms, event_type FROM log",
 )
 def event_sequence(spark, sf):

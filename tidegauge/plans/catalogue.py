@@ -34,6 +34,6 @@ def query(name: str, ids: str, sql: str | None = None):
 
 def load() -> dict[str, Query]:
     from . import attempt_queries, cleaning_queries, intake_queries, monitor_queries, record_queries, rollup_queries  # noqa: F401
-    from . import scalar_queries, stream_queries  # noqa: F401
+    from . import scalar_queries, sink_queries, stream_queries  # noqa: F401
 
     return CATALOGUE

@@ -155,7 +155,7 @@ def clean_a_metrics(spark, sf):
 
 
 @query(
-    "clean_a_summary", "AGG-05 SNK-07",
+    "clean_a_summary", "AGG-05",
     CLEAN_A_SQL + """
 SELECT category, count(order_id) AS orders, round_even(avg(unit_price), 2) AS avg_price, round_even(sum(quantity), 2) AS total_quantity,
        round_even(sum(quantity * unit_price * (1 - discount)), 2) AS total_sales FROM c GROUP BY category""",

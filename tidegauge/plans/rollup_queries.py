@@ -326,7 +326,7 @@ def segment_modes(spark, sf):
 
 
 @query(
-    "csv_summary", "SRC-04 SRC-05 SRC-06 SNK-01",
+    "csv_summary", "SRC-04 SRC-05 SRC-06",
     """SELECT o_orderpriority, count(*) AS n, round(sum(o_totalprice), 2) AS total, min(o_orderkey) AS first_order,
               count(*) FILTER (o_orderstatus = 'F') AS finished
        FROM orders GROUP BY o_orderpriority""",

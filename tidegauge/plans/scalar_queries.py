@@ -110,7 +110,7 @@ def date_functions(spark, sf):
 
 
 @query(
-    "json_functions", "JSN-01 JSN-02 MAP-01 MAP-02 ARR-01 ARR-02 ARR-03 VAL-12",
+    "json_functions", "JSN-01 JSN-02 MAP-01 MAP-02 ARR-01 ARR-02 ARR-03",
     """SELECT event_id, CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT) AS k, event_type <> 'error' AS parses,
               event_type IN ('click', 'view') AS is_light, CASE WHEN event_type = 'signup' THEN 'value,kind' ELSE 'kind' END AS absent,
               user_id AS id, event_type <> 'purchase' AS all_present, event_type <> 'click' AS counts_ok,

@@ -77,7 +77,7 @@ def stream_adaptive(spark, sf):
 
 
 @query(
-    "stream_report", "ST-06 SRC-10",
+    "stream_report", "ST-06",
     "SELECT event_type, count(*) AS n, round(sum(value), 2) AS value FROM events GROUP BY event_type",
 )
 def stream_report(spark, sf):
