@@ -16,7 +16,7 @@ from .attribution import explain_shift
 from .drift import CURRENT, REFERENCE
 from .quantiles import quantiles_of_counts, stacked_values
 from .sample import stratified_split
-from .scale import running_totals
+from .scale import running_totals, stage
 
 
 def standardize(df: DataFrame, columns: Sequence[str], **limits) -> DataFrame:
@@ -55,9 +55,9 @@ def balanced_weights(df: DataFrame, target: str, out: str = "weight") -> DataFra
 
 
 def risk_pipeline(
-    numeric: Sequence[str], categorical: Sequence[str], target: str, *, trees: int = 120, leaf: int = 4, depth: int = 10, seed: int = 42
+    numeric: Sequence[str], categorical: Sequence[str], target: str, *, trees: int = 120, leaf: int = 4, depth: int = 30, seed: int = 42
 ) -> Pipeline:
-    """Median fill, scaling, one-hot and a class-weighted random forest."""
+    """Median fill, scaling, one-hot and a class-weighted random forest; by default as deep as Spark's forests go."""
     filled = [f"{c}_filled" for c in numeric]
     index = [f"{c}_index" for c in categorical]
     hot = [f"{c}_hot" for c in categorical]
@@ -84,7 +84,9 @@ def _model_frame(df: DataFrame, config: MonitorConfig) -> DataFrame:
 
 
 def train(df: DataFrame, config: MonitorConfig, target: str = "churn", **forest) -> PipelineModel:
-    rows = balanced_weights(_model_frame(df, config).withColumn(target, F.col(target).cast("double")), target)
+    used = _model_frame(df, config).select(target, *config.numeric, *config.categorical)
+    # every stage of the pipeline reads the rows: written once, with the columns it uses
+    rows = stage(balanced_weights(used.withColumn(target, F.col(target).cast("double")), target), "training-rows")
     return risk_pipeline(config.numeric, config.categorical, target, seed=config.seed, **forest).fit(rows)
 
 
@@ -207,8 +209,6 @@ def monitor(
         score(model, held_out, config).withColumn("period", F.lit(REFERENCE))
         .unionByName(score(model, current, config).withColumn("period", F.lit(CURRENT)))
     )
-    from .scale import stage
-
     both = stage(both, "scored")
     metrics = period_metrics(both, target, "risk_score", config.high_risk_threshold, ["period"])
     causes = explain_shift(both, "risk_score", config, [*config.categorical, *config.numeric])

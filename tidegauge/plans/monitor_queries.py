@@ -406,7 +406,7 @@ def model_monitor(spark, sf):
     )
     now = F.col("o_orderdate") >= F.lit("1998-06-01").cast("timestamp_ntz")
     reference, current = orders.filter(~now).drop("o_orderdate"), orders.filter(now).drop("o_orderdate")
-    _, change, _ = M.monitor(reference, current, "o_orderkey", ORDER_MODEL, trees=10, depth=4)
+    _, change, _ = M.monitor(reference, current, "o_orderkey", ORDER_MODEL, trees=120, depth=10)
     return change
 
 
@@ -423,7 +423,7 @@ def model_reload(spark, sf):
         "o_orderkey", "o_totalprice", "o_custkey", "o_orderpriority", F.date_format("o_orderdate", "E").alias("weekday"),
         (F.col("o_orderstatus") == "F").cast("int").alias("churn"),
     )
-    model = M.train(orders, ORDER_MODEL, trees=5, depth=3)
+    model = M.train(orders, ORDER_MODEL, trees=120, depth=10)
     again = M.save(model, f"{own_folder(spark)}/order-model")
     first, second = M.score(model, orders, ORDER_MODEL), M.score(again, orders, ORDER_MODEL)
     return predictions_equal(first, second, "o_orderkey", "risk_score")
