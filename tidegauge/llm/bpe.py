@@ -24,7 +24,8 @@ from functools import lru_cache
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from .workers import map_batches, schema_of
 
 # The split pattern of byte-level BPE files.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -203,8 +204,7 @@ def per_document(docs: DataFrame, vocabulary: str, out: Callable[[Coder, str], t
             values |= {f.name: pa.array(c, f.type) for f, c in zip(fields, columns, strict=True)}
             yield pa.RecordBatch.from_arrays(list(values.values()), names=list(values))
 
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema.fields)
-    return rest.mapInArrow(run, f"{kept}, {types}")
+    return map_batches(rest, run, f"{schema_of(rest)}, {types}")
 
 
 def encode(docs: DataFrame, vocabulary: str, into: str = "ids") -> DataFrame:
@@ -226,8 +226,7 @@ def decode(rows: DataFrame, vocabulary: str, ids: str = "ids", into: str = "text
             texts = [coder.decode(x.as_py() or []) for x in batch.column(batch.schema.get_field_index(ids))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, into])
 
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema.fields)
-    return rest.mapInArrow(run, f"{kept}, `{into}` string")
+    return map_batches(rest, run, f"{schema_of(rest)}, `{into}` string")
 
 
 def _digests(coder: Coder, text: str) -> tuple[int, str, str]:

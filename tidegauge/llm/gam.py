@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labels import SAMPLE_ROWS, held_out, labelled_sample
+from .workers import map_batches, schema_of
 
 FEATURES = (
     "log_chars", "log_words", "word_length", "upper", "lower", "digit", "mark", "symbol", "blank", "line_ends", "bang",
@@ -242,8 +243,10 @@ def train(docs: DataFrame, labels: DataFrame, *, modulus: int = 4, remainder: in
                 [batch.column(0), batch.column(2), pa.array(x.tolist(), pa.list_(pa.float64()))], names=["doc_id", "y", "x"]
             )
 
-    fetched = picked.select("doc_id", "text", F.col("y").cast("double").alias("y")).mapInArrow(
-        run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, y double, x array<double>"
+    fetched = map_batches(
+        picked.select("doc_id", "text", F.col("y").cast("double").alias("y")),
+        run,
+        f"{schema_of(docs.select('doc_id'))}, y double, x array<double>",
     )
     got = sorted((r.doc_id, r.x, r.y) for r in fetched.collect())  # one order, so one model in every run
     x = np.array([r[1] for r in got], np.float64).reshape(len(got), len(FEATURES))
@@ -261,8 +264,7 @@ def score(docs: DataFrame, model: Model, into: str = "score") -> DataFrame:
             )
 
     kept = docs.drop(into)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return kept.mapInArrow(run, f"{fields}, `{into}` double")
+    return map_batches(kept, run, f"{schema_of(kept)}, `{into}` double")
 
 
 def quality_report(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.7) -> DataFrame:

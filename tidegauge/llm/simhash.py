@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ..operators.scale import stage
 from .components import components
+from .workers import map_batches, schema_of
 
 BITS = 64
 SEED = 42
@@ -150,7 +151,9 @@ def near_links(nodes: DataFrame, radius: int = 4, group_rows: int = GROUP_ROWS)
     dealt = paired.select(
         "table", "masked", F.least("block", "_other").alias("p"), F.greatest("block", "_other").alias("q"), "block", "fp"
     ).repartition("table", "masked", "p", "q")
-    found = dealt.sortWithinPartitions("table", "masked", "p", "q", "block").mapInArrow(_group_links(radius), "a long, b long")
+    found = map_batches(
+        dealt.sortWithinPartitions("table", "masked", "p", "q", "block"), _group_links(radius), "a long, b long"
+    )
     return pairs.unionByName(found)
 
 
@@ -197,5 +200,4 @@ def append_fingerprints(docs: DataFrame, shingle: int = 4, seed: int = SEED) ->
             )
 
     kept = docs.drop("_fp")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return kept.mapInArrow(run, f"{fields}, _fp long")
+    return map_batches(kept, run, f"{schema_of(kept)}, _fp long")

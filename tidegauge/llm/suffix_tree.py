@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from ..operators.scale import stage
 from .labels import held_out
+from .workers import map_batches, schema_of, ship_package
 
 LEAST_SHARE = 2e-5
 DEPTH = 3
@@ -50,10 +51,10 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return flat.filter(real), before[offsets]
 
 
-def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Pieces of a batch of about BLOCK_BYTES of text (a longer text is a piece of its own)."""
+def _blocks(batch: pa.RecordBatch, block_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Pieces of a batch of about `block_bytes` of text (a longer text is a piece of its own)."""
     sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
-    number = np.cumsum(sizes) // BLOCK_BYTES
+    number = np.cumsum(sizes) // block_bytes
     cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:], strict=False):
         if b > a:
@@ -63,12 +64,13 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 def dictionaries(docs: DataFrame, modulus: int, remainder: int) -> DataFrame:
     """Texts as codes of their block's dictionary, and one row per block with its words and their training counts."""
     kind = docs.schema["doc_id"].dataType.simpleString()
+    block_bytes = BLOCK_BYTES
     marked = docs.select("doc_id", "text", held_out(F.col("doc_id"), modulus, remainder).alias("held_out"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 24
         for batch in batches:
-            for piece in _blocks(batch):
+            for piece in _blocks(batch, block_bytes):
                 words, offsets = split_words(piece.column("text"))
                 coded = words.dictionary_encode()
                 codes = coded.indices.to_numpy(zero_copy_only=False)
@@ -94,8 +96,10 @@ def dictionaries(docs: DataFrame, modulus: int, remainder: int) -> DataFrame:
                 )
                 number += 1
 
-    return marked.mapInArrow(
-        run, f"block long, doc_id {kind}, held_out boolean, codes array<int>, words array<string>, counts array<int>"
+    return map_batches(
+        marked,
+        run,
+        f"block long, doc_id {kind}, held_out boolean, codes array<int>, words array<string>, counts array<int>",
     )
 
 
@@ -147,6 +151,7 @@ def symbol_texts(coded: DataFrame, counts: DataFrame, totals: Totals, frequent:
     texts = coded.filter("words IS NULL").select(F.col("block").alias("b"), "doc_id", "held_out", "codes")
     kind = coded.schema["doc_id"].dataType.simpleString()
     rest = _rest_mass(counts, totals, frequent)
+    ship_package(spark)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         rows = left.combine_chunks()
@@ -255,10 +260,10 @@ def flat_texts(lists: pa.Array, start: int) -> tuple[np.ndarray, np.ndarray, np.
     return flat, np.repeat(begins, sizes), np.repeat(np.arange(len(sizes)), sizes)
 
 
-def _symbol_pieces(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Pieces of a batch of about PIECE_SYMBOLS symbols, so that work arrays have a fixed size."""
-    sizes = pc.list_value_length(batch.column(column)).to_numpy(zero_copy_only=False)
-    number = np.cumsum(sizes) // PIECE_SYMBOLS
+def _symbol_pieces(batch: pa.RecordBatch, symbols: int) -> Iterator[pa.RecordBatch]:
+    """Pieces of a batch of about `symbols` symbols, so that work arrays have a fixed size."""
+    sizes = pc.list_value_length(batch.column("symbols")).to_numpy(zero_copy_only=False)
+    number = np.cumsum(sizes) // symbols
     cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:], strict=False):
         if b > a:
@@ -276,11 +281,11 @@ def run_counts(texts: DataFrame, length: int, size: int, shorter: np.ndarray | N
 
     Only runs whose first and last parts are frequent can be frequent, so the rest is not shuffled.
     """
-    sent = texts.sparkSession.sparkContext.broadcast(shorter)
+    sent, symbols = texts.sparkSession.sparkContext.broadcast(shorter), PIECE_SYMBOLS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shorter = sent.value
-        for piece in chain.from_iterable(_symbol_pieces(batch, "symbols") for batch in batches):
+        for piece in chain.from_iterable(_symbol_pieces(batch, symbols) for batch in batches):
             flat, begins, _ = flat_texts(piece.column(0), size - 1)
             before = histories(flat, begins, length - 1)
             ok = (before[-1] >= 0)
@@ -294,7 +299,8 @@ def run_counts(texts: DataFrame, length: int, size: int, shorter: np.ndarray | N
             keys, counts = np.unique(key, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts, pa.int64())], names=["run", "n"])
 
-    counted = texts.filter(~F.col("held_out")).select("symbols").mapInArrow(run, "run long, n long")
+    learned = texts.filter(~F.col("held_out")).select("symbols")
+    counted = map_batches(learned, run, "run long, n long")
     kept = counted.groupBy("run").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).collect()  # at most N / least
     keys, counts = np.array([r.run for r in kept], np.int64), np.array([r.n for r in kept], np.int64)
     order = np.argsort(keys)
@@ -358,13 +364,16 @@ def train(texts: DataFrame, totals: Totals, root_counts: np.ndarray, rest: float
 
 def with_scores(texts: DataFrame, tree: Tree) -> DataFrame:
     """Add `score`, the log10 probability of each text."""
-    sent = texts.sparkSession.sparkContext.broadcast(tree)
+    # plain values: a broadcast is read without the package
+    levels = [(v.contexts, v.factors, v.entries, v.values) for v in tree.levels]
+    sent = texts.sparkSession.sparkContext.broadcast((tree.size, tree.root, levels))
     kept = texts.drop("symbols", "inside")
-    names = kept.columns
+    names, symbols = kept.columns, PIECE_SYMBOLS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = sent.value
-        for piece in chain.from_iterable(_symbol_pieces(batch, "symbols") for batch in batches):
+        size, root, levels = sent.value
+        tree = Tree(size, root, [Level(*v) for v in levels])
+        for piece in chain.from_iterable(_symbol_pieces(batch, symbols) for batch in batches):
             flat, begins, owner = flat_texts(piece.column("symbols"), tree.size - 1)
             real = np.arange(len(flat)) != begins
             before = [h[real] for h in histories(flat, begins, DEPTH)]
@@ -373,8 +382,7 @@ def with_scores(texts: DataFrame, tree: Tree) -> DataFrame:
             arrays = [piece.column(name) for name in names]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(score)], names=[*names, "score"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return texts.mapInArrow(run, f"{fields}, score double")
+    return map_batches(texts, run, f"{schema_of(kept)}, score double")
 
 
 def lm_scores(docs: DataFrame, *, modulus: int = 7, remainder: int = 2) -> DataFrame:

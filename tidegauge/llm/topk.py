@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.scale import stage
+from .workers import ship_package
 
 # Rows of a block: 16,384 candidates of 64 components are 8 MB, their scores for 128 queries 16 MB.
 CANDIDATE_ROWS = 16_384
@@ -124,6 +125,7 @@ def top_k(
         F.col("vec_id").alias("query_id"), F.col("v").alias("q"), block(query_blocks).alias("qb"),
         each(candidate_blocks).alias("cb"),
     )
+    ship_package(queries.sparkSession)
     scored = (
         left.groupBy("cb", "qb").cogroup(right.groupBy("cb", "qb")).applyInArrow(_block_search(k), OUT)
     )

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labels import SAMPLE_ROWS, held_out, labelled_sample
+from .workers import map_batches, schema_of
 
 # Letters of the model: 0 is a word's edge, 1-26 a-z, all other letters share 37 cells by their code point.
 CELLS = 64
@@ -208,7 +209,7 @@ def train_language(docs: DataFrame) -> np.ndarray:
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["cell", "n"])
 
-    summed = docs.select("text").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    summed = map_batches(docs.select("text"), run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     counts = np.zeros(CELLS**3, np.int64)
     for row in summed.collect():  # at most CELLS^3 cells
         counts[row.cell] = row.n
@@ -255,7 +256,7 @@ def train(
             [pa.array(names, pa.string()), pa.array(keys, pa.int64()), pa.array(counts, pa.int64())], names=["f", "k", "n"]
         )
 
-    counted = picked.mapInArrow(run, "f string, k long, n long")
+    counted = map_batches(picked, run, "f string, k long, n long")
     by_key = counted.groupBy("f", "k").agg(F.sum("n").alias("n"))
     by_feature = by_key.groupBy("f").agg(F.count("k").alias("t"), F.sum("n").alias("n"))
     pure = F.col("t") >= purity * (F.col("t") + F.col("n"))
@@ -277,16 +278,17 @@ def score(docs: DataFrame, model: Model, into: str = "score") -> DataFrame:
 
     Restored words are independent causes; of a word's lexicon features the strongest counts.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    # plain values: a broadcast is read without the package
+    sent = docs.sparkSession.sparkContext.broadcast((model.costs, model.lexicon, model.base))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
-        reader, weights = Reader(model.costs), {}
+        costs, lexicon, base = sent.value
+        reader, weights = Reader(costs), {}
 
         def weight(word: str) -> float:
             found = weights.get(word)
             if found is None:
-                found = max((model.lexicon[f] for f in features({word}) if f in model.lexicon), default=0.0)
+                found = max((lexicon[f] for f in features({word}) if f in lexicon), default=0.0)
                 if len(weights) >= WORD_MEMORY:
                     weights.clear()
                 weights[word] = found
@@ -295,7 +297,7 @@ def score(docs: DataFrame, model: Model, into: str = "score") -> DataFrame:
         for batch in batches:
             values = []
             for text in batch.column(batch.schema.get_field_index("text")):
-                clear = 1.0 - model.base
+                clear = 1.0 - base
                 for w in reader.words(text.as_py()):
                     clear *= 1.0 - weight(w)
                 values.append(1.0 - clear)
@@ -304,8 +306,7 @@ def score(docs: DataFrame, model: Model, into: str = "score") -> DataFrame:
             )
 
     kept = docs.drop(into)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return kept.mapInArrow(run, f"{fields}, `{into}` double")
+    return map_batches(kept, run, f"{schema_of(kept)}, `{into}` double")
 
 
 def restore(docs: DataFrame, model: Model, into: str = "restored") -> DataFrame:
@@ -331,8 +332,7 @@ def restore(docs: DataFrame, model: Model, into: str = "restored") -> DataFrame:
             )
 
     kept = docs.drop(into)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return kept.mapInArrow(run, f"{fields}, `{into}` string")
+    return map_batches(kept, run, f"{schema_of(kept)}, `{into}` string")
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.7) -> DataFrame:
