@@ -3,8 +3,10 @@
 Sources in code-point order, null last, get the weights in turn. They share all words of the input by weight; a share
 stops at `ceiling` times the source's own words and the excess goes to the others by weight. The rate of a source is its
 target over its words, and each of its documents is emitted floor(rate) times plus once more with probability
-rate - floor(rate), decided by a hash of seed and id. Nothing is gathered per source: the shuffle carries one partial sum
-per source and task, whatever share of the rows a source holds.
+rate - floor(rate), decided by a hash of seed and id. The hashes of a source may be turned round the unit interval by
+sixteenths; each turn gives every document the same probability, and the one whose words come nearest to the target is
+taken. Nothing is gathered per source: the shuffles carry partial sums per source and task, whatever share of the rows a
+source holds.
 
 Defined cases: a null text has size 0; a null source is a source of its own; a source without words has rate 0; rows with
 equal ids draw alike, and a null id draws by its text; an empty table gives an empty result; other columns pass through,
@@ -18,9 +20,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.scale import lookup, numbered_rows, running_totals, stage_counted
+from ..operators.scale import lookup, numbered_rows, running_totals, stage, stage_counted
 
 WORD = r"[^\x20\x09-\x0D]+"
+TURNS = 16
 
 
 def words(text: Column) -> Column:
@@ -28,20 +31,21 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
-def draw(key: Column, seed: int) -> Column:
-    """A number in [0, 1) from 52 bits of a hash; the same in every run."""
+def draw(seed: int) -> Column:
+    """A number in [0, 1) from 52 bits of a hash of a document's id; the same in every run."""
+    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), F.col("text")), F.lit(""))
     digest = F.md5(F.concat(F.lit(f"{seed}:"), key))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
 def source_targets(
-    docs: DataFrame, weights: Sequence[float] = (5, 2, 1), ceiling: float = 3.0
+    sized: DataFrame, weights: Sequence[float] = (5, 2, 1), ceiling: float = 3.0
 ) -> tuple[DataFrame, int]:
-    """One row per source with `source_size` and `target`, and the number of sources.
+    """One row per source with `source_size` and `target`, and the number of sources, from (source, size).
 
     Capped sources come first in the order of size over weight, so one running total replaces the repeated resharing.
     """
-    sizes, count = stage_counted(docs.groupBy("source").agg(F.sum(words(F.col("text"))).alias("source_size")), "sources")
+    sizes, count = stage_counted(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
     ranked = numbered_rows(
         sizes.withColumn("_missing", F.col("source").isNull()), ["_missing", "source"], "_rank", rows=count
     )
@@ -67,17 +71,25 @@ def source_targets(
     return targets, count
 
 
+def _copies(turn: Column, hashed: Column) -> Column:
+    rate = F.coalesce(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0))
+    turned = hashed + turn / F.lit(float(TURNS))
+    return F.floor(rate) + (turned - F.floor(turned) < rate - F.floor(rate)).cast("bigint")
+
+
 def repetitions(
     docs: DataFrame, weights: Sequence[float] = (5, 2, 1), ceiling: float = 3.0, *, seed: int = 42
 ) -> DataFrame:
     """Each document with `source_size`, `target` and `copies`, the number of times the mix takes it."""
-    docs = docs.drop("source_size", "target", "copies")
-    targets, count = source_targets(docs, weights, ceiling)
-    rated = lookup(docs, targets, ["source"], table_rows=count)
-    rate = F.coalesce(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0))
-    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), F.col("text")), F.lit(""))
-    extra = (draw(key, seed) < rate - F.floor(rate)).cast("bigint")
-    return rated.withColumn("copies", F.floor(rate) + extra)
+    docs = docs.drop("source_size", "target", "copies", "_turn")
+    sized = stage(docs.select("source", words(F.col("text")).alias("size"), draw(seed).alias("hashed")), "sized")
+    targets, count = source_targets(sized, weights, ceiling)
+    rated = lookup(sized, targets, ["source"], table_rows=count)
+    taken = [F.sum(F.col("size") * _copies(F.lit(k), F.col("hashed"))) for k in range(TURNS)]
+    off = [F.struct(F.abs(t - F.col("target")).alias("off"), F.lit(k).alias("turn")) for k, t in enumerate(taken)]
+    turned = rated.groupBy("source", "source_size", "target").agg(F.array_min(F.array(*off))["turn"].alias("_turn"))
+    found = lookup(docs, stage(turned, "turned"), ["source"], table_rows=count)
+    return found.withColumn("copies", _copies(F.col("_turn"), draw(seed))).drop("_turn")
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), ceiling: float = 3.0, *, seed: int = 42) -> DataFrame:
@@ -116,10 +128,14 @@ targets AS (
                          weight * (SELECT level FROM marked WHERE NOT capped ORDER BY ratio, rank LIMIT 1)) END AS target
   FROM marked),
 rated AS (
-  SELECT doc_id, text, size, source_size, target, coalesce(target / nullif(source_size, 0), 0) AS rate
-  FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source)
+  SELECT sized.source, doc_id, size, source_size, target, coalesce(target / nullif(source_size, 0), 0) AS rate,
+         ('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, 'text:' || text, '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS h
+  FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source),
+turned AS (
+  SELECT source, turn, abs(sum(size * (floor(rate)::BIGINT
+           + (h + turn / 16.0::DOUBLE - floor(h + turn / 16.0::DOUBLE) < rate - floor(rate))::INT)) - any_value(target)) AS off
+  FROM rated, range(16) t(turn) GROUP BY source, turn),
+best AS (SELECT source, arg_min(turn, (off, turn)) / 16.0::DOUBLE AS turn FROM turned GROUP BY source)
 SELECT doc_id, size, source_size, target,
-       size * (floor(rate)::BIGINT
-         + CASE WHEN ('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, 'text:' || text, '')), 1, 13))::BIGINT
-                     / 4503599627370496.0::DOUBLE < rate - floor(rate) THEN 1 ELSE 0 END) AS taken
-FROM rated"""
+       size * (floor(rate)::BIGINT + (h + turn - floor(h + turn) < rate - floor(rate))::INT) AS taken
+FROM rated JOIN best ON rated.source IS NOT DISTINCT FROM best.source"""
