@@ -17,6 +17,7 @@ CATEGORICAL_FEATURES = ("gender", "senior", "contract", "payment_method")
 class MonitorConfig:
     """Thresholds of the drift monitor."""
 
+    # The monitor's seed, limits and group size.
     seed: int = 42
     psi_warning: float = 0.10
     psi_danger: float = 0.25

@@ -19,6 +19,7 @@ from .profile import missing_cells
 from .quantiles import quantiles_of_counts, stacked_values
 from .scale import lookup, stage_counted
 
+# The columns the two sales recipes need.
 SALES_COLUMNS = ("order_id", "order_date", "region", "category", "quantity", "unit_price", "discount")
 REPORT_COLUMNS = ("order_id", "category", "region", "unit_price", "quantity", "discount")
 UNKNOWN = "Unknown"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..config import NUMERIC_FEATURES
+from ..config import CANONICAL_FIELDS, NUMERIC_FEATURES
 from ..functions.numeric import masked, positive_or_null, scaled_with_cap
 from ..operators import clean as C
 from ..operators.aggregate import category_summary, pivot_sum
@@ -16,18 +16,16 @@ from ..sources.readers import table
 from .catalogue import query
 from .tables import CUSTOMERS_SQL, RAW_SALES_SQL, customers, raw_sales
 
-CANONICAL = ("customer_id", "gender", "senior", "tenure_months", "monthly_charges", "total_charges", "contract", "payment_method", "num_services", "churn")
-
 
 def canonical(spark, sf):
-    return customers(spark, sf).select(*CANONICAL)
+    return customers(spark, sf).select(*CANONICAL_FIELDS)
 
 
 @query(
     "null_rates", "AGG-14",
     f"WITH {CUSTOMERS_SQL} " + " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", round(avg(CASE WHEN {c} IS NULL THEN 1.0::DOUBLE ELSE 0 END), 8) AS missing_rate FROM customers"
-        for c in CANONICAL
+        for c in CANONICAL_FIELDS
     ),
 )
 def null_rates_query(spark, sf):
@@ -206,7 +204,7 @@ FROM t LEFT JOIN g USING (contract)"""
 def clean_customers(rows):
     return C.clean_customers(
         rows,
-        required=CANONICAL,
+        required=CANONICAL_FIELDS,
         numeric=NUMERIC_FEATURES,
         texts=("gender", "contract", "payment_method"),
         target="churn",

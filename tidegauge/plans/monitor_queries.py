@@ -203,10 +203,11 @@ def root_cause(spark, sf):
     )
 
 
-@query("root_cause_report", "STA-13 ORD-07 FLT-04 REP-02")
+@query("root_cause_report", "STA-13 ORD-07 FLT-04")
 def root_cause_report(spark, sf):
     both = line_periods(spark, sf)
-    return A.root_cause_report(both, profile(both).table(), LINE_CONFIG)
+    missing = stage(D.missing_rates(both, [*NUMERIC, *CATEGORICAL]), "missing")
+    return A.root_cause_report(both, profile(both).table(missing), LINE_CONFIG)
 
 
 @query(
