@@ -109,3 +109,54 @@ def test_histories():
     assert flat.tolist() == [9, 5, 6, 0, 9, 0, 9, 7, 0] and owner.tolist() == [0] * 4 + [1] * 2 + [2] * 3
     one, two = st.histories(flat, begins, 2)
     assert one.tolist() == [-1, 9, 5, 6, -1, 9, -1, 9, 7] and two.tolist() == [-1, -1, 9, 5, -1, -1, -1, -1, 9]
+
+
+def test_rare_phrases_stay_in_a_large_table(spark):
+    """A phrase seen eight times is learned beside 900,000 other tokens as it is beside few."""
+    r = np.random.default_rng(2)
+    learned = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 != 2]
+    held = next(i for i in range(100) if i not in learned)
+    phrase = [(i, "north harbour tide gauge") for i in learned[:8]] + [(held, "north harbour tide gauge")]
+    filler = [(i, " ".join(f"w{x}" for x in r.integers(0, 300, 20_000))) for i in learned[8:53]]
+    score = lambda rows: {x.doc_id: x for x in st.lm_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()}[held]
+    found = score(phrase + filler)
+    assert found.train_tokens > 900_000 and found.score > found.base_score + 10
+
+
+def test_tables_hold_the_tree_in_memory(spark, monkeypatch):
+    monkeypatch.setattr(st, "BLOCK_BYTES", 2_000)
+    r = np.random.default_rng(3)
+    lines = [[f"w{x}" for x in np.minimum(r.geometric(0.08, 8), 60)] for _ in range(40)]
+    rows = [(i, " ".join(w for k in r.integers(0, 40, 12) for w in lines[k]) + f" once{i}") for i in range(70)]
+    learned = [t.split() for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    counts = Counter(w for t in learned for w in t)
+    n, v = sum(counts.values()) + len(learned), len(counts) + 1
+    once, twice = (sum(c == k for c in [*counts.values(), len(learned)]) for k in (1, 2))
+    totals = st.Totals(n, v, len(learned), min(0.9, once / (once + 2 * twice)))
+    common = sorted(w for w, c in counts.items() if c >= st.LEAST)
+    number = {w: st.WORDS + i for i, w in enumerate(common)}
+    rare = [c for w, c in counts.items() if w not in number]
+    size = st.WORDS + len(common) + 1
+    rest = sum(c - totals.discount for c in rare) / n + totals.unknown
+    root = np.array([totals.known(len(learned)), rest, *(totals.known(counts[w]) for w in common), 1e-300])
+    root[:-1] /= root[:-1].sum()
+    tree = st.Tree(size, root)
+    flat = lambda texts: st.flat_texts(pa.array([[number.get(w, st.REST) for w in t] for t in texts], pa.list_(pa.int32())), size - 1)
+    symbols, begins, _ = flat(learned)
+    contexts, seen = np.arange(1, size), np.array([sum(rare), *(counts[w] for w in common), len(learned)])
+    contexts, seen = contexts[seen > 0], seen[seen > 0]
+    for length in range(1, st.DEPTH + 1):
+        before = st.histories(symbols, begins, length)
+        ok = before[-1] >= 0
+        runs, times = np.unique(symbols[ok] + sum(h[ok] * size ** (i + 1) for i, h in enumerate(before)), return_counts=True)
+        runs, times = runs[times >= st.LEAST], times[times >= st.LEAST]
+        st.grow(tree, contexts, seen, runs, times)
+        contexts, seen = runs, times
+    assert all(len(level.contexts) for level in tree.levels)
+    got = {x.doc_id: x.score for x in st.lm_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        words = text.split()
+        line, start, _ = flat([words])
+        p = tree.probabilities([h[1:] for h in st.histories(line, start, st.DEPTH)], line[1:])
+        inside = sum(math.log10((totals.known(counts[w]) if counts[w] else totals.unknown) / rest) for w in words if w not in number)
+        assert got[i] == pytest.approx(np.log10(p).sum() + inside, abs=1e-6)

@@ -1,16 +1,18 @@
 """LM scoring with a probabilistic suffix tree over words.
 
-Tree: a context is a run of up to `DEPTH` symbols. Symbols are the end of a text and the words that make up at least
-`LEAST_SHARE` of all training tokens; all other words are one symbol, whose share is passed on to a word by its count. Level
-by level, the runs with at least that share of all tokens are counted, and a context stays in the tree if the
-distribution behind it differs from that of the longest shorter context in the tree (a likelihood-ratio test). A context's
-distribution is its discounted counts; what is left over goes to the other symbols as the shorter context has them. Unknown
-words have the mass that absolute discounting takes from the known ones. A text is scored by the longest context in
-the tree at each token, and all distributions sum to 1 over known words, the end and "unknown".
+Tree: a context is a run of up to `DEPTH` symbols. Symbols are the end of a text and the words with at least `LEAST` training
+occurrences; all other words are one symbol, whose share is passed on to a word by its count. Level by level, the runs with at
+least `LEAST` occurrences are counted, and a context stays in the tree if the distribution behind it differs from that of the
+longest shorter context in the tree (a likelihood-ratio test). A context's distribution is its discounted counts; what is left
+over goes to the other symbols as the shorter context has them. Unknown words have the mass that absolute discounting takes
+from the known ones. A text is scored by the longest context in the tree at each token, and all distributions sum to 1 over
+known words, the end and "unknown". `LEAST` is a count, not a share: the tree grows with the texts.
 
 Work: a text is split once. Each block of texts gets a dictionary of its own; dictionaries, not tokens, are shuffled to
-count words, and counts come back to the block. After that texts are arrays of symbols, and each level is one pass of
-local counts. What is sent to tasks is bounded by 1 / LEAST_SHARE entries a level; the counts of words are never gathered.
+count words, and counts come back to the block. Each longer level works alike: a block sends its distinct runs, once each
+with their count, and gets back which of them are frequent. A run is named by the ids of its first and its last part, so only
+runs of two frequent parts are sent. Levels are Parquet tables and meet the blocks by joins; nothing of them is gathered or
+broadcast, and what a task holds is bounded by its block.
 
 Defined cases: a null text is empty, and an empty text is its end alone; a null id is never held out; repeated rows count
 repeatedly; without training texts every word is unknown; an empty table gives no rows; extra columns are ignored.
@@ -20,26 +22,27 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.scale import stage
 from .labels import held_out
-from .workers import map_batches, schema_of, ship_package
+from .workers import map_batches, ship_package
 
-LEAST_SHARE = 2e-5
+LEAST = 5
 DEPTH = 3
 BLOCK_BYTES = 24 << 20
 PIECE_SYMBOLS = 400_000
 DISCOUNT = 0.5
 LEAST_GAIN = 20.0
-END, REST, WORDS = 0, 1, 2  # symbols: end of text, any rare word, then the frequent words; the start mark is the last one
+# symbols: end of text, any rare word, then the frequent words; the start mark is the last one inside a block, else START
+END, REST, WORDS, START = 0, 1, 2, -1
 
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -141,64 +144,24 @@ def _per_text(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(owner, values, n) if len(values) else np.zeros(n)
 
 
-def symbol_texts(coded: DataFrame, counts: DataFrame, totals: Totals, frequent: list[str]) -> DataFrame:
-    """Per text: base figures, the part of the score inside the rare words, and the array of symbols."""
-    spark = coded.sparkSession
-    symbols = spark.createDataFrame(list(zip(frequent, range(WORDS, WORDS + len(frequent)), strict=True)), "word string, symbol int")
-    ranked = counts.join(F.broadcast(symbols), "word", "left")  # at most 1 / LEAST_SHARE words
-    entries = coded.filter("words IS NOT NULL").select("block", F.posexplode("words").alias("code", "word"))
-    known = entries.join(ranked, "word").select("block", "code", "c", F.coalesce("symbol", F.lit(REST)).alias("symbol"))
-    texts = coded.filter("words IS NULL").select(F.col("block").alias("b"), "doc_id", "held_out", "codes")
-    kind = coded.schema["doc_id"].dataType.simpleString()
-    rest = _rest_mass(counts, totals, frequent)
-    ship_package(spark)
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows = left.combine_chunks()
-        n = rows.num_rows
-        code = right["code"].to_numpy()
-        size = int(code.max()) + 1 if len(code) else 0
-        count, symbol = np.zeros(size, np.int64), np.full(size, REST, np.int32)
-        count[code], symbol[code] = right["c"].to_numpy(), right["symbol"].to_numpy()
-        lists = rows["codes"].combine_chunks() if n else pa.array([], pa.list_(pa.int32()))
-        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-        offsets = lists.offsets.to_numpy() - (lists.offsets[0].as_py() if n else 0)
-        codes = lists.flatten().to_numpy()
-        owner = np.repeat(np.arange(n), np.diff(offsets))
-        base = np.log10(totals.base(count))
-        inside = np.where(
-            symbol == REST, np.log10(np.where(count > 0, totals.known(count), totals.unknown)) - np.log10(rest), 0.0
-        )
-        made = {
-            "doc_id": rows["doc_id"],
-            "held_out": rows["held_out"],
-            "n_tokens": pa.array(np.diff(offsets).astype(np.int64) + 1),
-            "n_known": pa.array(_per_text((count > 0)[codes], owner, n).astype(np.int64) + (totals.texts > 0)),
-            "base_score": pa.array(_per_text(base[codes], owner, n) + np.log10(totals.base(totals.texts))),
-            "inside": pa.array(_per_text(inside[codes], owner, n)),
-            "symbols": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(symbol[codes], pa.int32())),
-        }
-        return pa.table(made)
-
-    return (
-        texts.groupBy("b")
-        .cogroup(known.groupBy("block"))
-        .applyInArrow(
-            run,
-            f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, inside double, symbols array<int>",
-        )
+def symbol_table(counts: DataFrame, totals: Totals) -> DataFrame:
+    """Level of single symbols: `id`, training count `n` and probability `p` without a context."""
+    spark = counts.sparkSession
+    common = counts.filter(F.col("symbol") >= WORDS)
+    known = lambda c: F.greatest(c - F.lit(totals.discount), F.lit(1e-12)) / F.lit(max(totals.tokens, 1))
+    rare = counts.filter((F.col("symbol") == REST) & (F.col("c") > 0))
+    got = rare.agg(F.sum("c").alias("n"), F.sum(F.col("c") - F.lit(totals.discount)).alias("m")).first()
+    rest = max((got.m or 0.0) / max(totals.tokens, 1) + totals.unknown, 1e-12)
+    end = float(totals.known(totals.texts)) if totals.texts else totals.unknown
+    words = common.agg(F.sum(known(F.col("c"))).alias("p")).first().p or 0.0
+    whole = max(end + rest + words, 1e-300)  # the end may lack its share when no text is learned from
+    # nothing is followed by the start mark
+    marks = [(END, 0, end / whole), (REST, got.n or 0, rest / whole), (START, totals.texts, 1e-300)]
+    return common.select(F.col("symbol").alias("id"), F.col("c").alias("n"), (known(F.col("c")) / F.lit(whole)).alias("p")).unionByName(
+        spark.createDataFrame(marks, "id long, n long, p double")
     )
 
 
-def _rest_mass(counts: DataFrame, totals: Totals, frequent: list[str]) -> float:
-    """Probability of the symbol that stands for all rare and unknown words."""
-    got = counts.filter("c > 0").filter(F.col("c") < LEAST_SHARE * totals.tokens)
-    if not frequent:
-        got = counts.filter("c > 0")
-    mass = got.agg(F.sum(F.col("c") - F.lit(totals.discount)).alias("m")).first().m or 0.0
-    return max(mass / max(totals.tokens, 1) + totals.unknown, 1e-12)
-
-
 @dataclass
 class Level:
     """Contexts of one length, ascending, with the factor for symbols without an own entry; and their entries."""
@@ -211,6 +174,8 @@ class Level:
 
 @dataclass
 class Tree:
+    """The tree of one small set of texts, in memory, with `grow`; `lm_scores` has the same tree as tables."""
+
     size: int  # number of symbols, the start mark included
     root: np.ndarray
     levels: list[Level] = field(default_factory=list)
@@ -260,53 +225,12 @@ def flat_texts(lists: pa.Array, start: int) -> tuple[np.ndarray, np.ndarray, np.
     return flat, np.repeat(begins, sizes), np.repeat(np.arange(len(sizes)), sizes)
 
 
-def _symbol_pieces(batch: pa.RecordBatch, symbols: int) -> Iterator[pa.RecordBatch]:
-    """Pieces of a batch of about `symbols` symbols, so that work arrays have a fixed size."""
-    sizes = pc.list_value_length(batch.column("symbols")).to_numpy(zero_copy_only=False)
-    number = np.cumsum(sizes) // symbols
-    cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), batch.num_rows]
-    for a, b in zip(cuts, cuts[1:], strict=False):
-        if b > a:
-            yield batch.slice(a, b - a)
-
-
 def _member(keys: np.ndarray, of: np.ndarray) -> np.ndarray:
     if not len(of):
         return np.zeros(len(keys), bool)
     return of[np.minimum(np.searchsorted(of, keys), len(of) - 1)] == keys
 
 
-def run_counts(texts: DataFrame, length: int, size: int, shorter: np.ndarray | None, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Runs of `length` symbols with at least `least` training occurrences, as ascending keys, and their counts.
-
-    Only runs whose first and last parts are frequent can be frequent, so the rest is not shuffled.
-    """
-    sent, symbols = texts.sparkSession.sparkContext.broadcast(shorter), PIECE_SYMBOLS
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shorter = sent.value
-        for piece in chain.from_iterable(_symbol_pieces(batch, symbols) for batch in batches):
-            flat, begins, _ = flat_texts(piece.column(0), size - 1)
-            before = histories(flat, begins, length - 1)
-            ok = (before[-1] >= 0)
-            key, power = flat.copy(), size
-            for h in before:
-                key, power = key + h * power, power * size
-            key = key[ok]
-            if shorter is not None:
-                key = key[_member(key // size, shorter)]
-                key = key[_member(key % size ** (length - 1), shorter)]
-            keys, counts = np.unique(key, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts, pa.int64())], names=["run", "n"])
-
-    learned = texts.filter(~F.col("held_out")).select("symbols")
-    counted = map_batches(learned, run, "run long, n long")
-    kept = counted.groupBy("run").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).collect()  # at most N / least
-    keys, counts = np.array([r.run for r in kept], np.int64), np.array([r.n for r in kept], np.int64)
-    order = np.argsort(keys)
-    return keys[order], counts[order]
-
-
 def _split(key: np.ndarray, size: int, length: int) -> list[np.ndarray]:
     """Symbols of a run, the last one first."""
     return [(key // size**i) % size for i in range(length)]
@@ -336,68 +260,181 @@ def grow(tree: Tree, contexts: np.ndarray, totals: np.ndarray, runs: np.ndarray,
     )
 
 
-def train(texts: DataFrame, totals: Totals, root_counts: np.ndarray, rest: float) -> Tree:
-    """The tree over staged symbol arrays; `root_counts` are the counts of the frequent words in symbol order."""
-    size = WORDS + len(root_counts) + 1
-    root = np.zeros(size)
-    root[END], root[REST] = (totals.known(totals.texts) if totals.texts else totals.unknown), rest
-    root[WORDS:-1] = totals.known(root_counts)
-    root[:-1] /= max(root[:-1].sum(), 1e-300)  # the end may lack its share when no text is learned from
-    root[-1] = 1e-300  # nothing is followed by the start mark
-    tree = Tree(size, root)
-    if not totals.texts:
-        return tree
-    rare = totals.tokens - totals.texts - int(root_counts.sum())
-    contexts = np.arange(size, dtype=np.int64)
-    seen = np.concatenate([[0, rare], root_counts, [totals.texts]]).astype(np.int64)
-    contexts, seen = contexts[seen > 0], seen[seen > 0]
-    least = max(LEAST_SHARE * totals.tokens, 2.0)
-    frequent = None
-    for length in range(1, DEPTH + 1):
-        runs, counts = run_counts(texts, length + 1, size, frequent, least)
-        grow(tree, contexts, seen, runs, counts)
-        contexts, seen, frequent = runs, counts, runs
-        if not len(runs):
-            break
-    return tree
-
-
-def with_scores(texts: DataFrame, tree: Tree) -> DataFrame:
-    """Add `score`, the log10 probability of each text."""
-    # plain values: a broadcast is read without the package
-    levels = [(v.contexts, v.factors, v.entries, v.values) for v in tree.levels]
-    sent = texts.sparkSession.sparkContext.broadcast((tree.size, tree.root, levels))
-    kept = texts.drop("symbols", "inside")
-    names, symbols = kept.columns, PIECE_SYMBOLS
+class Block:
+    """Texts of a block as one line of symbols, and at each place the run of each length that ends there.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size, root, levels = sent.value
-        tree = Tree(size, root, [Level(*v) for v in levels])
-        for piece in chain.from_iterable(_symbol_pieces(batch, symbols) for batch in batches):
-            flat, begins, owner = flat_texts(piece.column("symbols"), tree.size - 1)
-            real = np.arange(len(flat)) != begins
-            before = [h[real] for h in histories(flat, begins, DEPTH)]
-            logs = np.log10(tree.probabilities(before, flat[real]))
-            score = _per_text(logs, owner[real], piece.num_rows) + piece.column("inside").to_numpy()
-            arrays = [piece.column(name) for name in names]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(score)], names=[*names, "score"])
+    `found` has rows (level, key, ...) of the block's runs that are in the tables. A key is made of the two parts' places among
+    the block's runs one shorter, so it means the same in every pass.
+    """
+
+    def __init__(self, texts: pa.Table, found: pa.Table) -> None:
+        self.rows = texts.combine_chunks()
+        level = found["level"].to_numpy()
+        self.found = [found.filter(pa.array(level == n)).sort_by("key") for n in range(1, DEPTH + 2)]
+        code, symbol = self.found[0]["key"].to_numpy(), self.found[0]["symbol"].to_numpy()
+        self.size = WORDS + len(code) + 1  # the dictionary's codes are 0, 1, ...
+        of_code = np.where(symbol >= WORDS, code + WORDS, REST).astype(np.int32)
+        self.symbols = np.concatenate([[END, REST], np.where(symbol >= WORDS, symbol, REST), [START]]).astype(np.int64)
+        lists = pa.concat_arrays(self.rows["codes"].chunks)
+        self.offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        self.codes = lists.flatten().to_numpy()
+        coded = pa.ListArray.from_arrays(pa.array(self.offsets, pa.int32()), pa.array(of_code[self.codes], pa.int32()))
+        self.flat, self.begins, self.owner = flat_texts(coded, self.size - 1)
+        self.places = {1: self.flat}
+
+    def keys(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places where a run of `length` symbols ends whose two parts are in the tables, and the runs' keys."""
+        parts = self.at(length - 1)
+        ok = parts[1:] >= 0
+        ok &= self.begins[1:] != np.arange(1, len(parts)) if length == 2 else parts[:-1] >= 0
+        place = np.flatnonzero(ok) + 1
+        return place, parts[place - 1] * self.width(length - 1) + parts[place]
+
+    def width(self, length: int) -> int:
+        return self.size if length == 1 else max(self.found[length - 1].num_rows, 1)
+
+    def at(self, length: int) -> np.ndarray:
+        """For each place the run of that length ending there, as its place among the block's runs in the tables; -1: none."""
+        if length not in self.places:
+            place, key = self.keys(length)
+            held = self.found[length - 1]["key"].to_numpy()
+            runs = np.full(len(self.flat), -1, np.int64)
+            hit = _member(key, held)
+            runs[place[hit]] = np.searchsorted(held, key[hit])
+            self.places[length] = runs
+        return self.places[length]
+
+
+def _counted(keys: np.ndarray, learned: np.ndarray, piece: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and how often each was learned, over pieces of a fixed size."""
+    parts = []
+    for start in range(0, len(keys), piece):
+        some, place = np.unique(keys[start : start + piece], return_inverse=True)
+        parts.append((some, np.bincount(place, learned[start : start + piece], len(some)).astype(np.int64)))
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    found, place = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return found, np.bincount(place, np.concatenate([n for _, n in parts]), len(found)).astype(np.int64)
+
+
+def frequent_runs(texts: DataFrame, members: list[DataFrame], length: int) -> DataFrame:
+    """Runs of `length` symbols with at least `LEAST` training occurrences, a row per run and block that has it.
+
+    `pre` and `suf` are the ids of the run without its last and without its first symbol; `n` counts all blocks. The row with
+    `first` stands for the run in its level's table.
+    """
+    found = reduce(DataFrame.unionByName, (m.select("block", "level", "key", F.col("id").alias("symbol")) for m in members))
+    piece = PIECE_SYMBOLS
+    ship_package(texts.sparkSession)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        block = Block(left, right)
+        place, key = block.keys(length)
+        learned = ~block.rows["held_out"].to_numpy()
+        keys, counts = _counted(key, learned[block.owner[place]], piece)
+        ids = block.symbols if length == 2 else block.found[length - 2]["symbol"].to_numpy()
+        before, last = np.divmod(keys, block.width(length - 1))
+        number = np.full(len(keys), block.rows["b"][0].as_py(), np.int64)
+        return pa.table({"block": number, "key": keys, "pre": ids[before], "suf": ids[last], "n": counts})
+
+    sent = texts.groupBy("b").cogroup(found.groupBy("block")).applyInArrow(run, "block long, key long, pre long, suf long, n long")
+    same = Window.partitionBy("pre", "suf")  # at most one row per block
+    totals = sent.withColumn("row", F.monotonically_increasing_id()).select(
+        "block", F.lit(length).alias("level"), "key", "pre", "suf", F.sum("n").over(same).alias("n"), F.min("row").over(same).alias("id"), "row"
+    )
+    kept = totals.filter(F.col("n") >= LEAST)
+    return stage(kept.withColumn("first", F.col("row") == F.col("id")).drop("row"), f"runs{length}")
 
-    return map_batches(texts, run, f"{schema_of(kept)}, score double")
+
+def grown(table: DataFrame, runs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """As `grow`, on tables: the contexts of the level (id, factor), and the table (id, n, p) of the runs one symbol longer."""
+    context, last = table.select(F.col("id").alias("pre"), F.col("n").alias("whole")), table.select(F.col("id").alias("suf"), F.col("p").alias("shorter"))
+    own = runs.filter("first").select("pre", "suf", "id", "n").join(context, "pre").join(last, "suf")
+    share = F.least((F.col("n") - F.lit(DISCOUNT)) / F.col("whole"), F.lit(1 - 1e-9))
+    own = stage(own.select("pre", "id", "n", "whole", "shorter", share.alias("value")), "followers")
+    # where every symbol has an entry of its own, nothing is left for others: the discounts go back to the entries
+    sums = own.groupBy("pre").agg(
+        F.max("whole").alias("whole"), F.sum("value").alias("owned"), F.sum("shorter").alias("lent"),
+        F.sum(F.col("value") * F.log(F.col("value") / F.greatest("shorter", F.lit(1e-300)))).alias("gain"),
+    )
+    scaled = sums.withColumn("scale", F.when(F.col("lent") > 1 - 1e-9, 1 / F.col("owned")).otherwise(1.0))
+    rest = lambda x: F.greatest(1 - x, F.lit(1e-12))
+    parts = scaled.withColumn("left", rest(F.col("owned") * F.col("scale"))).withColumn("lent_left", rest(F.col("lent")))
+    scaled_gain = F.col("scale") * (F.col("gain") + F.col("owned") * F.log("scale"))
+    gain = scaled_gain + F.col("left") * F.log(F.col("left") / F.col("lent_left"))
+    kept = parts.filter(gain * F.col("whole") >= LEAST_GAIN)
+    contexts = stage(kept.select("pre", "scale", (F.col("left") / F.col("lent_left")).alias("factor")), "contexts")
+    p = F.coalesce(F.col("value") * F.col("scale"), "shorter")
+    longer = own.join(contexts.select("pre", "scale"), "pre", "left").select("id", "n", p.alias("p"))
+    return contexts.select(F.col("pre").alias("id"), "factor"), stage(longer, "level")
+
+
+def with_scores(texts: DataFrame, found: DataFrame, marks: dict[int, tuple[float, float]], totals: Totals) -> DataFrame:
+    """Figures and `score`, the log10 probability, of each text. `marks` has p and factor of the symbols that are no words."""
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    ship_package(texts.sparkSession)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        block = Block(left, right)
+        rows, n = block.rows, block.rows.num_rows
+        count = block.found[0]["c"].to_numpy()
+        rare = block.found[0]["symbol"].to_numpy() == REST
+        owner = np.repeat(np.arange(n), np.diff(block.offsets))
+        base = np.log10(totals.base(count))
+        rest = np.log10(marks[REST][0])
+        inside = np.where(rare, np.log10(np.where(count > 0, totals.known(count), totals.unknown)) - rest, 0.0)
+        column = lambda length, name: block.found[length - 1][name].to_numpy()
+        ends = lambda i, of: np.concatenate([[marks[END][i], marks[REST][i]], of, [marks[START][i]]])
+        p = ends(0, column(1, "p"))[block.flat]
+        factors = ends(1, column(1, "factor"))
+        for length in range(1, DEPTH + 1):
+            place, context, longer = np.arange(1, len(p)), block.at(length)[:-1], block.at(length + 1)[1:]
+            inner = (context >= 0) & (block.begins[1:] != place)
+            hit, miss = np.flatnonzero(longer >= 0), np.flatnonzero(inner & (longer < 0))
+            p[miss + 1] *= factors[context[miss]]
+            p[hit + 1] = column(length + 1, "p")[longer[hit]]
+            factors = column(length + 1, "factor")
+        real = np.flatnonzero(np.arange(len(p)) != block.begins)
+        score = _per_text(np.log10(p[real]), block.owner[real], n) + _per_text(inside[block.codes], owner, n)
+        return pa.table({
+            "doc_id": rows["doc_id"],
+            "held_out": rows["held_out"],
+            "n_tokens": pa.array(np.diff(block.offsets).astype(np.int64) + 1),
+            "n_known": pa.array(_per_text((count > 0)[block.codes], owner, n).astype(np.int64) + (totals.texts > 0)),
+            "base_score": pa.array(_per_text(base[block.codes], owner, n) + np.log10(totals.base(totals.texts))),
+            "score": pa.array(score),
+        })
+
+    made = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+    return texts.groupBy("b").cogroup(found.groupBy("block")).applyInArrow(run, made)
 
 
 def lm_scores(docs: DataFrame, *, modulus: int = 7, remainder: int = 2) -> DataFrame:
     """Query of the operator: base figures and the tree's log10 probability of every text."""
     coded = stage(dictionaries(docs, modulus, remainder), "coded")
     entries = coded.filter("words IS NOT NULL").select(F.inline(F.arrays_zip("words", "counts")))
-    counts = stage(entries.groupBy(F.col("words").alias("word")).agg(F.sum("counts").alias("c")), "words")
-    texts = coded.filter("words IS NULL AND NOT held_out").count()
-    totals = totals_of(counts, texts)
-    found = counts.filter((F.col("c") >= LEAST_SHARE * totals.tokens) & (F.col("c") > 0)).collect()  # at most 1 / LEAST_SHARE
-    frequent = sorted((r.word, r.c) for r in found)
-    words, root_counts = [w for w, _ in frequent], np.array([c for _, c in frequent], np.int64)
-    rest = _rest_mass(counts, totals, words)
-    symbols = stage(symbol_texts(coded, counts, totals, words), "symbols")
-    scored = with_scores(symbols, train(symbols, totals, root_counts, rest))
-    return scored.select(
+    summed = entries.groupBy(F.col("words").alias("word")).agg(F.sum("counts").alias("c"))
+    symbol = F.when(F.col("c") >= LEAST, F.monotonically_increasing_id() + WORDS).otherwise(F.lit(REST))
+    counts = stage(summed.select("word", "c", symbol.alias("symbol")), "words")
+    texts = coded.filter("words IS NULL").select(F.col("block").alias("b"), "doc_id", "held_out", "codes")
+    totals = totals_of(counts, texts.filter("NOT held_out").count())
+    words = coded.filter("words IS NOT NULL").select("block", F.posexplode("words").alias("key", "word")).join(counts, "word")
+    known = stage(words.select("block", F.lit(1).alias("level"), F.col("key").cast("long"), F.col("symbol").alias("id"), "c"), "known")
+
+    table, members, levels = stage(symbol_table(counts, totals), "level"), [known], []
+    for length in range(2, DEPTH + 2):
+        runs = frequent_runs(texts, members, length)
+        contexts, longer = grown(table, runs)
+        levels.append(table.join(contexts, "id", "left").select("id", "p", F.coalesce("factor", F.lit(1.0)).alias("factor")))
+        table, members = longer, [*members, runs]
+    levels.append(table.select("id", "p", F.lit(1.0).alias("factor")))
+
+    marks = {r.id: (r.p, r.factor) for r in levels[0].filter(F.col("id") < WORDS).collect()}  # three
+    names = ["block", "level", "key", F.col("id").alias("symbol"), "c", "p", "factor"]
+    rare = known.filter(F.col("id") == REST).withColumns({"p": F.lit(marks[REST][0]), "factor": F.lit(marks[REST][1])})
+    common = known.filter(F.col("id") >= WORDS).join(levels[0], "id")
+    parts = [rare, common, *(m.withColumn("c", F.lit(0).cast("long")).join(v, "id") for m, v in zip(members[1:], levels[1:], strict=True))]
+    found = reduce(DataFrame.unionByName, (part.select(names) for part in parts))
+    return with_scores(texts, found, marks, totals).select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(totals.tokens).cast("bigint").alias("train_tokens"), "base_score", "score"
     )
