@@ -138,3 +138,26 @@ def test_licenses_found(spark):
     assert got[13] == (None, "CC-BY-NC-4.0,MIT", 3)
     assert got[15] == got[0] == got[11] == (None, "", 0)
     assert licenses.scan(docs, licenses.known_licenses(spark).limit(0)).filter("license IS NOT NULL OR license_lines > 0").count() == 0
+
+
+def test_long_licenses_and_standard_notices(spark):
+    """Entire licences as the container has them, rewrapped or with a changed appendix, and the usual notices."""
+    folder = "/usr/share/common-licenses"
+    text = lambda name: open(f"{folder}/{name}", encoding="utf-8").read()  # noqa: E731, SIM115
+    apache = text("Apache-2.0")
+    names = {
+        "Apache-2.0": "Apache-2.0", "CC0-1.0": "CC0-1.0", "GPL-1": "GPL-1.0-only", "GPL-2": "GPL-2.0-only", "GPL-3": "GPL-3.0-only",
+        "LGPL-2": "LGPL-2.0-only", "LGPL-2.1": "LGPL-2.1-only", "LGPL-3": "LGPL-3.0-only", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0",
+        "Artistic": "Artistic-1.0-Perl", "GFDL-1.2": "GFDL-1.2-only", "GFDL-1.3": "GFDL-1.3-only", "BSD": "BSD-3-Clause",
+    }
+    whole = [(i, text(n), names[n]) for i, n in enumerate(names)]
+    whole += [(50, apache[: apache.index("END OF TERMS")], "Apache-2.0"), (51, text("MPL-2.0").upper().replace("\n", "\r\n  "), "MPL-2.0")]
+    notice = apache[apache.index("   Licensed under the") :]
+    gnu = text("GPL-3")
+    gnu = gnu[gnu.index("    This program is free software: you") : gnu.index("Also add information on how")]
+    whole += [(52, "Copyright 2020 A. Holder\n" + notice, "Apache-2.0"), (53, gnu, "GPL-3.0-or-later")]
+    lines = [(60, "int x;\n" + notice, "Apache-2.0"), (61, "// SPDX-License-Identifier: MPL-2.0\nint y;", "MPL-2.0")]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in whole + lines], "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.license_report(docs).collect()}
+    assert {i: got[i].license for i, _, _ in whole} == {i: n for i, _, n in whole}
+    assert {i: (got[i].license, got[i].line_licenses) for i, _, _ in lines} == {i: (None, n) for i, _, n in lines}

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.scale import lookup, stage_counted
+from .license_digests import STANDARD_NOTICES, WHOLE
 from .license_texts import KNOWN
 
 # A line that names the holder or the year of a copyright, or reserves all rights.
@@ -65,13 +66,24 @@ def known_digests(known: DataFrame) -> DataFrame:
 
 
 def known_licenses(spark) -> DataFrame:
-    """The licences and notices that come with the package."""
-    return spark.createDataFrame(list(KNOWN), "license string, text string")
+    """The licences and notices that come with the package as texts."""
+    return spark.createDataFrame([*KNOWN, *STANDARD_NOTICES], "license string, text string")
 
 
-def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
-    """Per document: `digest` of the entire text, `license` it is, `line_licenses` (distinct, by name) and `license_lines`."""
-    table, count = stage_counted(known_digests(known), "licenses")
+def shipped_digests(spark) -> DataFrame:
+    """(digest, license) of the licences that come with the package as digests."""
+    return spark.createDataFrame(list(WHOLE), "license string, digest string").select("digest", "license")
+
+
+def scan(docs: DataFrame, known: DataFrame, digests: DataFrame | None = None) -> DataFrame:
+    """Per document: `digest` of the entire text, `license` it is, `line_licenses` (distinct, by name) and `license_lines`.
+
+    Licences are `known` as (license, text), or only by their digests as (digest, license).
+    """
+    rows = known_digests(known)
+    if digests is not None:
+        rows = rows.unionByName(digests).groupBy("digest").agg(F.min("license").alias("license"))
+    table, count = stage_counted(rows, "licenses")
     marked = docs.select("doc_id", lines(F.col("text")).alias("_lines"), F.monotonically_increasing_id().alias("_row"))
     whole = marked.withColumn("digest", digest(F.array_join("_lines", " ")))
     named = lookup(whole, table, ["digest"], table_rows=count)
@@ -91,7 +103,8 @@ def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
 
 def license_report(docs: DataFrame) -> DataFrame:
     """Query of the operator, with the licences that come with the package."""
-    found = scan(docs, known_licenses(docs.sparkSession))
+    spark = docs.sparkSession
+    found = scan(docs, known_licenses(spark), shipped_digests(spark))
     return found.withColumn("line_licenses", F.array_join("line_licenses", ","))
 
 
@@ -111,6 +124,7 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+# The SQL knows the short texts of `KNOWN` alone.
 _VALUES = ", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in KNOWN)
 SQL = f"""
 WITH known AS (
