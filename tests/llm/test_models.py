@@ -114,3 +114,13 @@ def test_restored_text(spark):
     model = toxicity.Model(toxicity.language_costs(toxicity.trigram_counts([words])), {}, 0.05)
     got = {r.doc_id: r.restored for r in toxicity.restore(docs, model).collect()}
     assert got == {1: "you stupid moron", 2: ""}
+
+
+@pytest.mark.parametrize("text", [
+    "y o u  a r e  s t u p i d", "y o u a r e s t u p i d", "y   o   u   a r e   s   t   u   p   i   d", "s\tt\tu\tp\ti\td",
+    "y\no\nu\na\nr\ne\ns\nt\nu\np\ni\nd", "y/o/u/a/r/e/s/t/u/p/i/d", "s,t,u,p,1,d", "y|o|u|a|r|e|s|t|u|p|i|d", "you are st up id",
+])
+def test_set_apart_sentences(text):
+    plain = ["you are stupid. he is a stupid man, and you are not. are you there? stupid people are here"] * 20
+    costs = toxicity.language_costs(toxicity.trigram_counts(iter(plain)))
+    assert any(f.startswith("stupid") for f in toxicity.features(toxicity.Reader(costs).words(text)))

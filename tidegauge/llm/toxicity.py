@@ -3,7 +3,8 @@
 Channel: a writer may replace letters by look-alikes (`1d10t`), repeat them (`stuuupid`), put signs between them or set them
 apart (`s t u p i d`). A disguised word is a lattice of characters: every sign is one of the letters it looks like, itself, or
 nothing, and a run of one letter is one or two of it. A Viterbi search finds the path with the least channel cost plus cost
-under a character trigram model, which is counted over all documents. A word without any such sign has one path, itself.
+under a character trigram model, which is counted over all documents. A word without any such sign has one path, itself. In a
+run of single signs or pairs that are set apart, each gap is nothing or a word's end, so the search also finds the words.
 
 Score: features are the restored words and their beginnings, doubled letters written once. On a bounded sample of labelled
 documents that are not held out, a feature becomes part of the lexicon if nearly all documents with it are toxic and their
@@ -42,13 +43,18 @@ LOOKS_LIKE = {
 }
 # Channel costs, in nats: a sign for a letter; a sign that means nothing, by kind; a digit as it stands; a repeated letter.
 SWAP, DROP_SIGN, DROP_MARK, DROP_EDGE, KEEP, REPEAT = 1.5, 8.0, 1.5, 0.5, 6.0, 0.7
+WIDE_GAP = 3.0  # a gap wider than the run's narrowest that is no word's end
 WORD_MEMORY = 200_000
 
 SIGN = re.compile(r"[^\W\d_]")
 DISGUISED = re.compile(r"(.)\1\1|[\d@$!|+(€£¡*.\-_]")
-APART = re.compile(r"(?<![\w@$!])(?:[^\W_]|[@$!])(?:[ .\-_*]{1,2}(?:[^\W_]|[@$!])){2,}(?![\w@$!])")
+# Three or more groups of one or two signs, with any blanks and separators between them.
+GAP = r"[\s.,;:\-_*/\\|~·•]++"
+APART = re.compile(rf"(?<![\w@$!])(?:[^\W_]|[@$!]){{1,2}}(?:{GAP}(?:[^\W_]|[@$!]){{1,2}}){{2,}}(?![\w@$!])")
+GAPS = re.compile(f"({GAP})")
 DOUBLES = re.compile(r"(.)\1+")
 MIN_PREFIX, MAX_PREFIX = 4, 8
+WINDOW = 12
 
 
 def cell(letter: str) -> int:
@@ -126,22 +132,44 @@ class Restorer:
         self.costs = costs
 
     def word(self, written: str) -> str:
-        units = list(_runs(written))
-        end = len(units) - 1
-        best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-        for i, (sign, count) in enumerate(units):
-            reached: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (cost, out) in best.items():
-                for letters, channel in _readings(sign, count, i == 0, i == end):
-                    x, y, total = a, b, cost + channel
-                    for letter in letters:
-                        c = cell(letter)
-                        total += self.costs[x, y, c]
-                        x, y = y, c
-                    if (x, y) not in reached or total < reached[x, y][0]:
-                        reached[x, y] = (total, out + letters)
-            best = reached
-        return min((cost + self.costs[a, b, 0], out) for (a, b), (cost, out) in best.items())[1]
+        return "".join(self._search([written], []))
+
+    def words(self, run: str) -> list[str]:
+        """The words of a run of groups that are set apart."""
+        parts = GAPS.split(run)
+        gaps = list(map(len, parts[1::2]))
+        return "".join(self._search(parts[::2], [WIDE_GAP * (n > min(gaps)) for n in gaps])).split()
+
+    def _search(self, groups: list[str], inside: list[float]) -> list[str]:
+        """Readings along the best path; between two groups a blank, or nothing at the cost of being inside a word."""
+        end = len(groups) - 1
+        best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}  # paths are linked backwards
+        for g, group in enumerate(groups):
+            if g:
+                a_blank = min(((cost + self.costs[a, b, 0], path) for (a, b), (cost, path) in best.items()), key=lambda x: x[0])
+                best = {state: (cost + inside[g - 1], path) for state, (cost, path) in best.items()}
+                if (0, 0) not in best or a_blank[0] < best[0, 0][0]:
+                    best[0, 0] = (a_blank[0], (a_blank[1], " "))
+            units = list(_runs(group))
+            for i, (sign, count) in enumerate(units):
+                first, last = g == 0 and i == 0, g == end and i == len(units) - 1
+                reached: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+                for (a, b), (cost, path) in best.items():
+                    for letters, channel in _readings(sign, count, first, last):
+                        x, y, total = a, b, cost + channel
+                        for letter in letters:
+                            c = cell(letter)
+                            total += self.costs[x, y, c]
+                            x, y = y, c
+                        if (x, y) not in reached or total < reached[x, y][0]:
+                            reached[x, y] = (total, (path, letters))
+                best = reached
+        path = min(((cost + self.costs[a, b, 0], path) for (a, b), (cost, path) in best.items()), key=lambda x: x[0])[1]
+        found = []
+        while path is not None:
+            path, letters = path
+            found.append(letters)
+        return found[::-1]
 
 
 def _plain(word: str) -> str:
@@ -154,6 +182,7 @@ class Reader:
     def __init__(self, costs: np.ndarray) -> None:
         self.restorer = Restorer(costs)
         self.known: dict[str, str] = {}
+        self.apart: dict[str, set[str]] = {}
 
     def restored(self, written: str) -> str:
         """A written word as it is read: lower case, disguise undone, doubled letters once; no letters: empty."""
@@ -172,14 +201,38 @@ class Reader:
                 self.known[written] = found
         return found
 
+    def set_apart(self, run: str) -> set[str]:
+        """The words of a run of groups that are set apart; in a run of single signs a word may begin at each."""
+        found = self.apart.get(run)
+        if found is None:
+            found = set(map(_plain, self.restorer.words(run))) if SIGN.search(run) else set()
+            signs = GAPS.split(run)[::2]
+            if found and all(len(sign) == 1 for sign in signs):
+                # equal gaps hide where words begin: each sign may begin one, and as many signs are read as its beginning needs
+                line = "".join(signs)
+                found.update(self.beginning(line[i : i + WINDOW]) for i in range(len(line) - MIN_PREFIX + 1))
+                if len(line) <= 64:
+                    found.update(_plain(self.restorer.word(line[i:])) for i in range(min(3, len(line) - 2)))
+            if len(self.apart) >= WORD_MEMORY:
+                self.apart.clear()
+            if len(run) <= 64:
+                self.apart[run] = found
+        return found
+
+    def beginning(self, signs: str) -> str:
+        found = self.known.get(f" {signs}")
+        if found is None:
+            if len(self.known) >= WORD_MEMORY:
+                self.known.clear()
+            found = self.known[f" {signs}"] = _plain(self.restorer.word(signs))
+        return found
+
     def words(self, text: str | None) -> set[str]:
         """The distinct restored words of a text, with those that were set apart."""
         lower = (text or "").lower()
         found = set(map(self.restored, set(lower.split())))
-        for apart in APART.finditer(lower):
-            # set-apart letters are read together and, as a word may begin before it, from each of the first three signs on
-            signs = re.sub(r"[ .\-_*]", "", apart.group())
-            found.update(_plain(self.restorer.word(signs[i:])) for i in range(min(3, len(signs) - 2)))
+        for run in APART.finditer(lower):
+            found |= self.set_apart(run.group())
         found.discard("")
         return found
 
@@ -322,10 +375,14 @@ def restore(docs: DataFrame, model: Model, into: str = "restored") -> DataFrame:
                 return written.replace(core, restorer.word(core), 1)
             return written
 
+        def apart(run: re.Match) -> str:
+            found = restorer.words(run.group())
+            return run.group() if found == GAPS.split(run.group())[::2] else " ".join(found)
+
         for batch in batches:
             texts = []
             for text in batch.column(batch.schema.get_field_index("text")):
-                joined = APART.sub(lambda m: restorer.word(re.sub(r"[ .\-_*]", "", m.group())), (text.as_py() or "").lower())
+                joined = APART.sub(apart, (text.as_py() or "").lower())
                 texts.append(" ".join(map(word, joined.split())))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, into]
