@@ -138,7 +138,8 @@ class Restorer:
         """The words of a run of groups that are set apart."""
         parts = GAPS.split(run)
         gaps = list(map(len, parts[1::2]))
-        return "".join(self._search(parts[::2], [WIDE_GAP * (n > min(gaps)) for n in gaps])).split()
+        narrow = min(gaps)
+        return "".join(self._search(parts[::2], [WIDE_GAP * (n > narrow) for n in gaps])).split()
 
     def _search(self, groups: list[str], inside: list[float]) -> list[str]:
         """Readings along the best path; between two groups a blank, or nothing at the cost of being inside a word."""
