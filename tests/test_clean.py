@@ -3,11 +3,11 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from tidegauge.config import NUMERIC_FEATURES
+from tidegauge.config import CANONICAL_FIELDS, NUMERIC_FEATURES
 from tidegauge.operators import clean as C
 from tidegauge.operators.aggregate import category_summary, kpi, pivot_sum, sales_report
 from tidegauge.operators.profile import quality_snapshot
-from tidegauge.plans.cleaning_queries import CANONICAL, clean_customers
+from tidegauge.plans.cleaning_queries import clean_customers
 from tidegauge.sources.gates import require_binary_target
 
 SALES = "order_id string, order_date string, region string, category string, quantity string, unit_price string, discount string"
@@ -136,7 +136,7 @@ def test_recipe_c_keeps_the_raw_figures(spark):
     assert (snap.rows, snap.duplicate_ids, snap.missing_cells, snap.numeric_coercions) == (400, 0, 240, 1)
     with pytest.raises(ValueError, match="churn"):
         clean_customers(raw.drop("churn"))
-    assert set(CANONICAL) == set(raw.columns)
+    assert set(CANONICAL_FIELDS) == set(raw.columns)
 
 
 def test_target_gate(spark):
