@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.readers import table
-from . import bpe, chat, gam, licenses, merkle, mixing, simhash, suffix_tree, topk, toxicity
+from . import bpe, chat, collocations, gam, licenses, merkle, mixing, prefix_trie, simhash, suffix_tree, topk, toxicity
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +58,14 @@ def op10_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gam.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie_report(table(spark, sf_dir, "conversations"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, tuple[Run, str | None]] = {
     "op1_toxicity": (op1_toxicity, None),
     "op2_license_scan": (op2_license_scan, licenses.SQL),
@@ -69,4 +77,6 @@ QUERIES: dict[str, tuple[Run, str | None]] = {
     "op8_merkle_fingerprints": (op8_merkle_fingerprints, merkle.SQL),
     "op9_suffix_tree_lm": (op9_suffix_tree_lm, None),
     "op10_quality_gam": (op10_quality_gam, None),
+    "op11_prefix_trie": (op11_prefix_trie, prefix_trie.SQL),
+    "op13_collocations": (op13_collocations, collocations.SQL),
 }
