@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.readers import table
-from . import bpe, chat, collocations, gam, licenses, merkle, mixing, prefix_trie, simhash, suffix_tree, topk, toxicity
+from . import bpe, chat, collocations, gam, licenses, merkle, mixing, prefix_trie, simhash, suffix_dedup, suffix_tree, topk, toxicity
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +62,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie_report(table(spark, sf_dir, "conversations"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats_report(table(spark, sf_dir, "documents"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -78,5 +82,6 @@ QUERIES: dict[str, tuple[Run, str | None]] = {
     "op9_suffix_tree_lm": (op9_suffix_tree_lm, None),
     "op10_quality_gam": (op10_quality_gam, None),
     "op11_prefix_trie": (op11_prefix_trie, prefix_trie.SQL),
+    "op12_suffix_dedup": (op12_suffix_dedup, None),
     "op13_collocations": (op13_collocations, collocations.SQL),
 }
