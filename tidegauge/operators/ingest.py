@@ -183,17 +183,11 @@ def normalize(events: DataFrame, event: str = "event", *, repaired: bool = False
     )
 
 
-def route(events: DataFrame, accepted_ids: DataFrame | None = None) -> DataFrame:
-    """Route (seq, event) to exactly one outcome each and decide the replay of the dead letters (ING-04..08).
-
-    Adds event_id, schema_version, outcome (accepted | duplicate | dlq), reason_code, error_message, replay (recovered |
-    duplicate | failed, null unless dlq), replay_code, replay_message, and canonical (of the event or of its repair).
-    `accepted_ids` (event_id) holds ids accepted by earlier runs; seq must be unique.
-
-    The JSON is parsed once: the judged events are staged, and the grouped minimum then reads four narrow columns of them.
-    """
+def judged_events(events: DataFrame) -> DataFrame:
+    """(seq, event) with event_id, schema_version, `_s_code` and `_s_message` as sent, `_m_code` and `_m_message` after the safe
+    repair, and canonical. Stateless, so it also works on streams."""
     judged = _judge(_judge(_read(events, "event"), "_s", False), "_m", True)
-    read = judged.select(
+    return judged.select(
         "seq",
         "event",
         _w("event_id").alias("event_id"),
@@ -204,7 +198,18 @@ def route(events: DataFrame, accepted_ids: DataFrame | None = None) -> DataFrame
         "_m_message",
         F.when(F.col("_s_code").isNull(), _canonical("_s")).when(F.col("_m_code").isNull(), _canonical("_m")).alias("canonical"),
     )
-    read = stage(read, "judged-events")
+
+
+def route(events: DataFrame, accepted_ids: DataFrame | None = None) -> DataFrame:
+    """Route (seq, event) to exactly one outcome each and decide the replay of the dead letters (ING-04..08).
+
+    Adds event_id, schema_version, outcome (accepted | duplicate | dlq), reason_code, error_message, replay (recovered |
+    duplicate | failed, null unless dlq), replay_code, replay_message, and canonical (of the event or of its repair).
+    `accepted_ids` (event_id) holds ids accepted by earlier runs; seq must be unique.
+
+    The JSON is parsed once: the judged events are staged, and the grouped minimum then reads four narrow columns of them.
+    """
+    read = stage(judged_events(events), "judged-events")
     good, mended = F.col("_s_code").isNull(), F.col("_m_code").isNull()
     marks = read.filter(F.coalesce("event_id", F.lit("")) != "").select(
         "event_id",
@@ -221,6 +226,13 @@ def route(events: DataFrame, accepted_ids: DataFrame | None = None) -> DataFrame
         F.min("valid_seq").alias("_f"), F.min("mended_seq").alias("_g"), F.count(F.lit(1)).alias("_n")
     )
     firsts, ids = stage_counted(firsts, "first-positions")
+    return decided(read, firsts, ids)
+
+
+def decided(read: DataFrame, firsts: DataFrame, ids: int) -> DataFrame:
+    """Outcomes of judged events from the first positions per id: `_f` of a valid event (-1: accepted earlier), `_g` of one that
+    the repair mends, `_n` events; `ids` is the number of rows of `firsts`."""
+    good, f, g, seq = F.col("_s_code").isNull(), F.col("_f"), F.col("_g"), F.col("seq")
     # events without an id are letters whatever else came: they stay out of the join, where they would be one hot key
     has_id = F.coalesce("event_id", F.lit("")) != ""
     asked, nameless = read.filter(has_id), read.filter(~has_id)
@@ -229,7 +241,6 @@ def route(events: DataFrame, accepted_ids: DataFrame | None = None) -> DataFrame
     else:
         joined = salted_lookup(asked, firsts, ["event_id"], weight="_n")
     joined = joined.unionByName(nameless, allowMissingColumns=True)
-    f, g, seq = F.col("_f"), F.col("_g"), F.col("seq")
     outcome = F.when(good & (seq == f), "accepted").when(f.isNotNull() & (seq > f), "duplicate").otherwise("dlq")
     replay = F.when(
         F.col("outcome") == "dlq",

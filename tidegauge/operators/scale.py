@@ -58,6 +58,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(found)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    system, found = _on_file_system(spark, path)
+    system.mkdirs(found)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     system, found = _on_file_system(spark, path)
     system.delete(found, True)

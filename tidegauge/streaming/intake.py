@@ -33,15 +33,20 @@ def route_batch(batch: DataFrame, batch_id: int, folder: str) -> None:
     spark = batch.sparkSession
     accepted = _read(spark, f"{folder}/accepted", ACCEPTED).filter(F.col("batch") < batch_id)
     with staged_until_end(spark):
-        # stage the routed rows: two sinks read them, and the replay question is left to a later run
+        # stage the routed rows: three sinks read them, and the replay question is left to a later run
         routed = stage(route(batch, accepted.select("event_id")), "routed-batch")
-        rows = {
-            "accepted": routed.filter(F.col("outcome") == "accepted").select("seq", "canonical.*"),
-            "dlq": routed.filter(F.col("outcome") == "dlq").select("seq", "event_id", "reason_code", "error_message", "event"),
-            "duplicate": routed.filter(F.col("outcome") == "duplicate").select("seq", "event_id"),
-        }
-        for name, part in rows.items():
-            part.write.mode("overwrite").parquet(f"{folder}/{name}/batch={batch_id}")
+        write_routed(routed, folder, batch_id)
+
+
+def write_routed(routed: DataFrame, folder: str, batch_id: int) -> None:
+    """The three tables of a routed micro-batch, each in the partition that belongs to the batch."""
+    rows = {
+        "accepted": routed.filter(F.col("outcome") == "accepted").select("seq", "canonical.*"),
+        "dlq": routed.filter(F.col("outcome") == "dlq").select("seq", "event_id", "reason_code", "error_message", "event"),
+        "duplicate": routed.filter(F.col("outcome") == "duplicate").select("seq", "event_id"),
+    }
+    for name, part in rows.items():
+        part.write.mode("overwrite").parquet(f"{folder}/{name}/batch={batch_id}")
 
 
 def route_stream(stream: DataFrame, folder: str, checkpoint: str, **trigger) -> StreamingQuery:
