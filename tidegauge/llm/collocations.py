@@ -26,13 +26,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.scale import lookup, stage, stage_counted
+from ..operators.scale import stage
 from . import blocks as B
 from .blocks import U64
 
 LEAST, LONGEST, TOP, KEPT_SHARE = 10, 3, 2000, 50
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 12 << 20
 SLICE_MASS = 24_000_000
+RANK_SALTS = 64
 
 _KIND = np.zeros(256, np.uint8)
 _KIND[[0x20, 0x09]] = 1
@@ -60,7 +61,10 @@ class Words:
             pa.large_binary(), len(begins), [None, pa.py_buffer(self.offsets.astype(np.int64)), pa.py_buffer(self.letters)]
         )
         coded = plain.dictionary_encode()
-        self.codes, self.words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        order = pc.sort_indices(coded.dictionary).to_numpy()
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.codes, self.words = place[coded.indices.to_numpy()], coded.dictionary.take(pa.array(order))  # codes are in order of the words
         text = np.searchsorted(texts.ends, begins, "right")
         # the breaks before a word: ends of pieces and of texts
         breaks = np.cumsum(kind == 2, dtype=np.int32)[begins] if len(begins) else np.zeros(0, np.int32)
@@ -150,8 +154,11 @@ def survivors(blocks: DataFrame, runs: int, *, least: int, longest: int, slice_m
 SENT = pa.schema([("block", pa.int64()), ("slice", pa.int64()), ("mass", pa.int64()), ("cells", pa.binary()), ("counts", pa.binary())])
 
 
-def exact_counts(blocks: DataFrame, answers: DataFrame, runs: int, *, longest: int, slice_mass: int) -> DataFrame:
-    """(lang, size, phrase, n) of every block for the runs that survived; size 0 has all words of the language."""
+def exact_counts(blocks: DataFrame, answers: DataFrame, runs: int, *, least: int, longest: int, slice_mass: int) -> DataFrame:
+    """(lang, size, phrase, n) of the surviving runs with at least `least` occurrences; size 0 has all words of the language.
+
+    A block sends its surviving runs once each, as sorted lists per slice.
+    """
     bits, slices = B.cell_bits(runs), B.slice_bits(runs, slice_mass)
 
     def count(number: int, texts: B.Texts, answer: pa.Table) -> pa.Table:
@@ -163,33 +170,60 @@ def exact_counts(blocks: DataFrame, answers: DataFrame, runs: int, *, longest: i
         for s, at in B.sliced(sent, bits, slices):
             kept[at] = np.unpackbits(B.unpack(bits_of[s]).astype(np.uint8), count=at.stop - at.start).astype(bool)
         frequent = sent[kept]
-        found = [("", np.zeros(0), np.zeros(0))][:0]
-        totals = np.bincount(words.lang, minlength=len(words.langs))
-        found.append((0, np.arange(len(words.langs)), pa.array([""] * len(words.langs)), totals))
+        del sent, kept
+        rows, langs = [], words.langs.tolist()
+        totals = np.bincount(words.lang, minlength=len(langs))
+        rows.append(_listed(0, 0, langs, np.arange(len(langs)), pa.array([""] * len(langs), pa.large_string()), totals))
         # rank: the number of the run one word shorter at each place, among the block's surviving runs of that length
         rank, wide = words.lang.astype(np.int64), max(len(words.words), 1)
         for length in range(1, longest + 1):
             places = words.starts(length)
             place = np.minimum(np.searchsorted(frequent, hashes[length - 1]), max(len(frequent) - 1, 0))
-            hit = places[frequent[place] == hashes[length - 1]] if len(frequent) else places[:0]
-            hit = hit[rank[hit] >= 0]  # its beginning is at least as frequent
+            held = frequent[place] == hashes[length - 1] if len(frequent) else np.zeros(len(places), bool)
+            held &= rank[places] >= 0  # its beginning is at least as frequent
+            hit = places[held]
             keys, at, inverse, n = np.unique(rank[hit] * wide + words.codes[hit + length - 1], return_index=True, return_inverse=True, return_counts=True)
             rank = np.full(len(words.codes), -1, np.int64)
             rank[hit] = inverse
             some = hit[at]
             parts = [words.words.take(pa.array(words.codes[some + i])).cast(pa.large_string()) for i in range(length)]
             phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if length > 1 else parts[0]
-            found.append((length, words.lang[some], phrase.cast(pa.string()), n))
-        langs = pa.array(words.langs.tolist(), pa.string())
-        return pa.concat_tables(
-            pa.table({
-                "lang": langs.take(pa.array(lang.astype(np.int64))), "size": pa.array(np.full(len(n), size, np.int32)),
-                "phrase": phrase, "n": pa.array(n.astype(np.int64)),
-            })
-            for size, lang, phrase, n in found
-        )
-
-    return B.each_answered_block(blocks, answers, count, "lang string, size int, phrase string, n long")
+            to = (hashes[length - 1][held][at] >> U64(bits - slices)).astype(np.int64) if slices else np.zeros(len(at), np.int64)
+            order = np.argsort(to, kind="stable")  # words stay in order within a slice
+            cuts = [0, *(np.flatnonzero(np.diff(to[order])) + 1).tolist(), len(order)] if len(order) else [0]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                of = order[a:b]
+                rows.append(_listed(int(to[of[0]]), length, langs, words.lang[some[of]], phrase.take(pa.array(of)), n[of]))
+        return pa.Table.from_pylist(rows, schema=LISTED)
+
+    def add(rows: pa.Table) -> pa.Table:
+        parts = []
+        for row in rows.to_pylist():
+            text = pa.array([pa.Codec("zstd").decompress(row["phrases"], row["length"], asbytes=True).decode()], pa.large_string())
+            phrase, n = pc.split_pattern(text, "\n").values, B.unpack(row["counts"]).astype(np.int64)
+            lang = pa.array(row["langs"], pa.string()).take(pa.array(B.unpack(row["lang"])))
+            parts.append(pa.table({"lang": lang, "size": pa.array(np.full(len(n), row["size"], np.int32)), "phrase": phrase, "n": n}))
+        summed = pa.concat_tables(parts).group_by(["lang", "size", "phrase"]).aggregate([("n", "sum")]).rename_columns(["lang", "size", "phrase", "n"])
+        summed = summed.filter(pc.or_(pc.greater_equal(summed["n"], least), pc.equal(summed["size"], 0)))
+        return summed.set_column(2, "phrase", summed["phrase"].cast(pa.string()))
+
+    lists = B.each_answered_block(blocks, answers, count, "slice long, size int, langs array<string>, lang binary, length long, phrases binary, counts binary")
+    return B.each_slice(lists, add, "lang string, size int, phrase string, n long")
+
+
+def _listed(to: int, size: int, langs: list[str], lang: np.ndarray, phrases: pa.Array, n: np.ndarray) -> dict:
+    """Phrases of one size and their counts as a row for a slice."""
+    whole = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(phrases)], pa.int32()), phrases), pa.scalar("\n", pa.large_string()))[0].as_buffer()
+    return {
+        "slice": to, "size": size, "langs": langs, "lang": B.pack(lang), "length": whole.size,
+        "phrases": pa.Codec("zstd", 1).compress(whole, asbytes=True), "counts": B.pack(n),
+    }
+
+
+LISTED = pa.schema([
+    ("slice", pa.int64()), ("size", pa.int32()), ("langs", pa.list_(pa.string())), ("lang", pa.binary()), ("length", pa.int64()),
+    ("phrases", pa.binary()), ("counts", pa.binary()),
+])
 
 
 def frequent_phrases(
@@ -204,8 +238,7 @@ def frequent_phrases(
     # a word has two bytes at least, its end included; only the sizes of cells and slices hang on it
     runs = longest * (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 2
     answers = survivors(blocks, runs, least=least, longest=longest, slice_mass=slice_mass)
-    counted = exact_counts(blocks, answers, runs, longest=longest, slice_mass=slice_mass)
-    return counted.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n")).filter((F.col("n") >= least) | (F.col("size") == 0))
+    return exact_counts(blocks, answers, runs, least=least, longest=longest, slice_mass=slice_mass)
 
 
 def _spans(words, size, shortest: int):
@@ -222,20 +255,22 @@ def collocations(
     A phrase scores by the cut that parts it worst; one that lies inside a longer candidate is left out if the longer one has
     at least `kept_share` percent of its occurrences.
     """
-    counts, n_counts = stage_counted(frequent_phrases(docs, least=least, longest=longest, **sizes), "phrases")
+    counts = stage(frequent_phrases(docs, least=least, longest=longest, **sizes), "phrases")
     parts = counts.filter("size > 0").select("lang", F.col("phrase").alias("part"), F.col("n").alias("f"))
     words = F.split("phrase", " ")
     candidates = counts.filter("size > 1").select("lang", "phrase", "size", F.col("n").alias("a"))
     cut = candidates.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("size") - 1))).select(
-        "lang", "phrase", "size", "a", "k",
+        "lang", "a", "k",
         F.array_join(F.slice(words, F.lit(1), F.col("k")), " ").alias("first"),
         F.array_join(F.slice(words, F.col("k") + 1, F.col("size") - F.col("k")), " ").alias("rest"),
     )
+    # a part may begin or end very many candidates: such partitions of a join are split by Spark (adaptive skew join)
     for part, n in (("first", "l"), ("rest", "r")):
-        cut = lookup(cut, parts.select("lang", F.col("part").alias(part), F.col("f").alias(n)), ["lang", part], table_rows=n_counts)
-    exact = lambda c, digits: F.col(c).cast(f"decimal({digits},0)")
-    cut = cut.withColumn("score", F.expr("(1000000BD * cast(a as decimal(15,0)) * cast(a as decimal(15,0))) div (cast(l as decimal(19,0)) * cast(r as decimal(19,0)))"))
-    best = cut.groupBy("lang", "phrase").agg(F.max("a").alias("a"), F.min(F.struct("score", "k", "l", "r")).alias("best"))
+        cut = cut.join(parts.select("lang", F.col("part").alias(part), F.col("f").alias(n)), ["lang", part])
+    score = F.expr("(1000000BD * cast(a as decimal(15,0)) * cast(a as decimal(15,0))) div (cast(l as decimal(19,0)) * cast(r as decimal(19,0)))")
+    best = cut.groupBy("lang", F.concat_ws(" ", "first", "rest").alias("phrase")).agg(
+        F.max("a").alias("a"), F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("best")
+    )
     longer = (
         candidates.filter("size > 2")
         .select("lang", F.explode(F.array_distinct(_spans(words, F.col("size"), 2))).alias("phrase"), F.col("a").alias("in_longer"))
@@ -244,8 +279,11 @@ def collocations(
     alone = best.join(longer, ["lang", "phrase"], "left").filter(
         F.col("in_longer").isNull() | (100 * F.col("in_longer") < kept_share * F.col("a"))
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("best.score"), F.desc("a"), "phrase")
-    ranked = alone.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    # the best of each of `RANK_SALTS` parts of a language first, so the last ranking has a bounded number of rows
+    order = [F.desc("best.score"), F.desc("a"), "phrase"]
+    salted = alone.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(RANK_SALTS)))
+    best_of = salted.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).filter(F.col("rank") <= top)
+    ranked = best_of.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= top)
     totals = counts.filter("size = 0").select("lang", F.col("n"))  # a row per language
     return ranked.join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", F.col("best.l").alias("l"), F.col("best.r").alias("r"), "n",
