@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..config import MonitorConfig
@@ -9,9 +11,10 @@ from ..operators import attribution as A
 from ..operators import drift as D
 from ..operators import model as M
 from ..operators import sample as S
+from ..operators import sketches as K
 from ..operators import stats as T
 from ..operators.aggregate import cross_tab
-from ..operators.scale import stage
+from ..operators.scale import own_folder, stage
 from ..sources.readers import table
 from .catalogue import query
 from .tables import LINE_CONFIG, LINES_SQL, line_periods
@@ -288,6 +291,69 @@ def weighted_resample(spark, sf):
     return S.weighted_resample(orders, "o_orderkey", weight, 43, new_id="new_id")
 
 
+@query(
+    "poisson_resample", "SMP-02",
+    f"""WITH r AS (SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey = 1 THEN 5000.0::DOUBLE WHEN o_orderstatus = 'F' THEN 6.0 ELSE 1.0 END AS w FROM orders),
+            m AS (SELECT o_orderkey, o_orderstatus, w * ((SELECT count(*) FROM r)::DOUBLE / (SELECT sum(w) FROM r)) AS mean,
+                         greatest(ceil(w * ((SELECT count(*) FROM r)::DOUBLE / (SELECT sum(w) FROM r)) / 8.0::DOUBLE), 1)::BIGINT AS parts FROM r),
+            p AS (SELECT o_orderkey, o_orderstatus, part, mean / parts AS lam,
+                         ('0x' || substr(md5('44:' || o_orderkey || ':' || part), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+                  FROM (SELECT *, unnest(range(parts)) AS part FROM m)),
+            c AS (SELECT o_orderkey, o_orderstatus, part, k, u, sum(exp(-lam + k * ln(lam) - lgamma(k + 1))) OVER (PARTITION BY o_orderkey, part ORDER BY k) AS upto
+                  FROM p, range({S.POISSON_TOP}) AS t(k)),
+            t AS (SELECT o_orderkey, o_orderstatus, part, count(*) FILTER (u >= upto) AS times FROM c GROUP BY ALL)
+        SELECT o_orderkey, o_orderstatus, part * {S.POISSON_TOP} + i AS copy FROM (SELECT *, unnest(range(times)) AS i FROM t)""",
+)
+def poisson_resample(spark, sf):
+    """One order weighs as much as thousands."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    weight = F.when(F.col("o_orderkey") == 1, 5000.0).when(F.col("o_orderstatus") == "F", 6.0).otherwise(1.0)
+    return S.poisson_resample(orders, "o_orderkey", weight, 44, chunk_draws=400)
+
+
+@query(
+    "distinct_of_spans", "AGG-09",
+    """SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS n_exact, TRUE AS within FROM events
+       WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-22' GROUP BY event_type""",
+)
+def distinct_of_spans(spark, sf):
+    """Users of two weeks from daily sketches, held against the exact number: within four standard errors."""
+    events = table(spark, sf, "events")
+    folder = f"{own_folder(spark)}/sketches-{uuid.uuid4().hex}"
+    K.store(K.summaries(events, F.to_date("ts"), ["event_type"], distinct="user_id"), folder)
+    span = spark.read.parquet(folder).filter("period >= '2024-01-08' AND period < '2024-01-22'")
+    found = K.estimates(K.merged(span, ["event_type"]))
+    rows = events.filter("ts >= '2024-01-08' AND ts < '2024-01-22'")
+    exact = rows.groupBy("event_type").agg(F.count_distinct("user_id").alias("n_exact"))
+    off = F.abs(F.col("n_distinct") - F.col("n_exact")) <= 4 * K.distinct_error() * F.col("n_exact") + 0.5
+    return found.join(exact, "event_type").select("event_type", "n", "n_exact", off.alias("within"))
+
+
+@query(
+    "quantiles_of_spans", "AGG-19",
+    """SELECT l_returnflag, p, count(*) AS n, TRUE AS within FROM lineitem, (VALUES (0.01::DOUBLE), (0.25), (0.5), (0.75), (0.99)) AS t(p)
+       WHERE l_shipdate >= TIMESTAMP '1996-01-01' AND l_shipdate < TIMESTAMP '1999-01-01' GROUP BY ALL""",
+)
+def quantiles_of_spans(spark, sf):
+    """Prices of three years from monthly sketches: the true rank of each estimate is off by the stated error at most."""
+    lines = table(spark, sf, "lineitem")
+    asked = (0.01, 0.25, 0.5, 0.75, 0.99)
+    folder = f"{own_folder(spark)}/sketches-{uuid.uuid4().hex}"
+    K.store(K.summaries(lines, F.date_format("l_shipdate", "yyyy-MM"), ["l_returnflag"], value="l_extendedprice"), folder)
+    span = spark.read.schema("l_returnflag string, n bigint, value_sketch binary, period string").parquet(folder)
+    span = span.filter("period >= '1996-01' AND period < '1999-01'")
+    found = stage(K.estimates(K.merged(span, ["l_returnflag"]), asked), "estimates")
+    pairs = found.select("l_returnflag", F.explode(F.arrays_zip(F.array(*map(F.lit, asked)).alias("p"), F.col("q").alias("q"))).alias("e"))
+    pairs = pairs.select("l_returnflag", F.col("e.p").alias("p"), F.col("e.q").alias("q"))  # five rows per flag
+    rows = lines.filter("l_shipdate >= '1996-01-01' AND l_shipdate < '1999-01-01'").select("l_returnflag", "l_extendedprice")
+    ranks = rows.join(F.broadcast(pairs), "l_returnflag").groupBy("l_returnflag", "p").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("l_extendedprice") < F.col("q")).alias("below"),
+        F.count_if(F.col("l_extendedprice") <= F.col("q")).alias("upto"),
+    )
+    near = (F.col("below") <= (F.col("p") + K.rank_error()) * F.col("n") + 1) & (F.col("upto") >= (F.col("p") - K.rank_error()) * F.col("n") - 1)
+    return ranks.select("l_returnflag", "p", "n", near.alias("within"))
+
+
 def scored_documents(spark, sf):
     """Labelled documents with a score from their length, in two periods by source."""
     labels, documents = table(spark, sf, "labels"), table(spark, sf, "documents").select("doc_id", "n_chars", "lang")
