@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import MonitorConfig
-from .drift import CURRENT, REFERENCE, UNKNOWN, bin_among, bin_label
+from .drift import CURRENT, REFERENCE, UNKNOWN, bin_among, bin_label, severity_of
 from .quantiles import quantiles_of_counts, stacked_values
 from .scale import stage_counted
 
@@ -137,18 +137,19 @@ def explain_shift(
 
 def drifting_targets(drift: DataFrame, config: MonitorConfig = MonitorConfig(), most: int = 3) -> list[str]:
     """Numeric features in warning or danger, worst first; the first target leads where it is absent (ORD-07)."""
-    rows = drift.filter((F.col("kind") == "numeric") & F.col("status").isin("danger", "warning")).select("feature").collect()
-    names = [r["feature"] for r in rows]  # one row per numeric feature at most
+    drifting = drift.filter((F.col("kind") == "numeric") & F.col("status").isin("danger", "warning"))
+    rows = drifting.select("feature", "score", severity_of("status").alias("severity")).collect()  # one row per numeric feature at most
+    names = [r["feature"] for r in sorted(rows, key=lambda r: (-r["severity"], -(r["score"] or 0.0), r["feature"]))]
     if config.first_target not in names:
         names.insert(0, config.first_target)
     return names[:most]
 
 
 def root_cause_report(both: DataFrame, drift: DataFrame, config: MonitorConfig = MonitorConfig(), **limits) -> DataFrame:
-    """Causes of every drifting target (STA-13); the quartile edges are found once for all of them."""
+    """Causes of every drifting target (STA-13), with `target_rank` from 1; the quartile edges are found once for all of them."""
     edges = quartile_edges(both, list(config.numeric), **limits)
     out = None
-    for target in drifting_targets(drift, config):
-        part = explain_shift(both, target, config, edges=edges, **limits)
+    for rank, target in enumerate(drifting_targets(drift, config), 1):
+        part = explain_shift(both, target, config, edges=edges, **limits).withColumn("target_rank", F.lit(rank))
         out = part if out is None else out.unionByName(part)
     return out

@@ -226,6 +226,11 @@ def severity_name(severity: Column) -> Column:
     return F.when(severity == 2, "danger").when(severity == 1, "warning").otherwise("stable")
 
 
+def severity_of(status: str) -> Column:
+    """2, 1 or 0 from the name of a status."""
+    return F.when(F.col(status) == "danger", 2).when(F.col(status) == "warning", 1).otherwise(0)
+
+
 def missing_rates(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """(feature, ref_missing, cur_missing) of a frame with a `period` column, before cleaning."""
     rate = lambda f, p: F.avg(

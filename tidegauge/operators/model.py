@@ -211,5 +211,9 @@ def monitor(
     )
     both = stage(both, "scored")
     metrics = period_metrics(both, target, "risk_score", config.high_risk_threshold, ["period"])
-    causes = explain_shift(both, "risk_score", config, [*config.categorical, *config.numeric])
-    return metrics, metric_change(metrics), causes
+    return metrics, metric_change(metrics), risk_causes(both, config)
+
+
+def risk_causes(scored: DataFrame, config: MonitorConfig = MonitorConfig(), **limits) -> DataFrame:
+    """Causes of the shift of the mean risk between the periods of scored rows, over all features (ML-08)."""
+    return explain_shift(scored, "risk_score", config, [*config.categorical, *config.numeric], **limits)

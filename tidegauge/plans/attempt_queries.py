@@ -165,20 +165,27 @@ def retry_by_item(spark, sf):
 @query(
     "backoff_check", "LOG-02",
     f"""WITH {LOG_SQL} SELECT attempt, count(*) AS n, count(*) FILTER (abs(50 * attempt - 50 * pow(2, attempt - 1)) > 1e-6) AS off_schedule
-        FROM log GROUP BY attempt""",
+        FROM log WHERE attempt > 1 GROUP BY attempt""",
 )
 def backoff_check(spark, sf):
-    log = attempt_log(spark, sf).withColumn("event_type", F.lit("retry_scheduled"))
+    """A log in which further attempts are scheduled retries and first attempts are not."""
+    kind = F.when(F.col("attempt") > 1, "retry_scheduled").otherwise(F.col("event_type"))
+    log = attempt_log(spark, sf).withColumn("event_type", kind)
     return A.backoff_check(log, 50.0).withColumn("attempt", F.col("attempt").cast("bigint"))
 
 
 @query(
     "batch_members", "LOG-08",
-    f"WITH {LOG_SQL} SELECT run_id, sequence AS batch, 2 AS concurrency, item_id + i AS item_id FROM log, range(2) t(i)",
+    f"WITH {LOG_SQL} SELECT run_id, sequence AS batch, 2 AS concurrency, item_id + i AS item_id FROM log, range(2) t(i) WHERE sequence % 3 = 0",
 )
 def batch_members(spark, sf):
+    """Every third event of the log starts a batch; the others stay what they are."""
     detail = F.to_json(F.struct(F.lit(2).alias("concurrency"), F.array("item_id", F.col("item_id") + 1).alias("ids")))
-    return A.batch_members(attempt_log(spark, sf).withColumn("event_type", F.lit("batch_started")).withColumn("detail", detail))
+    starts = F.col("sequence") % 3 == 0
+    log = attempt_log(spark, sf).withColumns({
+        "event_type": F.when(starts, "batch_started").otherwise(F.col("event_type")), "detail": F.when(starts, detail).otherwise(F.col("detail")),
+    })
+    return A.batch_members(log)
 
 
 def respond(item: int, attempt: int) -> dict:

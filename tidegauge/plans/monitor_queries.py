@@ -10,6 +10,7 @@ from ..config import MonitorConfig
 from ..operators import attribution as A
 from ..operators import drift as D
 from ..operators import model as M
+from ..operators import report as R
 from ..operators import sample as S
 from ..operators import sketches as K
 from ..operators import stats as T
@@ -165,17 +166,17 @@ def distributions(spark, sf):
     )
 
 
-def causes_sql(target: str, segments: tuple[str, ...]) -> str:
-    """Decomposition of a mean shift over segments, the same arithmetic in SQL."""
-    quartiles = [s for s in segments if s not in CATEGORICAL]
+def causes_sql(target: str, segments: tuple[str, ...], lines: str = LINES_SQL, categorical: tuple[str, ...] = CATEGORICAL) -> str:
+    """Decomposition of a mean shift over segments, the same arithmetic in SQL; `lines` defines the table of that name."""
+    quartiles = [s for s in segments if s not in categorical]
     label = "'(' || coalesce(CAST(e[i] AS VARCHAR), '-inf') || ', ' || coalesce(CAST(e[i + 1] AS VARCHAR), 'inf') || ']'"
-    parts = [f"SELECT '{s}' AS segment_feature, coalesce({s}, 'Unknown') AS segment, period, {target} AS t FROM lines" for s in segments if s in CATEGORICAL]
+    parts = [f"SELECT '{s}' AS segment_feature, coalesce({s}, 'Unknown') AS segment, period, {target} AS t FROM lines" for s in segments if s in categorical]
     parts += [
         f"""SELECT '{s}', {label}, period, t FROM (SELECT period, {target} AS t, e, len(list_filter(e, lambda x: {s} > x)) AS i
             FROM lines, (SELECT d[2:-2] AS e FROM (SELECT list_sort(list_distinct(quantile_cont({s}, [0.0, 0.25, 0.5, 0.75, 1.0]))) AS d FROM lines)) WHERE {s} IS NOT NULL)"""
         for s in quartiles
     ]
-    return f"""{LINES_SQL},
+    return f"""{lines},
 w AS (SELECT count(*) FILTER (period = 'reference')::DOUBLE AS nr, count(*) FILTER (period = 'current')::DOUBLE AS nc,
              avg({target}) FILTER (period = 'current') - avg({target}) FILTER (period = 'reference') AS delta FROM lines),
 g AS (SELECT segment_feature, segment, count(*) FILTER (period = 'reference') AS kr, count(*) FILTER (period = 'current') AS kc,
@@ -206,11 +207,86 @@ def root_cause(spark, sf):
     )
 
 
-@query("root_cause_report", "STA-13 ORD-07 FLT-04")
+TARGETS_SQL = """
+named AS (SELECT coalesce(list(feature ORDER BY status = 'danger' DESC, score DESC, feature), []) AS f FROM drift WHERE kind = 'numeric' AND status IN ('danger', 'warning')),
+targets AS (SELECT unnest(f) AS target, generate_subscripts(f, 1) AS place FROM
+            (SELECT (CASE WHEN list_contains(f, 'l_extendedprice') THEN f ELSE list_prepend('l_extendedprice', f) END)[1:3] AS f FROM named)),
+every AS (""" + " UNION ALL ".join(
+    f"""SELECT '{t}' AS target, *, row_number() OVER (ORDER BY round_even(contribution, 10) DESC, segment_feature, segment) AS i
+        FROM (WITH {causes_sql(t, (*CATEGORICAL, *(c for c in NUMERIC if c != t)))} SELECT * FROM causes)"""
+    for t in NUMERIC
+) + ")"
+
+
+@query(
+    "root_cause_report", "STA-13 ORD-07 FLT-04",
+    f"""WITH {TABLE_SQL}, {TARGETS_SQL}
+        SELECT target, segment_feature, kr AS reference_count, kc AS current_count, round(within_effect, 4) AS within_effect,
+               round(mix_effect, 4) AS mix_effect, round(score, 4) AS explanation_score, round(contribution, 6) AS contribution,
+               CASE WHEN delta > 0 THEN 'increase' WHEN delta < 0 THEN 'decrease' ELSE 'stable' END AS direction
+        FROM every JOIN targets USING (target) WHERE i <= 6""",
+)
 def root_cause_report(spark, sf):
     both = line_periods(spark, sf)
     missing = stage(D.missing_rates(both, [*NUMERIC, *CATEGORICAL]), "missing")
-    return A.root_cause_report(both, profile(both).table(missing), LINE_CONFIG)
+    report = A.root_cause_report(both, stage(profile(both).table(missing), "drift"), LINE_CONFIG)
+    return report.select(
+        "target", "segment_feature", "reference_count", "current_count", F.round("within_effect", 4).alias("within_effect"),
+        F.round("mix_effect", 4).alias("mix_effect"), F.round("explanation_score", 4).alias("explanation_score"),
+        F.round("contribution", 6).alias("contribution"), "direction",
+    )
+
+
+@query(
+    "drift_payload", "REP-02 AGG-26 AGG-27 ORD-06 STA-13",
+    f"""WITH {TABLE_SQL}, {TARGETS_SQL},
+        n AS (SELECT count(*) FILTER (status = 'danger') AS danger, count(*) FILTER (status = 'warning') AS warning FROM drift),
+        top AS (SELECT feature || ':' || status AS t, row_number() OVER (ORDER BY CASE status WHEN 'danger' THEN 2 WHEN 'warning' THEN 1 ELSE 0 END DESC, score DESC, feature) AS i FROM drift),
+        first AS (SELECT every.* FROM every JOIN targets USING (target) WHERE place = 1 AND i = 1)
+        SELECT danger, warning, 1 AS unresolved, CAST(greatest(0, 100 - 18 * danger - 7 * warning - 12) AS INT) AS health_score,
+               CASE WHEN danger > 0 THEN 'danger' ELSE 'warning' END AS overall,
+               (SELECT string_agg(t, ',' ORDER BY i) FROM top WHERE i <= 5) AS top_drift, target AS primary_target, segment_feature AS primary_feature,
+               round(score, 4) AS primary_score, round(contribution, 6) AS primary_contribution FROM n, first""",
+)
+def drift_payload(spark, sf):
+    both = line_periods(spark, sf)
+    missing = stage(D.missing_rates(both, [*NUMERIC, *CATEGORICAL]), "missing")
+    drift = stage(profile(both).table(missing), "drift")
+    payload = R.report_payload(drift, A.root_cause_report(both, drift, LINE_CONFIG), 1)
+    return payload.select(
+        "danger", "warning", "unresolved", "health_score", "overall",
+        F.array_join(F.transform("top_drift", lambda d: F.concat_ws(":", d["feature"], d["status"])), ",").alias("top_drift"),
+        F.col("primary_cause.target").alias("primary_target"), F.col("primary_cause.segment_feature").alias("primary_feature"),
+        F.round("primary_cause.explanation_score", 4).alias("primary_score"), F.round("primary_cause.contribution", 6).alias("primary_contribution"),
+    )
+
+
+RISKS_SQL = """
+lines AS (SELECT CASE WHEN o_orderdate >= TIMESTAMP '1998-06-01' THEN 'current' ELSE 'reference' END AS period, o_orderpriority, strftime(o_orderdate, '%a') AS weekday,
+                 o_totalprice, o_totalprice / (o_totalprice + CASE WHEN o_orderpriority LIKE '1%' AND o_orderdate >= TIMESTAMP '1998-06-01' THEN 60000.0::DOUBLE ELSE 200000.0 END) AS risk_score
+          FROM orders)"""
+
+
+@query(
+    "risk_causes", "ML-08",
+    f"""WITH {causes_sql('risk_score', ('o_orderpriority', 'weekday', 'o_totalprice'), RISKS_SQL, ('o_orderpriority', 'weekday'))}
+        SELECT segment_feature, kr AS reference_count, kc AS current_count, round(within_effect, 6) AS within_effect, round(mix_effect, 6) AS mix_effect,
+               round(contribution, 6) AS contribution, CASE WHEN delta > 0 THEN 'increase' WHEN delta < 0 THEN 'decrease' ELSE 'stable' END AS direction
+        FROM causes ORDER BY round_even(contribution, 10) DESC, segment_feature, segment LIMIT 6""",
+)
+def risk_causes(spark, sf):
+    """Why the mean of given scores rises: urgent orders are scored higher in the later period."""
+    now = F.col("o_orderdate") >= F.lit("1998-06-01").cast("timestamp_ntz")
+    half = F.when(now & F.startswith("o_orderpriority", F.lit("1")), 60000.0).otherwise(200000.0)
+    scored = table(spark, sf, "orders").select(
+        F.when(now, "current").otherwise("reference").alias("period"), "o_orderpriority", F.date_format("o_orderdate", "E").alias("weekday"),
+        "o_totalprice", (F.col("o_totalprice") / (F.col("o_totalprice") + half)).alias("risk_score"),
+    )
+    found = M.risk_causes(scored, MonitorConfig(numeric=("o_totalprice",), categorical=("o_orderpriority", "weekday")))
+    return found.select(
+        "segment_feature", "reference_count", "current_count", F.round("within_effect", 6).alias("within_effect"),
+        F.round("mix_effect", 6).alias("mix_effect"), F.round("contribution", 6).alias("contribution"), "direction",
+    )
 
 
 @query(
@@ -460,7 +536,7 @@ def balanced_weights(spark, sf):
 
 
 ORDER_MODEL = MonitorConfig(
-    numeric=("o_totalprice", "o_custkey"), categorical=("o_orderpriority", "weekday"), first_target="o_totalprice"
+    numeric=("o_totalprice", "month"), categorical=("o_orderpriority", "weekday"), first_target="o_totalprice"
 )
 
 
@@ -468,7 +544,7 @@ ORDER_MODEL = MonitorConfig(
 def model_monitor(spark, sf):
     """Is an order finished? Trained on the earlier orders, compared with the later ones."""
     orders = table(spark, sf, "orders").select(
-        "o_orderkey", "o_totalprice", "o_custkey", "o_orderpriority", F.date_format("o_orderdate", "E").alias("weekday"),
+        "o_orderkey", "o_totalprice", F.month("o_orderdate").alias("month"), "o_orderpriority", F.date_format("o_orderdate", "E").alias("weekday"),
         (F.col("o_orderstatus") == "F").cast("int").alias("churn"), "o_orderdate",
     )
     now = F.col("o_orderdate") >= F.lit("1998-06-01").cast("timestamp_ntz")
@@ -487,7 +563,7 @@ def model_reload(spark, sf):
     from ..operators.scale import own_folder
 
     orders = table(spark, sf, "orders").select(
-        "o_orderkey", "o_totalprice", "o_custkey", "o_orderpriority", F.date_format("o_orderdate", "E").alias("weekday"),
+        "o_orderkey", "o_totalprice", F.month("o_orderdate").alias("month"), "o_orderpriority", F.date_format("o_orderdate", "E").alias("weekday"),
         (F.col("o_orderstatus") == "F").cast("int").alias("churn"),
     )
     model = M.train(orders, ORDER_MODEL, trees=120, depth=10)

@@ -65,18 +65,37 @@ def event_log_round_trip(spark, sf):
 
 @query(
     "fresh_paths", "SRC-10",
-    "SELECT path, n FROM (VALUES ('nations_20250102_030405'), ('nations_20250102_030405_01'), ('nations_20250102_030405_02')) p(path), (SELECT count(*) AS n FROM nation)",
+    "SELECT path, n FROM (VALUES ('orders_20250102_030405'), ('orders_20250102_030405_01'), ('orders_20250102_030405_02')) p(path), (SELECT count(*) AS n FROM orders)",
 )
 def fresh_paths(spark, sf):
     """Three outputs of one second: none replaces another."""
     folder, at = run_folder(spark, "fresh"), datetime(2025, 1, 2, 3, 4, 5)
     for _ in range(3):
-        sinks.write_parquet(table(spark, sf, "nation"), sinks.fresh_path(spark, folder, "nations", at))
+        sinks.write_parquet(table(spark, sf, "orders"), sinks.fresh_path(spark, folder, "orders", at))
     back = spark.read.parquet(f"{folder}/*")
     name = F.element_at(F.split(F.input_file_name(), "/"), -2)
     return back.groupBy(name.alias("path")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "plan_text", "SNK-06",
+    "SELECT count(*) AS n, TRUE AS filter_pushed, TRUE AS columns_pruned, TRUE AS one_stage FROM events WHERE value > 100",
+)
+def plan_text(spark, sf):
+    """The written plan of a filtered scan, read back: its filter and its two columns reach the Parquet reader."""
+    chosen = table(spark, sf, "events").filter("value > 100").select("event_type", "value")
+    folder = run_folder(spark, "plan")
+    spark.createDataFrame([(sinks.plan_text(chosen),)], "plan string").coalesce(1).write.text(folder)
+    text = F.array_join(F.collect_list("value"), "\n")  # a plan's lines
+    lines = spark.read.text(folder, wholetext=True).agg(text.alias("plan"))
+    checked = lines.select(
+        F.col("plan").rlike(r"PushedFilters: \[[^\]]*GreaterThan\(value,100").alias("filter_pushed"),
+        F.col("plan").rlike(r"ReadSchema: struct<event_type:string,value:double>").alias("columns_pruned"),
+        (~F.col("plan").contains("Exchange")).alias("one_stage"),
+    )
+    return chosen.agg(F.count(F.lit(1)).alias("n")).crossJoin(F.broadcast(checked))  # one row each
+
+
 @query(
     "appended_periods", "SET-01",
     f"WITH {LINES_SQL} SELECT period, count(*) AS n, round(sum(l_quantity), 2) AS quantity FROM lines GROUP BY period",
