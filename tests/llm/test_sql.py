@@ -26,7 +26,7 @@ EDGE_TURNS = [
 EDGE_VECTORS = [
     (0, [0.5, -0.5, 0.001]), (50, [0.5, 0.5]), (100, None), (1, [1.0, None, 0.0]), (2, [float("nan"), 1.0]), (3, []),
     (4, [0.5, -0.5, 0.001]), (4, [0.5, -0.5, 0.001]), (5, [float("inf"), 0.0]), (None, [1.0, 1.0]), (6, [-1.0, 2.0, 3.0]),
-    (7, [0.25]), (8, [0.5, -0.5, 0.001]), (150, [0.0, 0.0]),
+    (7, [0.25]), (8, [0.5, -0.5, 0.001]), (150, [0.0, 0.0]), (4, [9.0, 1.0]), (50, [1.0, 0.25]), (200, [2.0]), (200, [3.0]),
 ]
 
 
@@ -77,6 +77,11 @@ def test_edge_vectors(spark, rows):
     same(topk.search_report(table), topk.SQL, embeddings=table)
 
 
+def test_too_large_components_are_an_error(spark):
+    with pytest.raises(ValueError, match="too large"):
+        topk.search_report(spark.createDataFrame([(0, [1e30]), (1, [1.0])], "vec_id long, embedding array<double>"))
+
+
 def test_small_blocks_give_the_same_search(spark):
     vectors = topk.integer_vectors(spark.read.parquet(f"{TABLES}/embeddings.parquet"))
     queries = vectors.filter("vec_id % 50 = 0")
@@ -161,3 +166,9 @@ def test_long_licenses_and_standard_notices(spark):
     got = {r.doc_id: r for r in licenses.license_report(docs).collect()}
     assert {i: got[i].license for i, _, _ in whole} == {i: n for i, _, n in whole}
     assert {i: (got[i].license, got[i].line_licenses) for i, _, _ in lines} == {i: (None, n) for i, _, n in lines}
+
+
+def test_mix_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "a b", "s", 7, 8), (2, "c", "t", 9, 10)], "doc_id long, text string, source string, _copy int, _taken int")
+    got = mixing.mix(docs)
+    assert got.columns == docs.columns and {(r.doc_id, r._copy, r._taken) for r in got.collect()} <= {(1, 7, 8), (2, 9, 10)}
