@@ -124,12 +124,13 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-# The SQL knows the short texts of `KNOWN` alone.
-_VALUES = ", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in KNOWN)
+_VALUES = ", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in [*KNOWN, *STANDARD_NOTICES])
+_DIGESTS = ", ".join(f"({_quoted(name)}, {_quoted(known)})" for name, known in WHOLE)
 SQL = f"""
 WITH known AS (
-  SELECT sha256(array_to_string({_lines_sql("text")}, ' ')) AS digest, min(license) AS license
-  FROM (VALUES {_VALUES}) AS k(license, text) GROUP BY 1),
+  SELECT digest, min(license) AS license FROM (
+    SELECT sha256(array_to_string({_lines_sql("text")}, ' ')) AS digest, license FROM (VALUES {_VALUES}) AS k(license, text)
+    UNION ALL SELECT digest, license FROM (VALUES {_DIGESTS}) AS d(license, digest)) GROUP BY digest),
 plain AS (SELECT row_number() OVER () AS row, doc_id, {_lines_sql("text")} AS lines FROM documents),
 whole AS (
   SELECT row, doc_id, lines, CASE WHEN len(lines) > 0 THEN sha256(array_to_string(lines, ' ')) END AS digest FROM plain),
