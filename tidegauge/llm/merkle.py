@@ -19,14 +19,19 @@ LEAF = r"[^.!?]{1,96}[.!?]*|[.!?]+"
 SLICE_ROWS, LEAST_SLICES, MOST_SLICES = 1000, 256, 65_536
 
 
+def leaf_texts(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(LEAF), F.lit(0))
+
+
 def leaves(text: Column) -> Column:
-    """Hashes of all leaves of a text, in order."""
-    return F.transform(F.regexp_extract_all(text, F.lit(LEAF), F.lit(0)), lambda leaf: F.substring(F.md5(leaf), 1, 16))
+    """Short hashes of all leaves of a text, for likeness alone."""
+    return F.transform(leaf_texts(text), lambda leaf: F.substring(F.md5(leaf), 1, 16))
 
 
 def paragraph_digests(section: Column) -> Column:
-    """Digest of each paragraph of a section, over its leaves."""
-    return F.transform(F.split(section, "\n"), lambda p: F.sha2(F.array_join(leaves(p), ","), 256))
+    """Digest of each paragraph of a section, over the full digests of its leaves."""
+    digests = lambda p: F.transform(leaf_texts(p), lambda leaf: F.sha2(leaf, 256))
+    return F.transform(F.split(section, "\n"), lambda p: F.sha2(F.array_join(digests(p), ","), 256))
 
 
 def tree(text: Column) -> Column:
@@ -144,12 +149,12 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
     )
 
 
-def _leaves_sql(p: str) -> str:
-    return f"list_transform(regexp_extract_all({p}, '{LEAF}'), lambda l: substr(md5(l), 1, 16))"
+def _leaves_sql(p: str, of: str = "substr(md5(l), 1, 16)") -> str:
+    return f"list_transform(regexp_extract_all({p}, '{LEAF}'), lambda l: {of})"
 
 
 def _root_sql(text: str) -> str:
-    paragraphs = f"list_transform(string_split(s, chr(10)), lambda p: sha256(array_to_string({_leaves_sql('p')}, ',')))"
+    paragraphs = f"list_transform(string_split(s, chr(10)), lambda p: sha256(array_to_string({_leaves_sql('p', 'sha256(l)')}, ',')))"
     sections = f"list_transform(string_split({text}, chr(10) || chr(10)), lambda s: sha256(array_to_string({paragraphs}, ',')))"
     return f"sha256(array_to_string({sections}, ','))"
 
