@@ -203,7 +203,7 @@ class Reader:
         return found
 
     def set_apart(self, run: str) -> set[str]:
-        """The words of a run of groups that are set apart; in a run of single signs a word may begin at each."""
+        """The words of a run of groups that are set apart; in a run of single signs a word may begin at each, whatever its length."""
         found = self.apart.get(run)
         if found is None:
             found = set(map(_plain, self.restorer.words(run))) if SIGN.search(run) else set()
@@ -212,8 +212,6 @@ class Reader:
                 # equal gaps hide where words begin: each sign may begin one, and as many signs are read as its beginning needs
                 line = "".join(signs)
                 found.update(self.beginning(line[i : i + WINDOW]) for i in range(len(line) - MIN_PREFIX + 1))
-                if len(line) <= 64:
-                    found.update(_plain(self.restorer.word(line[i:])) for i in range(min(3, len(line) - 2)))
             if len(self.apart) >= WORD_MEMORY:
                 self.apart.clear()
             if len(run) <= 64:
