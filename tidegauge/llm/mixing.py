@@ -95,7 +95,9 @@ def repetitions(
 def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), ceiling: float = 3.0, *, seed: int = 42) -> DataFrame:
     """The mixed table: the input's columns, each document as often as the mix takes it."""
     taken = repetitions(docs, weights, ceiling, seed=seed).filter("copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).select(docs.columns)
+    times = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))
+    spare = max(docs.columns, key=len) + "_"  # the name of no column
+    return taken.select(*docs.columns, times.alias(spare)).drop(spare)
 
 
 def mix_report(docs: DataFrame) -> DataFrame:
