@@ -39,11 +39,11 @@ from . import blocks as B
 from .blocks import U64
 
 WIDTH = 50
-BLOCK_BYTES = 8 << 20
-SLICE_GRAMS = 4_000_000
-SLICE_RECORDS = 400_000
+BLOCK_BYTES = 4 << 20
+SLICE_GRAMS = 1_000_000
+SLICE_RECORDS = 100_000
 HOT = 4_096
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 _NO_ID = U64((1 << 64) - 1)
 _STEPS = B.mixed(np.arange(101, 117, dtype=U64)) | U64(1)
 
@@ -195,10 +195,13 @@ def stretches(texts: B.Texts, answer: dict[int, bytes], width: int, bits: int, s
 
 def _gathered(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Stretches of an array, one after the other."""
-    if not len(size):
-        return data[:0]
-    ends = np.cumsum(size)
-    return data[np.arange(ends[-1]) + np.repeat(begin - ends + size, size)]
+    whole, some, at = np.empty(int(size.sum()), np.uint8), 1 << 15, 0
+    for i in range(0, len(size), some):
+        b, n = begin[i : i + some], size[i : i + some]
+        ends = np.cumsum(n)
+        whole[at : at + ends[-1]] = data[np.arange(ends[-1]) + np.repeat(b - ends + n, n)]
+        at += int(ends[-1])
+    return whole
 
 
 def _ranks(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -219,10 +222,13 @@ def owners(ids: np.ndarray, least: np.ndarray, most: np.ndarray, data: np.ndarra
     by_id = np.argsort(ids, kind="stable")
     ids, least, most, begin = ids[by_id], least[by_id], most[by_id], offsets[:-1][by_id]
     place, size = begin + most, offsets[1:][by_id] - begin
-    byte = lambda at, ok: np.where(ok, data[np.where(ok, at, 0)], 0).astype(np.uint8)
-    ahead, back = np.arange(width), np.arange(span - 1)
-    right = byte(place[:, None] + ahead, ahead < (size - most)[:, None])
-    left = byte(place[:, None] - 1 - back, back < most[:, None])
+    right, left = np.zeros((n, width), np.uint8), np.zeros((n, span - 1), np.uint8)
+    for i in range(width):
+        there = np.flatnonzero(size - most > i)
+        right[there, i] = data[place[there] + i]
+    for i in range(span - 1):
+        there = np.flatnonzero(most > i)
+        left[there, i] = data[place[there] - 1 - i]
     (r_order, r_shared), (l_order, l_shared) = _ranks(right), _ranks(left)
     masks, r_rank, l_rank = np.zeros(n, np.uint32), np.empty(n, np.int64), np.empty(n, np.int64)
     for distance in range(span):
