@@ -31,8 +31,8 @@ from . import blocks as B
 from .blocks import U64
 
 LEAST, LONGEST, TOP, KEPT_SHARE = 10, 3, 2000, 50
-BLOCK_BYTES = 12 << 20
-SLICE_MASS = 24_000_000
+BLOCK_BYTES = 8 << 20
+SLICE_MASS = 12_000_000
 RANK_SALTS = 64
 
 _KIND = np.zeros(256, np.uint8)
