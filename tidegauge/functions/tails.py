@@ -113,3 +113,38 @@ def kolmogorov_p(statistic, n_first, n_second, terms: int = 100):
     )
     # the alternating series does not settle near zero, where the limit is 1
     return F.when(lam < 0.02, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), total)))
+
+
+# Sample sizes whose product is at most this get the exact two-sample p-value.
+EXACT_CELLS = 40_000
+
+
+def kolmogorov_exact_p(statistic, n_first, n_second):
+    """Share of all orders of the two samples whose greatest gap is at least `statistic`, without ties.
+
+    An order is a lattice path from (0, 0) to (n, m); the paths that keep every gap below the statistic are counted along the
+    diagonals, each of which needs the one before alone.
+    """
+    n, m = n_first.cast("bigint"), n_second.cast("bigint")
+    limit = F.round(statistic * n * m).cast("bigint")
+    none = F.lit(0.0)
+
+    def inside(i, j):
+        return j.between(F.lit(0), m) & (F.abs(i * m - j * n) < limit)
+
+    def step(row, s):
+        reach = lambda i: F.coalesce(F.get(row, (i - 1).cast("int")), none) + F.get(row, i.cast("int"))
+        return F.transform(F.sequence(F.lit(0).cast("bigint"), n), lambda i: F.when(inside(i, s - i), reach(i)).otherwise(none))
+
+    start = F.transform(F.sequence(F.lit(0).cast("bigint"), n), lambda i: F.when((i == 0) & (limit > 0), 1.0).otherwise(none))
+    kept = F.aggregate(F.sequence(F.lit(1).cast("bigint"), n + m), start, step, lambda row: F.get(row, n.cast("int")))
+    every = F.aggregate(F.sequence(F.lit(1).cast("bigint"), n), F.lit(1.0), lambda acc, k: acc * (m + k) / k)
+    return F.greatest(none, F.least(F.lit(1.0), 1.0 - kept / every))
+
+
+def two_sample_p(statistic, n_first, n_second):
+    """Exact for small samples, the limit form beyond; null where a sample is empty."""
+    small = (n_first > 0) & (n_second > 0) & (n_first * n_second <= EXACT_CELLS)
+    large = (n_first > 0) & (n_second > 0)
+    exact = kolmogorov_exact_p(statistic, n_first, n_second)
+    return F.when(small, exact).when(large, kolmogorov_p(statistic, n_first, n_second))

@@ -35,25 +35,23 @@ def sequenced(events: DataFrame, run: str, ts: str, tie: str, **limits) -> DataF
 
 def outcomes(log: DataFrame) -> DataFrame:
     """Final outcome per item: status, attempts, retries, latency (LOG-01). Partial maxima, no list per item."""
-    last = F.max_by(F.struct("event_type", "elapsed_ms", "detail"), "sequence")
-    return (
-        log.filter(F.col("item_id").isNotNull())
-        .groupBy("run_id", "item_id")
-        .agg(
-            last.alias("_last"),
-            F.max("attempt").alias("attempts"),
-            F.min("elapsed_ms").alias("_first_ms"),
-            F.max("elapsed_ms").alias("_last_ms"),
-        )
-        .select(
-            "run_id",
-            "item_id",
-            F.when(F.col("_last.event_type").isin(FAILED, DEAD), "dead_letter").otherwise("success").alias("status"),
-            "attempts",
-            F.greatest(F.col("attempts") - 1, F.lit(0)).alias("retries"),
-            (F.col("_last_ms") - F.col("_first_ms")).alias("latency_ms"),
-            F.col("_last.detail").alias("detail"),
-        )
+    states = log.filter(F.col("item_id").isNotNull()).groupBy("run_id", "item_id").agg(
+        F.max_by(F.struct("event_type", "detail"), "sequence").alias("last"), F.max("attempt").alias("attempts"),
+        F.min("elapsed_ms").alias("first_ms"), F.max("elapsed_ms").alias("last_ms"),
+    )
+    return outcomes_of_states(states)
+
+
+def outcomes_of_states(states: DataFrame) -> DataFrame:
+    """Outcomes from (run_id, item_id, last, attempts, first_ms, last_ms), where `last` has event_type and detail."""
+    return states.select(
+        "run_id",
+        "item_id",
+        F.when(F.col("last.event_type").isin(FAILED, DEAD), "dead_letter").otherwise("success").alias("status"),
+        "attempts",
+        F.greatest(F.col("attempts") - 1, F.lit(0)).alias("retries"),
+        (F.col("last_ms") - F.col("first_ms")).alias("latency_ms"),
+        F.col("last.detail").alias("detail"),
     )
 
 
@@ -246,12 +244,6 @@ def run_summary(log: DataFrame, **limits) -> DataFrame:
     """One row per run from its event log (AGG-30)."""
     log = stage(log, "attempt-log")
     done = stage(outcomes(log), "outcomes")
-    items = done.groupBy("run_id").agg(
-        F.count(F.lit(1)).alias("requested"),
-        F.count_if(F.col("status") == "success").alias("extracted"),
-        F.count_if(F.col("status") == "dead_letter").alias("extract_failed"),
-        F.sum("retries").alias("retries"),
-    )
     span = lambda phase: F.coalesce(
         (
             F.max(F.when(F.col("phase") == phase, F.col("elapsed_ms")))
@@ -267,6 +259,17 @@ def run_summary(log: DataFrame, **limits) -> DataFrame:
         *[span(p).alias(f"{p}_seconds") for p in ("extract", "transform", "load")],
         (F.max("elapsed_ms") / 1000.0).alias("total_seconds"),
     )
+    return run_figures(done, events, **limits)
+
+
+def run_figures(done: DataFrame, events: DataFrame, **limits) -> DataFrame:
+    """A row per run from its items' outcomes (staged) and its event figures."""
+    items = done.groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("requested"),
+        F.count_if(F.col("status") == "success").alias("extracted"),
+        F.count_if(F.col("status") == "dead_letter").alias("extract_failed"),
+        F.sum("retries").alias("retries"),
+    )
     return (
         items.join(events, "run_id")
         .join(latency_percentiles(done, **limits).drop("n"), "run_id", "left")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import MonitorConfig
 from ..functions.numeric import half_even
-from ..functions.tails import kolmogorov_p
+from ..functions.tails import two_sample_p
 from .quantiles import quantile_picks
 from .scale import running_totals, stage, stage_counted
 
@@ -68,7 +68,7 @@ def numeric_summary(ordered: DataFrame, bins: int = BINS) -> DataFrame:
     """One row per feature from one aggregate: edges, KS, means and medians (STA-03, STA-04).
 
     Edges are the inner reference deciles, outer bins are open. One distinct value gives that value as the only edge;
-    fewer than three distinct deciles fall back to the median. The KS p-value is the limit form, see README.
+    fewer than three distinct deciles fall back to the median. The KS p-value is exact for small samples.
     """
     ref_picks, ref_q = quantile_picks([i / bins for i in range(bins + 1)], "n_ref")
     cur_picks, cur_q = quantile_picks([0.5], "n_cur")
@@ -91,7 +91,7 @@ def numeric_summary(ordered: DataFrame, bins: int = BINS) -> DataFrame:
         "feature",
         edges.alias("edges"),
         "ks_statistic",
-        kolmogorov_p(F.col("ks_statistic"), *sizes).alias("ks_pvalue"),
+        two_sample_p(F.col("ks_statistic"), *sizes).alias("ks_pvalue"),
         "ref_mean",
         "cur_mean",
         F.col("_q")[bins // 2].alias("ref_median"),

@@ -323,12 +323,12 @@ def typed_customers(rows: DataFrame, numeric: Sequence[str] = ()) -> DataFrame:
     return rows.withColumns({c: F.col(c).try_cast("double") for c in numeric})
 
 
-def ingest_summary(routed: DataFrame) -> DataFrame:
-    """One row of counts over the outcomes (AGG-34, AGG-28)."""
+def ingest_counts(routed: DataFrame) -> DataFrame:
+    """Counts of the outcomes by the schema version of what was taken (`_version`, null for the rest): they add up over batches."""
     is_ = lambda c, v: F.count_if(F.col(c) == v)
     taken = F.count_if((F.col("outcome") == "accepted") | F.coalesce(F.col("replay") == "recovered", F.lit(False)))
     version = F.col("canonical.source_schema_version")
-    per_version = routed.groupBy(version.alias("_version")).agg(
+    return routed.groupBy(version.alias("_version")).agg(
         F.count(F.lit(1)).alias("received"),
         is_("outcome", "accepted").alias("accepted_initial"),
         is_("outcome", "dlq").alias("dlq_initial"),
@@ -337,6 +337,10 @@ def ingest_summary(routed: DataFrame) -> DataFrame:
         (is_("outcome", "duplicate") + is_("replay", "duplicate")).alias("duplicates"),
         taken.alias("accepted_total"),
     )
+
+
+def summary_of_counts(per_version: DataFrame) -> DataFrame:
+    """One row of counts from those per version (AGG-34, AGG-28)."""
     sums = [c for c in per_version.columns if c != "_version"]
     # at most one group per supported version and one for the rest
     versions = F.transform(
@@ -351,6 +355,11 @@ def ingest_summary(routed: DataFrame) -> DataFrame:
     )
 
 
+def ingest_summary(routed: DataFrame) -> DataFrame:
+    """One row of counts over the outcomes (AGG-34, AGG-28)."""
+    return summary_of_counts(ingest_counts(routed))
+
+
 def version_counts(rows: DataFrame) -> DataFrame:
     """Sorted map of rows per schema version in one row (AGG-28)."""
     n = rows.groupBy("source_schema_version").agg(F.count(F.lit(1)).alias("n"))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.tails import chi_square_p, student_p
+from ..functions.tails import chi_square_p, student_p, two_sample_p
+from .scale import running_totals
 
 
 def welch_t(df: DataFrame, value: str, first: Column, second: Column, *, pvalue: bool = True) -> DataFrame:
@@ -64,3 +67,22 @@ def chi_square(counts: DataFrame, row: str, column: str, n: str = "n", *, pvalue
         return out
     p = F.when(F.col("dof") == 0, 1.0).otherwise(chi_square_p(F.col("statistic"), F.col("dof").cast("double")))
     return out.withColumn("pvalue", p)
+
+
+def ks_by_group(df: DataFrame, keys: Sequence[str], value: str, first: Column, second: Column, **limits) -> DataFrame:
+    """Kolmogorov-Smirnov of the rows of two conditions within each group: sizes, statistic and p-value (STA-03).
+
+    Values are counted before the shuffle and put in order by `running_totals`, so a group may hold any share of the rows.
+    Missing values are left out; groups that lack one side have no statistic.
+    """
+    keys = list(keys)
+    x = F.col(value).cast("double")
+    present = df.filter(x.isNotNull() & ~F.isnan(x))
+    counts = present.groupBy(*keys, x.alias("_x")).agg(F.count_if(first).alias("n_first"), F.count_if(second).alias("n_second"))
+    ordered = running_totals(counts, keys, ["_x"], ["n_first", "n_second"], **limits)
+    share = lambda w: F.try_divide((F.col(f"{w}_before") + F.col(w)).cast("double"), F.col(f"{w}_total"))
+    found = ordered.groupBy(*keys).agg(
+        F.max("n_first_total").alias("n_first"), F.max("n_second_total").alias("n_second"),
+        F.max(F.abs(share("n_first") - share("n_second"))).alias("statistic"),
+    )
+    return found.withColumn("pvalue", two_sample_p(F.col("statistic"), F.col("n_first").cast("double"), F.col("n_second").cast("double")))

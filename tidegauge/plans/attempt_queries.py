@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..config import ConcurrencyConfig
 from ..functions.shipping import ship_by_value
 from ..functions.text import elided
 from ..operators import attempts as A
-from ..operators.scale import stage
+from ..operators import incremental as N
+from ..operators.scale import own_folder, stage
 from ..sources.fetch import dead_letters, fetch, retry_metrics
 from ..sources.readers import table
 from .catalogue import query
@@ -138,6 +141,26 @@ def run_summary(spark, sf):
     )
 
 
+@query(
+    "run_summary_by_batches", "AGG-30 AGG-35",
+    f"""WITH {LOG_SQL},
+        e AS (SELECT run_id, count(*) AS event_count, round(max(elapsed_ms) / 1000, 4) AS total_seconds FROM log GROUP BY run_id)
+        SELECT run_id, count(*) AS requested, count(*) FILTER (status = 'success') AS extracted, count(*) FILTER (status = 'dead_letter') AS extract_failed,
+               CAST(sum(retries) AS BIGINT) AS retries, any_value(event_count) AS event_count, any_value(total_seconds) AS total_seconds,
+               round(quantile_disc(latency_ms, 0.95), 3) AS p95_ms FROM done JOIN e USING (run_id) GROUP BY run_id""",
+)
+def run_summary_by_batches(spark, sf):
+    """The same summary from the partial states of three batches of the log, one of which is written twice."""
+    log = stage(attempt_log(spark, sf), "log")
+    folder = f"{own_folder(spark)}/states-{uuid.uuid4().hex}"
+    for batch in (2, 0, 1, 0):
+        N.add_attempts(log.filter(F.pmod("sequence", F.lit(3)) == batch), folder, batch)
+    return N.run_summaries(spark, folder).select(
+        "run_id", "requested", "extracted", "extract_failed", "retries", "event_count", F.round("total_seconds", 4).alias("total_seconds"),
+        F.round("p95_ms", 3).alias("p95_ms"),
+    )
+
+
 @query(
     "experiment_cards", "AGG-31 AGG-24 LOG-07",
     f"""WITH {LOG_SQL}, e AS (SELECT run_id, max(elapsed_ms) / 1000 AS s FROM log GROUP BY run_id),

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CANONICAL_FIELDS
+from ..operators import incremental as N
 from ..operators import ingest as I
-from ..operators.scale import stage
+from ..operators.scale import own_folder, stage
 from .catalogue import query
 from .tables import CUSTOMERS_SQL, customers
 
@@ -116,6 +119,29 @@ def ingest_summary(spark, sf):
     return summary.withColumn("versions", F.array_join(pairs, ",")).drop("accepted_schema_versions")
 
 
+@query(
+    "ingest_summary_by_batches", "AGG-34 AGG-28",
+    f"""WITH {ROUTED_SQL}
+        SELECT count(*) AS received, count(*) FILTER (outcome = 'accepted') AS accepted_initial, count(*) FILTER (outcome = 'dlq') AS dlq_initial,
+               count(*) FILTER (replay = 'recovered') AS recovered, count(*) FILTER (replay = 'failed') AS unresolved,
+               count(*) FILTER (outcome = 'duplicate' OR replay = 'duplicate') AS duplicates,
+               count(*) FILTER (outcome = 'accepted' OR replay = 'recovered') AS accepted_total,
+               '1=' || count(*) FILTER ((outcome = 'accepted' OR replay = 'recovered') AND (nation = 0 OR NOT v2)) || ',2='
+                    || count(*) FILTER ((outcome = 'accepted' OR replay = 'recovered') AND nation <> 0 AND v2) AS versions
+        FROM routed""",
+)
+def ingest_summary_by_batches(spark, sf):
+    """The same summary from the counts of three batches, one of which is written twice, and of the replay that follows."""
+    routed = stage(I.route(events(spark, sf)), "routed")
+    folder = f"{own_folder(spark)}/counts-{uuid.uuid4().hex}"
+    for batch in (0, 2, 1, 2):
+        N.add_routed(I.without_replay(routed.filter(F.pmod("seq", F.lit(3)) == batch)), folder, batch)
+    N.add_replayed(routed.filter(F.col("outcome") == "dlq"), folder, 1)
+    summary = N.intake_summary(spark, folder)
+    pairs = F.transform(F.map_entries("accepted_schema_versions"), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return summary.withColumn("versions", F.array_join(pairs, ",")).drop("accepted_schema_versions")
+
+
 @query(
     "period_summaries", "ING-10 AGG-34",
     f"""WITH {ROUTED_SQL}

@@ -319,6 +319,31 @@ def welch_t(spark, sf):
     return out.withColumns({c: F.round(c, d) for c, d in digits.items()})
 
 
+@query(
+    "ks_by_nation", "STA-03",
+    """WITH RECURSIVE v AS (SELECT c_nationkey AS k, c_acctbal AS x, count(*) FILTER (right(c_name, 1) < '5') AS a, count(*) FILTER (right(c_name, 1) >= '5') AS b
+                            FROM customer GROUP BY ALL),
+            r AS (SELECT k, sum(a) OVER w AS ra, sum(b) OVER w AS rb, sum(a) OVER (PARTITION BY k) AS n, sum(b) OVER (PARTITION BY k) AS m
+                  FROM v WINDOW w AS (PARTITION BY k ORDER BY x)),
+            d AS (SELECT k, n::BIGINT AS n, m::BIGINT AS m, max(abs(ra::DOUBLE / nullif(n, 0) - rb::DOUBLE / nullif(m, 0))) AS d FROM r GROUP BY ALL),
+            lim AS (SELECT *, round(d * n * m)::BIGINT AS lim FROM d WHERE n > 0 AND m > 0),
+            dp AS (SELECT k, n, m, lim, 0::BIGINT AS s, list_transform(range(n + 1), lambda i: CASE WHEN i = 0 AND lim > 0 THEN 1.0::DOUBLE ELSE 0.0 END) AS row FROM lim
+                   UNION ALL SELECT k, n, m, lim, s + 1, list_transform(range(n + 1), lambda i: CASE WHEN s + 1 - i BETWEEN 0 AND m AND abs(i * m - (s + 1 - i) * n) < lim
+                                    THEN coalesce(row[i], 0.0) + row[i + 1] ELSE 0.0 END) FROM dp WHERE s < n + m),
+            p AS (SELECT dp.k, 1 - row[n + 1] / list_reduce(list_prepend(1.0::DOUBLE, list_transform(range(1, n + 1), lambda i: (m + i) / i::DOUBLE)), lambda x, y: x * y) AS p
+                  FROM dp WHERE s = n + m)
+       SELECT d.k AS c_nationkey, n AS n_first, m AS n_second, round(d, 10) AS statistic,
+              round(CASE WHEN n = 0 OR m = 0 THEN NULL WHEN n * m <= 40000 THEN greatest(0.0::DOUBLE, least(1.0::DOUBLE, p)) WHEN d * d * n * m / (n + m) < 0.02 THEN 1.0::DOUBLE
+                    ELSE greatest(0.0::DOUBLE, least(1.0::DOUBLE, (SELECT sum(CASE WHEN j % 2 = 1 THEN 2.0::DOUBLE ELSE -2.0::DOUBLE END * exp(-2.0::DOUBLE * j * j * (d * d * n * m / (n + m)))) FROM range(1, 101) t(j)))) END, 8) AS pvalue
+       FROM d LEFT JOIN p USING (k)""",
+)
+def ks_by_nation(spark, sf):
+    """Balances of two groups of customers within each nation: samples small enough for the exact p-value."""
+    low = F.right("c_name", F.lit(1)) < "5"
+    out = T.ks_by_group(table(spark, sf, "customer"), ["c_nationkey"], "c_acctbal", low, ~low)
+    return out.withColumns({"statistic": F.round("statistic", 10), "pvalue": F.round("pvalue", 8)})
+
+
 @query(
     "chi_square", "STA-02 AGG-07",
     """WITH c AS (SELECT o_orderstatus AS a, o_orderpriority AS b, count(*)::DOUBLE AS n FROM orders GROUP BY ALL),
