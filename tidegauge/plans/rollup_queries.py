@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregate as A
 from ..operators.clean import join_check, join_dimension
-from ..operators.compare import compare
+from ..operators.compare import compare, compare_by_digests
 from ..operators.quantiles import quantiles
 from ..operators.scale import own_folder
 from ..sources.readers import csv_view, dimension, read_csv, table, view
@@ -261,6 +261,33 @@ def profile_parity(spark, sf):
     return compare(_profile(customers), by_sql, ["c_mktsegment"], ["customers", "mean_balance", "negative_rate"])
 
 
+@query(
+    "orders_parity", "SET-05",
+    """SELECT t.name, CASE WHEN name = 'changed' THEN count(*) FILTER (o_orderkey % 5000 = 3) ELSE 0 END AS only_first, 0::BIGINT AS only_second,
+              CASE WHEN name = 'changed' THEN count(*) FILTER (o_orderkey % 5000 = 7) ELSE 0 END AS cells_off, count(*) AS rows,
+              name <> 'changed' OR count(*) FILTER (o_orderkey % 5000 IN (3, 7)) = 0 AS equal, name = 'same' OR NULL AS without_join
+       FROM orders, (VALUES ('same'), ('near'), ('changed')) AS t(name) GROUP BY name""",
+)
+def orders_parity(spark, sf):
+    """Orders against themselves, against prices with small errors, and against a copy with a few changed and missing rows."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    key, price = F.col("o_orderkey"), F.col("o_totalprice")
+    others = {
+        "same": orders.repartition(3, "o_orderstatus"),
+        "near": orders.withColumn("o_totalprice", price * (1 + F.lit(1e-13) * (key % 7))),
+        "changed": orders.withColumn("o_totalprice", F.when(key % 5000 == 7, price + 1).otherwise(price)).filter(key % 5000 != 3),
+    }
+    rows = None
+    for name, other in others.items():
+        found = compare_by_digests(orders, other, ["o_orderkey"], ["o_orderstatus", "o_totalprice"])
+        row = found.select(
+            F.lit(name).alias("name"), "only_first", "only_second", "cells_off", "rows", "equal",
+            F.when(F.lit(name == "same"), F.col("joined_rows") == 0).alias("without_join"),
+        )
+        rows = row if rows is None else rows.unionByName(row)
+    return rows
+
+
 @query(
     "head_sample", "ORD-08 PRJ-02",
     "SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders ORDER BY o_orderkey LIMIT 50",
