@@ -42,7 +42,7 @@ def test_each_stage_acts_on_what_the_last_one_kept(spark):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_empty_table(spark, tmp_path):
@@ -50,3 +50,25 @@ def test_empty_table(spark, tmp_path):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{TABLES}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
     assert pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_nulls_repeats_and_clashing_columns_through_all_stages(spark, tmp_path):
+    given = spark.read.parquet(f"{TABLES}/documents.parquet")
+    odd = spark.createDataFrame(
+        [(None, None, None), (None, "", "a"), (None, None, None), (70_001, None, "a"), (70_002, "", None), (70_003, "word " * 40_000, "a")],
+        "doc_id long, text string, source string",
+    )
+    docs = given.unionByName(given.limit(5)).unionByName(odd, allowMissingColumns=True)
+    docs = docs.selectExpr("*", "1 AS size", "'x' AS target", "2 AS copies", "doc_id AS _copy", "0.5 AS score", "'y' AS _stage_score", "3 AS component_id")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.read.parquet(f"{TABLES}/labels.parquet")
+    more = spark.createDataFrame([(None, 1, 0), (70_001, None, None), (0, 1, 1)], "doc_id long, quality int, toxic int")
+    labels.unionByName(more).write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    ids = {r.doc_id for r in docs.select("doc_id").collect()}
+    for _, step in pipeline.STAGES[:-1]:
+        kept = step(spark, docs, str(tmp_path))
+        assert kept.columns == docs.columns
+        docs = pipeline.stage(kept, "edges")
+    rows = pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
+    assert {r.doc_id for r in rows} <= ids and len(rows) == docs.count()
