@@ -3,11 +3,19 @@
 Quality and toxicity drop what their classifiers reject, near-duplicates leave one document per group, the mix repeats or
 skips documents to meet the sources' weights, and the last stage encodes what is left. The classifiers are fitted on the
 labelled documents among those their stage receives.
+
+Near-duplicates are those of the SimHash operator with its contract's shingle length and bit distance.
+
+Defined cases: a null text is empty in every stage; a null id is never a label's; of documents without an id that are
+near-duplicates of each other alone, any one stays; repeated rows are one group of near-duplicates; documents with equal ids and
+different texts are judged by their texts; an empty table gives no rows; other columns pass through all stages but the last, but
+a column named like a stage's own (`_stage_score`, `_fp`) is left out before that stage and null behind it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidegauge.llm import bpe, gam, mixing, simhash, toxicity
 from tidegauge.llm.queries import vocabulary
@@ -16,23 +24,30 @@ from tidegauge.sources.readers import table
 
 THRESHOLD = 0.7
 SCORE = "_stage_score"
+OWN = (SCORE, "_fp")  # columns that stages make for themselves
+
+
+def like(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The kept rows with the columns of `docs`; those that a stage needed the name of are null."""
+    empty = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in docs.schema.fields if f.name in OWN}
+    return kept.select([empty.get(c, F.col(c)) for c in docs.columns])
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     model = gam.train(docs, table(spark, sf_dir, "labels"))
-    return gam.score(docs, model, SCORE).filter(f"{SCORE} >= {THRESHOLD}").select(docs.columns)
+    return like(docs, gam.score(docs, model, SCORE).filter(f"{SCORE} >= {THRESHOLD}"))
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not found toxic."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, SCORE).filter(f"{SCORE} < {THRESHOLD}").select(docs.columns)
+    return like(docs, toxicity.score(docs, model, SCORE).filter(f"{SCORE} < {THRESHOLD}"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    return simhash.one_of_each(docs)
+    return like(docs, simhash.one_of_each(docs.drop(*OWN)))
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
