@@ -69,11 +69,13 @@ def _thresholds(
         hashed.withColumn("_prefix", F.substring("_h", 1, digits)), cuts, [*strata, "_prefix"], table_rows=n_cuts
     ).filter(F.col("_rest").isNotNull())
     by = [*strata, "_prefix"]
-    # a stretch that is still too long is one key, repeated
-    whole = rows.filter(F.col("_n") > rank_rows).groupBy(*by).agg(F.max(F.struct("_h", "_k")).alias("_cut"))
     rank = F.row_number().over(Window.partitionBy(*by).orderBy("_h", "_k"))
     last = rows.filter(F.col("_n") <= rank_rows).withColumn("_rank", rank).filter(F.col("_rank") == F.col("_rest"))
-    ends = last.select(*strata, F.struct("_h", "_k").alias("_cut")).unionByName(whole.select(*strata, "_cut"))
+    ends = last.select(*strata, F.struct("_h", "_k").alias("_cut"))
+    if longest is not None and longest > rank_rows:
+        # a stretch that is still too long is one key, repeated
+        whole = rows.filter(F.col("_n") > rank_rows).groupBy(*by).agg(F.max(F.struct("_h", "_k")).alias("_cut"))
+        ends = ends.unionByName(whole.select(*strata, "_cut"))
     return stage_counted(ends, "thresholds")
 
 
