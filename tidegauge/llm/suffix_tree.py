@@ -8,11 +8,12 @@ over goes to the other symbols as the shorter context has them. Unknown words ha
 from the known ones. A text is scored by the longest context in the tree at each token, and all distributions sum to 1 over
 known words, the end and "unknown". `LEAST` is a count, not a share: the tree grows with the texts.
 
-Work: a text is split once. Each block of texts gets a dictionary of its own; dictionaries, not tokens, are shuffled to
-count words, and counts come back to the block. Each longer level works alike: a block sends its distinct runs, once each
-with their count, and gets back which of them are frequent. A run is named by the ids of its first and its last part, so only
-runs of two frequent parts are sent. Levels are Parquet tables and meet the blocks by joins; nothing of them is gathered or
-broadcast, and what a task holds is bounded by its block.
+Work: a text is split once. A block of texts is one row with a dictionary of its own; dictionaries, not tokens, go to slices of
+the hash space that add them, and counts come back to the block. Each longer level works alike: a block sends its distinct runs,
+once each with their count, packed in a row per slice, and gets back which of them are frequent. A run is named by the ids of
+its first and its last part, so only runs of two frequent parts are sent, and all counts are exact. A run comes to its slice at
+most once per block, however frequent it is, and slices grow in number with the texts. The tree's tables hold each frequent run
+once; what a block needs of them comes back packed, only for runs that have a figure of their own.
 
 Defined cases: a null text is empty, and an empty text is its end alone; a null id is never held out; repeated rows count
 repeatedly; without training texts every word is unknown; an empty table gives no rows; extra columns are ignored.
@@ -20,18 +21,21 @@ repeatedly; without training texts every word is unknown; an empty table gives n
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.scale import stage
+from . import blocks as B
+from .blocks import U64
 from .labels import held_out
 from .workers import map_batches, ship_package
 
@@ -41,8 +45,13 @@ BLOCK_BYTES = 24 << 20
 PIECE_SYMBOLS = 400_000
 DISCOUNT = 0.5
 LEAST_GAIN = 20.0
-# symbols: end of text, any rare word, then the frequent words; the start mark is the last one inside a block, else START
-END, REST, WORDS, START = 0, 1, 2, -1
+# texts of about that many words share a slice
+SLICE_WORDS = 8_000_000
+# symbols: end of text, any rare word, then the frequent words and runs of a slice from slice << SLICE_SHIFT on; the start mark
+END, REST, WORDS, START = 0, 1, 2, 1 << 62
+SLICE_SHIFT = 36
+TEXTS = ["block", "ids", "held_out", "sizes", "codes"]
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -54,7 +63,18 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return flat.filter(real), before[offsets]
 
 
-def _blocks(batch: pa.RecordBatch, block_bytes: int) -> Iterator[pa.RecordBatch]:
+@contextmanager
+def shuffles_end_with_their_query(spark: SparkSession):
+    """What is written inside the block is staged, so the shuffle files behind it go as soon as it is written."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
+def _pieces(batch: pa.RecordBatch, block_bytes: int) -> Iterator[pa.RecordBatch]:
     """Pieces of a batch of about `block_bytes` of text (a longer text is a piece of its own)."""
     sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
     number = np.cumsum(sizes) // block_bytes
@@ -64,48 +84,120 @@ def _blocks(batch: pa.RecordBatch, block_bytes: int) -> Iterator[pa.RecordBatch]
             yield batch.slice(a, b - a)
 
 
-def dictionaries(docs: DataFrame, modulus: int, remainder: int) -> DataFrame:
-    """Texts as codes of their block's dictionary, and one row per block with its words and their training counts."""
+def coded_blocks(docs: DataFrame, modulus: int, remainder: int, slices: int) -> DataFrame:
+    """A row per block: its texts as codes into the block's dictionary, and the dictionary in parts, one per slice.
+
+    A part has the words that hash to the slice, in order, and their training counts; codes count through all parts.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
     block_bytes = BLOCK_BYTES
     marked = docs.select("doc_id", "text", held_out(F.col("doc_id"), modulus, remainder).alias("held_out"))
+    part = pa.struct([("slice", pa.int64()), ("length", pa.int64()), ("words", pa.binary()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 24
         for batch in batches:
-            for piece in _blocks(batch, block_bytes):
+            for piece in _pieces(batch, block_bytes):
                 words, offsets = split_words(piece.column("text"))
-                coded = words.dictionary_encode()
-                codes = coded.indices.to_numpy(zero_copy_only=False)
-                learn = ~piece.column("held_out").to_numpy(zero_copy_only=False)
-                counts = np.bincount(codes[np.repeat(learn, np.diff(offsets))], minlength=len(coded.dictionary))
-                n, none = piece.num_rows, [None]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(n, number)), piece.column("doc_id"), piece.column("held_out"),
-                        pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(codes, pa.int32())),
-                        pa.nulls(n, pa.list_(pa.string())), pa.nulls(n, pa.list_(pa.int32())),
-                    ],
-                    names=["block", "doc_id", "held_out", "codes", "words", "counts"],
-                )
+                found = words.dictionary_encode()
+                held = piece.column("held_out").to_numpy(zero_copy_only=False)
+                ascending = pc.sort_indices(found.dictionary).to_numpy()
+                dictionary = found.dictionary.take(pa.array(ascending)).cast(pa.large_string())
+                ends = np.frombuffer(dictionary.buffers()[1], np.int64)[: len(dictionary) + 1]
+                letters = np.frombuffer(dictionary.buffers()[2] or b"", np.uint8)[: ends[-1] if len(dictionary) else 0]
+                to = _slice_of(B.hashed_strings(letters, ends) if len(dictionary) else np.zeros(0, U64), slices)
+                order = np.argsort(to, kind="stable")
+                place = np.empty(len(order), np.int64)
+                place[ascending[order]] = np.arange(len(order))
+                codes = place[found.indices.to_numpy(zero_copy_only=False)]
+                counts = np.bincount(codes[np.repeat(~held, np.diff(offsets))], minlength=len(order))
+                parts = []
+                for number_of, at in _stretches(to[order]):
+                    chosen = dictionary.take(pa.array(order[at]))
+                    lines = pc.binary_join(pa.LargeListArray.from_arrays(pa.array([0, len(chosen)], pa.int64()), chosen), pa.scalar("\n", pa.large_string()))
+                    whole = lines[0].as_buffer()
+                    parts.append({
+                        "slice": number_of, "length": whole.size, "words": pa.Codec("zstd", 1).compress(whole, asbytes=True),
+                        "counts": B.pack(counts[at]),
+                    })
+                one = pa.array([0, piece.num_rows], pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([number]), pa.array(none, batch.schema.field("doc_id").type), pa.array(none, pa.bool_()),
-                        pa.array(none, pa.list_(pa.int32())),
-                        pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary),
-                        pa.ListArray.from_arrays(pa.array([0, len(counts)], pa.int32()), pa.array(counts, pa.int32())),
+                        pa.array([number]), pa.ListArray.from_arrays(one, piece.column("doc_id")),
+                        pa.ListArray.from_arrays(one, piece.column("held_out")), pa.array([B.pack(np.diff(offsets))], pa.binary()),
+                        pa.array([B.pack(codes)], pa.binary()), pa.array([parts], pa.list_(part)),
                     ],
-                    names=["block", "doc_id", "held_out", "codes", "words", "counts"],
+                    names=["block", "ids", "held_out", "sizes", "codes", "parts"],
                 )
                 number += 1
 
     return map_batches(
         marked,
         run,
-        f"block long, doc_id {kind}, held_out boolean, codes array<int>, words array<string>, counts array<int>",
+        f"block long, ids array<{kind}>, held_out array<boolean>, sizes binary, codes binary, "
+        "parts array<struct<slice:long,length:long,words:binary,counts:binary>>",
     )
 
 
+def _slice_of(hashes: np.ndarray, slices: int) -> np.ndarray:
+    return (hashes >> U64(64 - slices)).astype(np.int64) if slices else np.zeros(len(hashes), np.int64)
+
+
+def _stretches(ascending: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Equal numbers of an ascending array, each with its stretch."""
+    cuts = [0, *(np.flatnonzero(np.diff(ascending)) + 1).tolist(), len(ascending)] if len(ascending) else [0]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        yield int(ascending[a]), slice(a, b)
+
+
+#: What a slice says: to each block about the items it sent, in their order; and (block -1) the slice's own table.
+ANSWERS = pa.schema([
+    ("block", pa.int64()), ("level", pa.int64()), ("slice", pa.int64()), ("a", pa.binary()), ("b", pa.binary()), ("ids", pa.binary()),
+    ("pre", pa.list_(pa.int64())), ("suf", pa.list_(pa.int64())), ("id", pa.list_(pa.int64())), ("n", pa.list_(pa.int64())),
+    ("stats", pa.list_(pa.int64())),
+])
+ANSWERS_SQL = (
+    "block long, level long, slice long, a binary, b binary, ids binary, pre array<long>, suf array<long>, id array<long>, "
+    "n array<long>, stats array<long>"
+)
+
+
+def _ids(number: int, frequent: np.ndarray) -> np.ndarray:
+    """Ids of the frequent items of a slice, in their order."""
+    return WORDS + (number << SLICE_SHIFT) + np.cumsum(frequent) - 1
+
+
+def word_answers(coded: DataFrame) -> DataFrame:
+    """Training counts of all words, added per slice: to the blocks the counts (a) and the ids of the frequent words."""
+    sent = coded.select("block", F.inline("parts"))
+
+    def add(rows: pa.Table) -> pa.Table:
+        number, parts = rows["slice"][0].as_py(), []
+        for length, words in zip(rows["length"].to_pylist(), rows["words"].to_pylist(), strict=True):
+            text = pa.array([pa.Codec("zstd").decompress(words, length, asbytes=True).decode()], pa.large_string())
+            parts.append(pc.split_pattern(text, "\n").values)
+        counts = [B.unpack(c).astype(np.int64) for c in rows["counts"].to_pylist()]
+        found = pa.concat_arrays(parts).dictionary_encode()
+        del parts
+        order = pc.sort_indices(found.dictionary).to_numpy()
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        place = rank[found.indices.to_numpy()]
+        n = np.bincount(place, np.concatenate(counts), len(order)).astype(np.int64)
+        frequent = n >= LEAST
+        ids = _ids(number, frequent)
+        rare = (n > 0) & ~frequent
+        stats = [int(x) for x in (n.sum(), (n > 0).sum(), (n == 1).sum(), (n == 2).sum(), n[rare].sum(), rare.sum())]
+        made = [{"block": -1, "level": 1, "slice": number, "id": ids[frequent], "n": n[frequent], "stats": stats}]
+        ends = np.cumsum([len(c) for c in counts])
+        for block, end, c in zip(rows["block"].to_pylist(), ends, counts, strict=True):
+            at = place[end - len(c) : end]
+            made.append({"block": block, "level": 1, "slice": number, "a": B.pack(n[at]), "ids": B.pack_ascending(ids[at][frequent[at]].astype(U64))})
+        return pa.Table.from_pylist(made, schema=ANSWERS)
+
+    return B.each_slice(sent, add, ANSWERS_SQL)
+
+
 @dataclass
 class Totals:
     """Figures of the training tokens."""
@@ -129,85 +221,33 @@ class Totals:
         return (count + 1.0) / (self.tokens + self.distinct + 1.0)
 
 
-def totals_of(counts: DataFrame, texts: int) -> Totals:
-    """From the word counts and the number of training texts, each of which has one end."""
-    got = counts.filter("c > 0").agg(
-        F.sum("c").alias("n"), F.count("*").alias("v"), F.count_if(F.col("c") == 1).alias("n1"),
-        F.count_if(F.col("c") == 2).alias("n2"),
-    ).first()
-    once, twice = (got.n1 + (texts == 1)), (got.n2 + (texts == 2))
+def totals_of(answers: DataFrame, texts: int) -> tuple[Totals, int, float]:
+    """From the word slices and the number of training texts, each of which has one end; also the occurrences of rare words
+    and what is left of them after discounting."""
+    got = answers.filter("block = -1").agg(*[F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(6)]).first()
+    n, v, n1, n2, rare, rare_words = (int(x or 0) for x in got)
+    once, twice = n1 + (texts == 1), n2 + (texts == 2)
     discount = min(0.9, once / (once + 2 * twice)) if once else DISCOUNT
-    return Totals((got.n or 0) + texts, got.v + (texts > 0), texts, discount)
+    return Totals(n + texts, v + (texts > 0), texts, discount), rare, rare - discount * rare_words
 
 
-def _per_text(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-    return np.bincount(owner, values, n) if len(values) else np.zeros(n)
-
-
-def symbol_table(counts: DataFrame, totals: Totals) -> DataFrame:
-    """Level of single symbols: `id`, training count `n` and probability `p` without a context."""
-    spark = counts.sparkSession
-    common = counts.filter(F.col("symbol") >= WORDS)
-    known = lambda c: F.greatest(c - F.lit(totals.discount), F.lit(1e-12)) / F.lit(max(totals.tokens, 1))
-    rare = counts.filter((F.col("symbol") == REST) & (F.col("c") > 0))
-    got = rare.agg(F.sum("c").alias("n"), F.sum(F.col("c") - F.lit(totals.discount)).alias("m")).first()
-    rest = max((got.m or 0.0) / max(totals.tokens, 1) + totals.unknown, 1e-12)
+def symbol_table(answers: DataFrame, totals: Totals, rare: int, rare_left: float) -> tuple[DataFrame, float]:
+    """Level of single symbols: `id`, training count `n` and probability `p` without a context; and what all p were divided by."""
+    common = answers.filter("block = -1").select(F.inline(F.arrays_zip("id", "n")))
+    known = F.greatest(F.col("n") - F.lit(totals.discount), F.lit(1e-12)) / F.lit(max(totals.tokens, 1))
+    rest = max(rare_left / max(totals.tokens, 1) + totals.unknown, 1e-12)
     end = float(totals.known(totals.texts)) if totals.texts else totals.unknown
-    words = common.agg(F.sum(known(F.col("c"))).alias("p")).first().p or 0.0
+    words = common.agg(F.sum(known).alias("p")).first().p or 0.0
     whole = max(end + rest + words, 1e-300)  # the end may lack its share when no text is learned from
     # nothing is followed by the start mark
-    marks = [(END, 0, end / whole), (REST, got.n or 0, rest / whole), (START, totals.texts, 1e-300)]
-    return common.select(F.col("symbol").alias("id"), F.col("c").alias("n"), (known(F.col("c")) / F.lit(whole)).alias("p")).unionByName(
-        spark.createDataFrame(marks, "id long, n long, p double")
-    )
-
-
-@dataclass
-class Level:
-    """Contexts of one length, ascending, with the factor for symbols without an own entry; and their entries."""
-
-    contexts: np.ndarray
-    factors: np.ndarray
-    entries: np.ndarray
-    values: np.ndarray
+    marks = [(END, 0, end / whole), (REST, rare, rest / whole), (START, totals.texts, 1e-300)]
+    return common.select("id", "n", (known / F.lit(whole)).alias("p")).unionByName(
+        answers.sparkSession.createDataFrame(marks, "id long, n long, p double")
+    ), whole
 
 
-@dataclass
-class Tree:
-    """The tree of one small set of texts, in memory, with `grow`; `lm_scores` has the same tree as tables."""
-
-    size: int  # number of symbols, the start mark included
-    root: np.ndarray
-    levels: list[Level] = field(default_factory=list)
-
-    def probabilities(self, history: list[np.ndarray], symbol: np.ndarray) -> np.ndarray:
-        """Of each symbol behind its history: history[0] is the symbol before, history[1] the one before that; -1: none."""
-        p = self.root[symbol]
-        key, whole, power = np.zeros(len(symbol), np.int64), np.ones(len(symbol), bool), 1
-        for level, before in zip(self.levels, history, strict=False):
-            whole = whole & (before >= 0)
-            key, power = key + before * power, power * self.size
-            if not len(level.contexts):
-                continue
-            at = np.flatnonzero(whole)
-            place = np.minimum(np.searchsorted(level.contexts, key[at]), len(level.contexts) - 1)
-            hit = level.contexts[place] == key[at]
-            at, place = at[hit], place[hit]
-            full = key[at] * self.size + symbol[at]
-            entry = np.minimum(np.searchsorted(level.entries, full), len(level.entries) - 1)
-            p[at] = np.where(level.entries[entry] == full, level.values[entry], level.factors[place] * p[at])
-        return p
-
-
-def histories(symbols: np.ndarray, owner_start: np.ndarray, depth: int) -> list[np.ndarray]:
-    """For a flat array of texts, the symbols 1, 2, ... places before each, -1 beyond the start of the text."""
-    place = np.arange(len(symbols)) - owner_start
-    found = []
-    for back in range(1, depth + 1):
-        before = np.full(len(symbols), -1, np.int64)
-        before[back:] = symbols[:-back] if back < len(symbols) + 1 else before[back:]
-        found.append(np.where(place >= back, before, -1))
-    return found
+def _per_text(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    return np.bincount(owner, values, n) if len(values) else np.zeros(n)
 
 
 def flat_texts(lists: pa.Array, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -231,56 +271,64 @@ def _member(keys: np.ndarray, of: np.ndarray) -> np.ndarray:
     return of[np.minimum(np.searchsorted(of, keys), len(of) - 1)] == keys
 
 
-def _split(key: np.ndarray, size: int, length: int) -> list[np.ndarray]:
-    """Symbols of a run, the last one first."""
-    return [(key // size**i) % size for i in range(length)]
-
-
-def grow(tree: Tree, contexts: np.ndarray, totals: np.ndarray, runs: np.ndarray, counts: np.ndarray) -> None:
-    """Add the level of contexts one symbol longer than the last: those whose followers differ from the shorter context's."""
-    size, length = tree.size, len(tree.levels) + 1
-    owner_key = runs // size
-    place = np.searchsorted(contexts, owner_key)
-    held = _member(owner_key, contexts)
-    runs, counts, place, owner_key = runs[held], counts[held], place[held], owner_key[held]
-    n = totals[place].astype(np.float64)
-    parts = _split(runs, size, length + 1)
-    shorter = tree.probabilities(parts[1:length], parts[0]) if length > 1 else tree.root[parts[0]]
-    value = np.minimum((counts - DISCOUNT) / n, 1 - 1e-9)
-    owned = np.bincount(place, value, len(contexts))
-    lent = np.bincount(place, shorter, len(contexts))
-    # where every symbol has an entry of its own, nothing is left for others: the discounts go back to the entries
-    value = np.where(lent[place] > 1 - 1e-9, value / owned[place], value)
-    owned = np.bincount(place, value, len(contexts))
-    left, lent_left = np.maximum(1 - owned, 1e-12), np.maximum(1 - lent, 1e-12)
-    gain = np.bincount(place, value * np.log(value / np.maximum(shorter, 1e-300)), len(contexts)) + left * np.log(left / lent_left)
-    keep = (np.bincount(place, minlength=len(contexts)) > 0) & (gain * totals >= LEAST_GAIN)
-    tree.levels.append(
-        Level(contexts[keep], (left / lent_left)[keep], runs[keep[place]], value[keep[place]])
-    )
+def _counted(keys: np.ndarray, learned: np.ndarray, piece: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and how often each was learned, over pieces of a fixed size."""
+    parts = []
+    for start in range(0, len(keys), piece):
+        some, place = np.unique(keys[start : start + piece], return_inverse=True)
+        parts.append((some, np.bincount(place, learned[start : start + piece], len(some)).astype(np.int64)))
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    found, place = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return found, np.bincount(place, np.concatenate([n for _, n in parts]), len(found)).astype(np.int64)
 
 
 class Block:
     """Texts of a block as one line of symbols, and at each place the run of each length that ends there.
 
-    `found` has rows (level, key, ...) of the block's runs that are in the tables. A key is made of the two parts' places among
-    the block's runs one shorter, so it means the same in every pass.
+    `answers` has rows (level, slice, a, b, ids) about the block's words and runs. The block's runs of a length that are in the
+    tables are numbered by their keys; a key is made of the numbers of the run's two parts.
     """
 
-    def __init__(self, texts: pa.Table, found: pa.Table) -> None:
-        self.rows = texts.combine_chunks()
-        level = found["level"].to_numpy()
-        self.found = [found.filter(pa.array(level == n)).sort_by("key") for n in range(1, DEPTH + 2)]
-        code, symbol = self.found[0]["key"].to_numpy(), self.found[0]["symbol"].to_numpy()
-        self.size = WORDS + len(code) + 1  # the dictionary's codes are 0, 1, ...
-        of_code = np.where(symbol >= WORDS, code + WORDS, REST).astype(np.int32)
-        self.symbols = np.concatenate([[END, REST], np.where(symbol >= WORDS, symbol, REST), [START]]).astype(np.int64)
-        lists = pa.concat_arrays(self.rows["codes"].chunks)
-        self.offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        self.codes = lists.flatten().to_numpy()
-        coded = pa.ListArray.from_arrays(pa.array(self.offsets, pa.int32()), pa.array(of_code[self.codes], pa.int32()))
+    def __init__(self, row: pa.Table, answers: pa.Table) -> None:
+        row = row.combine_chunks()
+        self.number = row["block"][0].as_py()
+        self.doc_ids, held = (pa.concat_arrays(row[c].chunks).flatten() for c in ("ids", "held_out"))
+        self.held_out = held.to_numpy(zero_copy_only=False).astype(bool)
+        sizes = B.unpack(row["sizes"][0].as_py()).astype(np.int64)
+        self.offsets, self.codes = np.concatenate([[0], np.cumsum(sizes)]), B.unpack(row["codes"][0].as_py()).astype(np.int64)
+        self.answers = answers.sort_by([("level", "ascending"), ("slice", "ascending")])
+        self.levels = self.answers["level"].to_numpy()
+        self.counts = np.concatenate([np.zeros(0, np.int64), *(c.astype(np.int64) for c in self._all("a", 1, B.unpack))])
+        self.frequent = self.counts >= LEAST
+        of_code = np.full(len(self.counts), REST, np.int64)
+        of_code[self.frequent] = self._ids(1)
+        self.size = WORDS + len(self.counts) + 1  # the dictionary's codes are 0, 1, ...
+        self.symbols = np.concatenate([[END, REST], of_code, [START]]).astype(np.int64)
+        local = np.where(self.frequent, np.arange(len(self.counts)) + WORDS, REST).astype(np.int32)
+        coded = pa.ListArray.from_arrays(pa.array(self.offsets, pa.int32()), pa.array(local[self.codes], pa.int32()))
         self.flat, self.begins, self.owner = flat_texts(coded, self.size - 1)
-        self.places = {1: self.flat}
+        self.places, self.runs = {1: self.flat}, {}
+        numbers = np.concatenate([[0, 1], np.flatnonzero(self.frequent) + WORDS, [self.size - 1]])
+        for length in range(2, DEPTH + 2):
+            ids = self.symbols[numbers] if length == 2 else self.runs[length - 1][1]
+            order = np.argsort(ids, kind="stable")
+            number = lambda of: order[np.searchsorted(ids, of, sorter=order)]  # noqa: B023, E731
+            pre, suf = (self._joined(c, length) for c in ("a", "b"))
+            before, last = (number(of) if length > 2 else numbers[number(of)] for of in (pre, suf))
+            key, own = before * self.width(length - 1) + last, self._ids(length)
+            by_key = np.argsort(key)
+            self.runs[length] = key[by_key], own[by_key], by_key
+
+    def _all(self, column: str, level: int, read: Callable) -> list[np.ndarray]:
+        return [read(x.as_py()) for x in self.answers[column].filter(pa.array(self.levels == level))]
+
+    def _joined(self, column: str, level: int) -> np.ndarray:
+        read = B.unpack if column == "b" else B.unpack_ascending
+        return np.concatenate([np.zeros(0, np.int64), *(x.astype(np.int64) for x in self._all(column, level, read))])
+
+    def _ids(self, level: int) -> np.ndarray:
+        return self._joined("ids", level)
 
     def keys(self, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Places where a run of `length` symbols ends whose two parts are in the tables, and the runs' keys."""
@@ -291,65 +339,96 @@ class Block:
         return place, parts[place - 1] * self.width(length - 1) + parts[place]
 
     def width(self, length: int) -> int:
-        return self.size if length == 1 else max(self.found[length - 1].num_rows, 1)
+        return self.size if length == 1 else max(len(self.runs[length][0]), 1)
 
     def at(self, length: int) -> np.ndarray:
         """For each place the run of that length ending there, as its place among the block's runs in the tables; -1: none."""
         if length not in self.places:
             place, key = self.keys(length)
-            held = self.found[length - 1]["key"].to_numpy()
+            held = self.runs[length][0]
             runs = np.full(len(self.flat), -1, np.int64)
             hit = _member(key, held)
             runs[place[hit]] = np.searchsorted(held, key[hit])
             self.places[length] = runs
         return self.places[length]
 
-
-def _counted(keys: np.ndarray, learned: np.ndarray, piece: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys and how often each was learned, over pieces of a fixed size."""
-    parts = []
-    for start in range(0, len(keys), piece):
-        some, place = np.unique(keys[start : start + piece], return_inverse=True)
-        parts.append((some, np.bincount(place, learned[start : start + piece], len(some)).astype(np.int64)))
-    if not parts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    found, place = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    return found, np.bincount(place, np.concatenate([n for _, n in parts]), len(found)).astype(np.int64)
+    def values(self, level: int, column: str) -> np.ndarray:
+        """A figure of each run of that length (or each frequent word), in the order of the numbers; NaN: none of its own."""
+        sizes = [len(x) for x in self._all("ids", level, B.unpack)]
+        found = np.full(sum(sizes), np.nan)
+        begins = np.cumsum([0, *sizes])
+        where, what = self._all(f"{column}_at", level, B.unpack_ascending), self._all(column, level, B.unpack)
+        for begin, at, x in zip(begins, where, what, strict=False):
+            found[begin + at.astype(np.int64)] = x.astype(U64).view(np.float64)
+        return found[self.runs[level][2]] if level > 1 else found
 
 
-def frequent_runs(texts: DataFrame, members: list[DataFrame], length: int) -> DataFrame:
-    """Runs of `length` symbols with at least `LEAST` training occurrences, a row per run and block that has it.
+def run_answers(coded: DataFrame, answers: DataFrame, length: int, slices: int) -> DataFrame:
+    """Runs of `length` symbols with at least `LEAST` training occurrences.
 
-    `pre` and `suf` are the ids of the run without its last and without its first symbol; `n` counts all blocks. The row with
-    `first` stands for the run in its level's table.
+    A block sends each of its distinct runs once (with count 0 if only held-out texts have it), as the ids of the run without its
+    last (pre) and without its first symbol (suf), in packed lists per slice; the slice adds the counts and answers with the
+    frequent ones (a: pre, b: suf) and their ids.
     """
-    found = reduce(DataFrame.unionByName, (m.select("block", "level", "key", F.col("id").alias("symbol")) for m in members))
     piece = PIECE_SYMBOLS
-    ship_package(texts.sparkSession)
+    ship_package(coded.sparkSession)
+    schema = pa.schema([("block", pa.int64()), ("slice", pa.int64()), ("a", pa.binary()), ("b", pa.binary()), ("counts", pa.binary())])
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+    def send(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return schema.empty_table()
         block = Block(left, right)
         place, key = block.keys(length)
-        learned = ~block.rows["held_out"].to_numpy()
-        keys, counts = _counted(key, learned[block.owner[place]], piece)
-        ids = block.symbols if length == 2 else block.found[length - 2]["symbol"].to_numpy()
+        keys, counts = _counted(key, ~block.held_out[block.owner[place]], piece)
         before, last = np.divmod(keys, block.width(length - 1))
-        number = np.full(len(keys), block.rows["b"][0].as_py(), np.int64)
-        return pa.table({"block": number, "key": keys, "pre": ids[before], "suf": ids[last], "n": counts})
-
-    sent = texts.groupBy("b").cogroup(found.groupBy("block")).applyInArrow(run, "block long, key long, pre long, suf long, n long")
-    same = Window.partitionBy("pre", "suf")  # at most one row per block
-    totals = sent.withColumn("row", F.monotonically_increasing_id()).select(
-        "block", F.lit(length).alias("level"), "key", "pre", "suf", F.sum("n").over(same).alias("n"), F.min("row").over(same).alias("id"), "row"
-    )
-    kept = totals.filter(F.col("n") >= LEAST)
-    return stage(kept.withColumn("first", F.col("row") == F.col("id")).drop("row"), f"runs{length}")
+        ids = block.symbols if length == 2 else block.runs[length - 1][1]
+        pre, suf = ids[before], ids[last]
+        to = _slice_of(B.mixed(B.mixed(pre.astype(U64)) + suf.astype(U64)), slices)
+        order = np.lexsort((suf, pre, to))
+        pre, suf, counts, to = pre[order].astype(U64), suf[order].astype(U64), counts[order], to[order]
+        rows = [
+            {"block": block.number, "slice": s, "a": B.pack_ascending(pre[at]), "b": B.pack(suf[at]), "counts": B.pack(counts[at])}
+            for s, at in _stretches(to)
+        ]
+        return pa.Table.from_pylist(rows, schema=schema)
+
+    def add(rows: pa.Table) -> pa.Table:
+        number = rows["slice"][0].as_py()
+        read = lambda c, how: [how(x.as_py()) for x in rows[c]]
+        pres, sufs, counts = read("a", B.unpack_ascending), read("b", B.unpack), read("counts", B.unpack)
+        pre, suf = (np.concatenate(x).astype(np.int64) for x in (pres, sufs))
+        some_pre, at_pre = np.unique(pre, return_inverse=True)
+        some_suf, at_suf = np.unique(suf, return_inverse=True)
+        found, place = np.unique(at_pre * len(some_suf) + at_suf, return_inverse=True)
+        n = np.bincount(place, np.concatenate(counts), len(found)).astype(np.int64)
+        frequent = n >= LEAST
+        ids, kept = _ids(number, frequent), found[frequent]
+        made = [{
+            "block": -1, "level": length, "slice": number, "pre": some_pre[kept // len(some_suf)], "suf": some_suf[kept % len(some_suf)],
+            "id": ids[frequent], "n": n[frequent],
+        }]
+        end = 0
+        for block, own in zip(rows["block"].to_pylist(), counts, strict=True):
+            of = slice(end, end + len(own))
+            end, held = of.stop, frequent[place[of]]
+            if held.any():
+                made.append({
+                    "block": block, "level": length, "slice": number, "a": B.pack_ascending(pre[of][held].astype(U64)),
+                    "b": B.pack(suf[of][held]), "ids": B.pack_ascending(ids[place[of]][held].astype(U64)),
+                })
+        return pa.Table.from_pylist(made, schema=ANSWERS)
+
+    texts = coded.select(*TEXTS)
+    to_blocks = answers.filter("block >= 0").select("block", "level", "slice", "a", "b", "ids")
+    sent = texts.groupBy("block").cogroup(to_blocks.groupBy("block")).applyInArrow(send, "block long, slice long, a binary, b binary, counts binary")
+    return B.each_slice(sent, add, ANSWERS_SQL)
 
 
 def grown(table: DataFrame, runs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """As `grow`, on tables: the contexts of the level (id, factor), and the table (id, n, p) of the runs one symbol longer."""
+    """The contexts of a level that are kept (id, factor), and the table (id, n, p) of the runs one symbol longer; `own` is p
+    where the run's context is kept."""
     context, last = table.select(F.col("id").alias("pre"), F.col("n").alias("whole")), table.select(F.col("id").alias("suf"), F.col("p").alias("shorter"))
-    own = runs.filter("first").select("pre", "suf", "id", "n").join(context, "pre").join(last, "suf")
+    own = runs.select("pre", "suf", "id", "n").join(context, "pre").join(last, "suf")
     share = F.least((F.col("n") - F.lit(DISCOUNT)) / F.col("whole"), F.lit(1 - 1e-9))
     own = stage(own.select("pre", "id", "n", "whole", "shorter", share.alias("value")), "followers")
     # where every symbol has an entry of its own, nothing is left for others: the discounts go back to the entries
@@ -365,40 +444,75 @@ def grown(table: DataFrame, runs: DataFrame) -> tuple[DataFrame, DataFrame]:
     kept = parts.filter(gain * F.col("whole") >= LEAST_GAIN)
     contexts = stage(kept.select("pre", "scale", (F.col("left") / F.col("lent_left")).alias("factor")), "contexts")
     p = F.coalesce(F.col("value") * F.col("scale"), "shorter")
-    longer = own.join(contexts.select("pre", "scale"), "pre", "left").select("id", "n", p.alias("p"))
+    longer = own.join(contexts.select("pre", "scale"), "pre", "left").select("id", "n", p.alias("p"), (F.col("value") * F.col("scale")).alias("own"))
     return contexts.select(F.col("pre").alias("id"), "factor"), stage(longer, "level")
 
 
-def with_scores(texts: DataFrame, found: DataFrame, marks: dict[int, tuple[float, float]], totals: Totals) -> DataFrame:
+VALUED = pa.schema([
+    ("block", pa.int64()), ("level", pa.int64()), ("slice", pa.int64()), ("a", pa.binary()), ("b", pa.binary()), ("ids", pa.binary()),
+    ("p_at", pa.binary()), ("p", pa.binary()), ("factor_at", pa.binary()), ("factor", pa.binary()),
+])
+
+
+def with_values(answers: DataFrame, values: DataFrame) -> DataFrame:
+    """Answers with the figures that the tree has for their runs: `p` of a run behind a context that is kept, and `factor` of
+    a run that is such a context. `values` has (level, id, p, factor), null for none."""
+    ship_package(answers.sparkSession)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        right = right.sort_by("id")
+        known, made = right["id"].to_numpy(), left.to_pylist()
+        columns = {c: right[c].to_numpy(zero_copy_only=False).astype(np.float64) for c in ("p", "factor")}
+        for row in made:
+            ids = B.unpack_ascending(row["ids"]).astype(np.int64)
+            held = np.flatnonzero(_member(ids, known))
+            place = np.searchsorted(known, ids[held])
+            for c, of in columns.items():
+                has = ~np.isnan(of[place])
+                row[f"{c}_at"] = B.pack_ascending(held[has].astype(U64))
+                row[c] = B.pack(of[place][has].view(U64))
+        return pa.Table.from_pylist(made, schema=VALUED)
+
+    to_blocks = answers.filter("block >= 0").select("block", "level", "slice", "a", "b", "ids")
+    of_slice = values.withColumn("slice", F.shiftright("id", SLICE_SHIFT))
+    schema = "block long, level long, slice long, a binary, b binary, ids binary, p_at binary, p binary, factor_at binary, factor binary"
+    return to_blocks.groupBy("level", "slice").cogroup(of_slice.groupBy("level", "slice")).applyInArrow(run, schema)
+
+
+def with_scores(coded: DataFrame, valued: DataFrame, marks: dict[int, tuple[float, float]], totals: Totals, whole: float) -> DataFrame:
     """Figures and `score`, the log10 probability, of each text. `marks` has p and factor of the symbols that are no words."""
-    kind = texts.schema["doc_id"].dataType.simpleString()
-    ship_package(texts.sparkSession)
+    kind = coded.schema["ids"].dataType.elementType.simpleString()
+    ship_package(coded.sparkSession)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         block = Block(left, right)
-        rows, n = block.rows, block.rows.num_rows
-        count = block.found[0]["c"].to_numpy()
-        rare = block.found[0]["symbol"].to_numpy() == REST
+        n = len(block.doc_ids)
+        count, frequent = block.counts, block.frequent
         owner = np.repeat(np.arange(n), np.diff(block.offsets))
         base = np.log10(totals.base(count))
         rest = np.log10(marks[REST][0])
-        inside = np.where(rare, np.log10(np.where(count > 0, totals.known(count), totals.unknown)) - rest, 0.0)
-        column = lambda length, name: block.found[length - 1][name].to_numpy()
+        inside = np.where(frequent, 0.0, np.log10(np.where(count > 0, totals.known(count), totals.unknown)) - rest)
         ends = lambda i, of: np.concatenate([[marks[END][i], marks[REST][i]], of, [marks[START][i]]])
-        p = ends(0, column(1, "p"))[block.flat]
-        factors = ends(1, column(1, "factor"))
+        p = ends(0, totals.known(count) / whole)[block.flat]
+        of_word = np.full(len(count), np.nan)
+        of_word[frequent] = block.values(1, "factor")
+        factors = ends(1, of_word)
         for length in range(1, DEPTH + 1):
             place, context, longer = np.arange(1, len(p)), block.at(length)[:-1], block.at(length + 1)[1:]
             inner = (context >= 0) & (block.begins[1:] != place)
             hit, miss = np.flatnonzero(longer >= 0), np.flatnonzero(inner & (longer < 0))
-            p[miss + 1] *= factors[context[miss]]
-            p[hit + 1] = column(length + 1, "p")[longer[hit]]
-            factors = column(length + 1, "factor")
+            if len(miss) and len(factors):
+                factor = factors[context[miss]]
+                p[miss + 1] *= np.where(np.isnan(factor), 1.0, factor)
+            if len(hit):
+                own = block.values(length + 1, "p")[longer[hit]]
+                p[hit + 1] = np.where(np.isnan(own), p[hit + 1], own)
+            factors = block.values(length + 1, "factor")
         real = np.flatnonzero(np.arange(len(p)) != block.begins)
         score = _per_text(np.log10(p[real]), block.owner[real], n) + _per_text(inside[block.codes], owner, n)
         return pa.table({
-            "doc_id": rows["doc_id"],
-            "held_out": rows["held_out"],
+            "doc_id": block.doc_ids,
+            "held_out": pa.array(block.held_out),
             "n_tokens": pa.array(np.diff(block.offsets).astype(np.int64) + 1),
             "n_known": pa.array(_per_text((count > 0)[block.codes], owner, n).astype(np.int64) + (totals.texts > 0)),
             "base_score": pa.array(_per_text(base[block.codes], owner, n) + np.log10(totals.base(totals.texts))),
@@ -406,35 +520,39 @@ def with_scores(texts: DataFrame, found: DataFrame, marks: dict[int, tuple[float
         })
 
     made = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    return texts.groupBy("b").cogroup(found.groupBy("block")).applyInArrow(run, made)
+    return coded.select(*TEXTS).groupBy("block").cogroup(valued.groupBy("block")).applyInArrow(run, made)
 
 
 def lm_scores(docs: DataFrame, *, modulus: int = 7, remainder: int = 2) -> DataFrame:
     """Query of the operator: base figures and the tree's log10 probability of every text."""
-    coded = stage(dictionaries(docs, modulus, remainder), "coded")
-    entries = coded.filter("words IS NOT NULL").select(F.inline(F.arrays_zip("words", "counts")))
-    summed = entries.groupBy(F.col("words").alias("word")).agg(F.sum("counts").alias("c"))
-    symbol = F.when(F.col("c") >= LEAST, F.monotonically_increasing_id() + WORDS).otherwise(F.lit(REST))
-    counts = stage(summed.select("word", "c", symbol.alias("symbol")), "words")
-    texts = coded.filter("words IS NULL").select(F.col("block").alias("b"), "doc_id", "held_out", "codes")
-    totals = totals_of(counts, texts.filter("NOT held_out").count())
-    words = coded.filter("words IS NOT NULL").select("block", F.posexplode("words").alias("key", "word")).join(counts, "word")
-    known = stage(words.select("block", F.lit(1).alias("level"), F.col("key").cast("long"), F.col("symbol").alias("id"), "c"), "known")
-
-    table, members, levels = stage(symbol_table(counts, totals), "level"), [known], []
-    for length in range(2, DEPTH + 2):
-        runs = frequent_runs(texts, members, length)
-        contexts, longer = grown(table, runs)
-        levels.append(table.join(contexts, "id", "left").select("id", "p", F.coalesce("factor", F.lit(1.0)).alias("factor")))
-        table, members = longer, [*members, runs]
-    levels.append(table.select("id", "p", F.lit(1.0).alias("factor")))
-
-    marks = {r.id: (r.p, r.factor) for r in levels[0].filter(F.col("id") < WORDS).collect()}  # three
-    names = ["block", "level", "key", F.col("id").alias("symbol"), "c", "p", "factor"]
-    rare = known.filter(F.col("id") == REST).withColumns({"p": F.lit(marks[REST][0]), "factor": F.lit(marks[REST][1])})
-    common = known.filter(F.col("id") >= WORDS).join(levels[0], "id")
-    parts = [rare, common, *(m.withColumn("c", F.lit(0).cast("long")).join(v, "id") for m, v in zip(members[1:], levels[1:], strict=True))]
-    found = reduce(DataFrame.unionByName, (part.select(names) for part in parts))
-    return with_scores(texts, found, marks, totals).select(
+    spark = docs.sparkSession
+    # a word has two bytes at least, its end included; only the number of slices hangs on it
+    slices = B.slice_bits((docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 2, SLICE_WORDS)
+    with shuffles_end_with_their_query(spark):
+        coded = stage(coded_blocks(docs, modulus, remainder, slices), "coded")
+        answers = stage(word_answers(coded), "answers")
+        learned = F.size(F.filter("held_out", lambda x: ~x))
+        totals, *rare = totals_of(answers, coded.agg(F.sum(learned)).first()[0] or 0)
+        table, whole = symbol_table(answers, totals, *rare)
+        table, values = stage(table, "level"), []
+        for length in range(2, DEPTH + 2):
+            found = stage(run_answers(coded, answers, length, slices), "answers")
+            runs = found.filter("block = -1").select(F.inline(F.arrays_zip("pre", "suf", "id", "n")))
+            contexts, longer = grown(table, runs)
+            values.append(contexts.select(F.lit(length - 1).cast("long").alias("level"), "id", F.lit(None).cast("double").alias("p"), "factor"))
+            values.append(longer.filter("own IS NOT NULL").select(F.lit(length).cast("long"), "id", "own", F.lit(None).cast("double")))
+            if length == 2:
+                marks = _marks(table, contexts)
+            table, answers = longer, answers.unionByName(found)
+        both = reduce(DataFrame.union, values).groupBy("level", "id").agg(F.max("p").alias("p"), F.max("factor").alias("factor"))
+        valued = stage(with_values(answers, both), "valued")
+    return with_scores(coded, valued, marks, totals, whole).select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(totals.tokens).cast("bigint").alias("train_tokens"), "base_score", "score"
     )
+
+
+def _marks(table: DataFrame, contexts: DataFrame) -> dict[int, tuple[float, float]]:
+    """p and factor of the three symbols that are no words."""
+    three = F.col("id").isin(END, REST, START)
+    rows = table.filter(three).join(contexts.filter(three), "id", "left").select("id", "p", F.coalesce("factor", F.lit(1.0)).alias("f"))
+    return {r.id: (r.p, r.f) for r in rows.collect()}
