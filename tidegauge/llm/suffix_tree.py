@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.scale import stage
+from ..operators.scale import remove_path, stage
 from . import blocks as B
 from .blocks import U64
 from .labels import held_out
@@ -74,6 +74,13 @@ def shuffles_end_with_their_query(spark: SparkSession):
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
 
 
+def unstage(table: DataFrame) -> None:
+    """Remove a staged table that nothing reads any more."""
+    files = table.inputFiles()
+    if files:
+        remove_path(table.sparkSession, files[0].rsplit("/", 1)[0])
+
+
 def _pieces(batch: pa.RecordBatch, block_bytes: int) -> Iterator[pa.RecordBatch]:
     """Pieces of a batch of about `block_bytes` of text (a longer text is a piece of its own)."""
     sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
@@ -445,7 +452,9 @@ def grown(table: DataFrame, runs: DataFrame) -> tuple[DataFrame, DataFrame]:
     contexts = stage(kept.select("pre", "scale", (F.col("left") / F.col("lent_left")).alias("factor")), "contexts")
     p = F.coalesce(F.col("value") * F.col("scale"), "shorter")
     longer = own.join(contexts.select("pre", "scale"), "pre", "left").select("id", "n", p.alias("p"), (F.col("value") * F.col("scale")).alias("own"))
-    return contexts.select(F.col("pre").alias("id"), "factor"), stage(longer, "level")
+    longer = stage(longer, "level")
+    unstage(own)
+    return contexts.select(F.col("pre").alias("id"), "factor"), longer
 
 
 VALUED = pa.schema([
@@ -540,10 +549,13 @@ def lm_scores(docs: DataFrame, *, modulus: int = 7, remainder: int = 2) -> DataF
             runs = found.filter("block = -1").select(F.inline(F.arrays_zip("pre", "suf", "id", "n")))
             contexts, longer = grown(table, runs)
             values.append(contexts.select(F.lit(length - 1).cast("long").alias("level"), "id", F.lit(None).cast("double").alias("p"), "factor"))
-            values.append(longer.filter("own IS NOT NULL").select(F.lit(length).cast("long"), "id", "own", F.lit(None).cast("double")))
+            own = longer.filter("own IS NOT NULL").select(F.lit(length).cast("long").alias("level"), "id", "own", F.lit(None).cast("double").alias("factor"))
+            values.append(stage(own, "values"))
             if length == 2:
                 marks = _marks(table, contexts)
+            unstage(table)
             table, answers = longer, answers.unionByName(found)
+        unstage(table)
         both = reduce(DataFrame.union, values).groupBy("level", "id").agg(F.max("p").alias("p"), F.max("factor").alias("factor"))
         valued = stage(with_values(answers, both), "valued")
     return with_scores(coded, valued, marks, totals, whole).select(
