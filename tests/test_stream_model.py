@@ -28,6 +28,20 @@ def written(spark, folder, df, parts, order):
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
+def test_forest_rows_are_dealt_over_tasks(spark, monkeypatch):
+    """One input partition is trained on and scored in many tasks."""
+    from tidegauge.operators import scale
+
+    monkeypatch.setattr(scale, "COSTLY_ROWS", 50)
+    staged = []
+    monkeypatch.setattr(M, "stage", lambda df, tag: staged.append((tag, df.rdd.getNumPartitions())) or scale.stage(df, tag))
+    config = MonitorConfig(numeric=("x",), categorical=("k",), first_target="x")
+    df = spark.range(200, numPartitions=1).selectExpr("id", "cast(id % 17 as double) AS x", "cast(id % 3 as string) AS k", "cast(id % 17 > 8 as int) AS churn")
+    model = M.train(df, config, trees=2, depth=3)
+    scored = M.score(model, df, config)
+    assert staged == [("training-rows", 4)] and scored.rdd.getNumPartitions() == 4 and scored.count() == 200
+
+
 def test_route_over_batches(spark, tmp_path):
     import json
     import random

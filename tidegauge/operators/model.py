@@ -16,7 +16,7 @@ from .attribution import explain_shift
 from .drift import CURRENT, REFERENCE
 from .quantiles import quantiles_of_counts, stacked_values
 from .sample import stratified_split
-from .scale import running_totals, stage
+from .scale import running_totals, spread, stage
 
 
 def standardize(df: DataFrame, columns: Sequence[str], **limits) -> DataFrame:
@@ -85,8 +85,8 @@ def _model_frame(df: DataFrame, config: MonitorConfig) -> DataFrame:
 
 def train(df: DataFrame, config: MonitorConfig, target: str = "churn", **forest) -> PipelineModel:
     used = _model_frame(df, config).select(target, *config.numeric, *config.categorical)
-    # every stage of the pipeline reads the rows: written once, with the columns it uses
-    rows = stage(balanced_weights(used.withColumn(target, F.col(target).cast("double")), target), "training-rows")
+    # every stage of the pipeline reads the rows: written once, with the columns it uses, in files for many tasks
+    rows = stage(spread(balanced_weights(used.withColumn(target, F.col(target).cast("double")), target)), "training-rows")
     return risk_pipeline(config.numeric, config.categorical, target, seed=config.seed, **forest).fit(rows)
 
 
@@ -99,7 +99,7 @@ def save(model: PipelineModel, path: str) -> PipelineModel:
 def score(model: PipelineModel, df: DataFrame, config: MonitorConfig, out: str = "risk_score") -> DataFrame:
     """Class-1 probability and the label at the threshold (ML-09)."""
     probability = vector_to_array(F.col("probability"))[1]
-    scored = model.transform(_model_frame(df, config))
+    scored = model.transform(_model_frame(spread(df), config))
     return scored.select(
         *df.columns, probability.alias(out), (probability >= config.high_risk_threshold).cast("int").alias("high_risk")
     )
