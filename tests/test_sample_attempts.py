@@ -114,6 +114,15 @@ def test_batches_and_backoff(spark):
     assert A.backoff_check(attempt_log(spark), 6.0).agg(F.sum("off_schedule")).first()[0] == 5
 
 
+def test_every_event_has_its_batch(spark):
+    from tidegauge.plans.catalogue import load
+
+    folder = "/root/testdata/sf0.001"
+    events = spark.read.parquet(f"{folder}/events.parquet").count()
+    members = load()["batch_members"].run(spark, folder)
+    assert members.count() == 2 * events and members.select("run_id", "batch").distinct().count() == events
+
+
 def metrics(spark, n, seed=1):
     rng = random.Random(seed)
     return [("r" if i % 3 else "q", i, rng.choice([0.0, 0.0, 0.0, 0.5]), rng.choice([0.0, 0.0, 0.3]), rng.choice([10.0, 80.0, 90.0, 200.0])) for i in range(n)]
