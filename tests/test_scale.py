@@ -34,6 +34,20 @@ def test_running_totals_sliced(skewed):
             before += r[2]
 
 
+def test_records_are_dealt_over_tasks_before_they_are_judged(spark, monkeypatch):
+    """150 customers in one row group: a task per 20 of them, for records, products and events alike."""
+    from tidegauge.operators import scale
+    from tidegauge.plans import intake_queries, record_queries
+
+    monkeypatch.setattr(scale, "RECORD_ROWS", 20)
+    folder = "/root/testdata/sf0.001"
+    customers = spark.read.parquet(f"{folder}/customer.parquet").count()
+    for rows in (record_queries.user_records(spark, folder), intake_queries.events(spark, folder)):
+        assert rows.rdd.getNumPartitions() >= customers // 20
+    assert record_queries.product_records(spark, folder).rdd.getNumPartitions() >= 5
+    assert record_queries.user_records(spark, folder).select("row").distinct().count() == customers
+
+
 def test_numbering_sliced(skewed):
     _, df = skewed
     numbers = sorted(r.n for r in numbered_rows(df, ["i"], "n", **SMALL).collect())

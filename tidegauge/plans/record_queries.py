@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import EMAIL_PATTERN
 from ..operators import validate as V
-from ..operators.scale import stage
+from ..operators import scale
+from ..operators.scale import spread, stage
 from ..sources.readers import envelope_records, envelope_status, table
 from .catalogue import query
 
@@ -59,7 +60,8 @@ def user_records(spark, sf):
         "tags": F.when(n == 17, F.lit('["a",5]')).when(n == 18, F.lit('"a"')).otherwise(F.lit('["a","b"]')),
     }
     fields = [F.when(c.isNotNull(), F.concat(F.lit(f'"{k}":'), c)) for k, c in parts.items()]
-    return table(spark, sf, "customer").select(
+    rows = spread(table(spark, sf, "customer"), rows_per_task=scale.RECORD_ROWS)  # before the records, as the rows are narrow
+    return rows.select(
         F.col("c_custkey").alias("row"), F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}")).alias("text")
     )
 
@@ -149,7 +151,8 @@ def product_records(spark, sf):
         price.alias("price"),
         F.struct((F.col("p_size") - 1).alias("seller_id"), F.concat(F.lit(" "), "p_brand", F.lit(" ")).alias("region")).alias("seller"),
     )
-    return table(spark, sf, "part").select(F.col("p_partkey").alias("row"), F.to_json(record).alias("text"))
+    rows = spread(table(spark, sf, "part"), rows_per_task=scale.RECORD_ROWS)
+    return rows.select(F.col("p_partkey").alias("row"), F.to_json(record).alias("text"))
 
 
 def checked_products(spark, sf):
