@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from ..config import CANONICAL_FIELDS
 from ..operators import incremental as N
 from ..operators import ingest as I
-from ..operators.scale import own_folder, stage
+from ..operators import scale
+from ..operators.scale import own_folder, spread, stage
+from ..sources.readers import table
 from .catalogue import query
 from .tables import CUSTOMERS_SQL, customers
 
@@ -20,7 +22,12 @@ TWIN = 1_000_000_000_000
 def events(spark, sf) -> DataFrame:
     """(seq, event): nation 0 an unknown version, 1 and 2 old aliases, 3 no id, 4 sent twice, 5 a bad label, 6 no event id,
     7 broken first and sent again whole."""
-    return with_faults(customers(spark, sf))
+    return with_faults(customers(spark, sf, spread_table))
+
+
+def spread_table(spark, sf, name) -> DataFrame:
+    """A table dealt over tasks while its rows are narrow: each becomes an event that is parsed and judged."""
+    return spread(table(spark, sf, name), rows_per_task=scale.RECORD_ROWS)
 
 
 def with_faults(rows: DataFrame) -> DataFrame:
