@@ -114,6 +114,25 @@ def test_batches_and_backoff(spark):
     assert A.backoff_check(attempt_log(spark), 6.0).agg(F.sum("off_schedule")).first()[0] == 5
 
 
+@pytest.mark.parametrize("limits", [{}, {"one_task_rows": 10, "slice_rows": 15}])
+def test_events_are_evaluated_once(spark, limits):
+    """Numbering, its range cut and the runs' starts don't compute the events again."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("timestamp")
+    def marked(ts):
+        seen.add(1)
+        return ts
+
+    raw = spark.range(60).selectExpr("id AS event_id", "timestamp_seconds(id * 37 % 60) AS t", "cast(id % 2 as string) AS run_id")
+    log = A.sequenced(raw.withColumn("ts", marked.asNondeterministic()("t")), "run_id", "ts", "event_id", **limits)
+    got = {(r.run_id, r.sequence): (r.event_id, r.elapsed_ms) for r in log.collect()}
+    assert seen.value == 60
+    for run in ("0", "1"):
+        mine = sorted((i * 37 % 60, i) for i in range(60) if str(i % 2) == run)
+        assert [got[run, n] for n in range(1, 31)] == [(i, (s - mine[0][0]) * 1000.0) for s, i in mine]
+
+
 def test_every_event_has_its_batch(spark):
     from tidegauge.plans.catalogue import load
 

@@ -22,7 +22,12 @@ CHUNK, FAN = 256, 256
 
 
 def sequenced(events: DataFrame, run: str, ts: str, tie: str, **limits) -> DataFrame:
-    """Add `sequence` (1-based in time order) and `elapsed_ms` since the run's first event (WIN-06)."""
+    """Add `sequence` (1-based in time order) and `elapsed_ms` since the run's first event (WIN-06).
+
+    The events are written once: counting, cutting by range (which looks at them twice) and the runs' starts read the written rows.
+    """
+    events, rows = stage_counted(events, "sequenced-events")
+    limits.setdefault("rows", rows)
     numbered = numbered_rows(events, [ts, tie], "sequence", [run], **limits)
     start, runs = stage_counted(events.groupBy(run).agg(F.min(ts).alias("_start")), "run-starts")
     us = lambda c: F.unix_micros(c.cast("timestamp"))
