@@ -262,3 +262,24 @@ def test_a_pair_in_every_block_and_in_a_third_of_all_pairs(spark, monkeypatch):
             seen.update(zip(line, line[1:], strict=False))
     assert got == sorted(n for n in seen.values() if n >= st.LEAST)
     assert own.filter("block >= 0").select("block").distinct().count() == len(rows)
+
+
+def test_what_a_slice_says_of_a_run_takes_less_than_a_byte(spark):
+    """Answers are kept on disk until the texts are scored, a copy of each frequent run for every block that has it."""
+    r = np.random.default_rng(7)
+    words = np.minimum(r.geometric(0.002, 60_000), 3_000).reshape(30, 2_000)
+    rows = [(i, " ".join(f"w{x}" for x in np.tile(line, 8))) for i, line in enumerate(words)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(1)
+    coded = st.stage(st.coded_blocks(docs, 7, 2, 2), "coded")
+    answers = st.stage(st.word_answers(coded), "answers")
+    told = [x.asDict() for length in (2, 3) for x in _level(coded, answers, length) if x.block >= 0 and x.level == length]
+    runs = sum(len(st.B.unpack_ascending(x["ids"])) for x in told)
+    assert runs > 1_000
+    taken = sum(len(v) for x in told for v in x.values() if isinstance(v, bytearray | bytes))
+    assert taken < runs, taken / runs
+
+
+def _level(coded, answers, length):
+    for k in range(2, length + 1):
+        answers = answers.unionByName(st.stage(st.run_answers(coded, answers, k, 2), "answers"))
+    return answers.collect()
