@@ -141,3 +141,15 @@ def test_late_batches_and_idle_runs(spark, tmp_path):
     with keyed.rocks_state(spark):
         got = {(r.run_id, r.batch): (r.before, r.after) for r in drain(live, "late-levels").collect()}
     assert got == {("a", 1): (8, 4), ("a", 2): (4, 6), ("a", 3): (6, 8), ("b", 1): (8, 10), ("b", 2): (10, 12), ("b", 3): (8, 10), ("a", 4): (8, 10)}
+
+
+def test_events_of_one_file_are_dealt_before_they_are_judged(spark, tmp_path, monkeypatch):
+    judged = keyed.judged_events
+    task = F.spark_partition_id().cast("string")
+    monkeypatch.setattr(keyed, "judged_events", lambda events: judged(events).withColumn("_s_message", task))
+    rows = [(i, "no event") for i in range(400)]
+    spark.createDataFrame(rows, EVENT).coalesce(1).write.parquet(f"{tmp_path}/in")
+    keyed.route_keyed(read(spark, f"{tmp_path}/in", EVENT), f"{tmp_path}/out", f"{tmp_path}/check").awaitTermination()
+    letters = spark.read.parquet(f"{tmp_path}/out/dlq")
+    assert letters.count() == 400
+    assert letters.select("error_message").distinct().count() > 1

@@ -10,7 +10,7 @@ from ..streaming import adaptive, counters, intake, keyed, recurring
 from ..streaming.run import drain, run_folder, stream_table
 from .attempt_queries import LEVELS, TRACE_SQL, batch_metrics
 from .catalogue import query
-from .intake_queries import ROUTED_SQL, with_faults
+from .intake_queries import ROUTED_SQL, spread_table, with_faults
 from .tables import customers
 
 ship_by_value(__name__)
@@ -80,7 +80,7 @@ def sent_in_parts(spark, rows, tag, parts, hashed):
 )
 def stream_route_keyed(spark, sf):
     """The feed in four micro-batches with accepted ids in keyed state: one of two equal events is accepted, the other a duplicate."""
-    sent = with_faults(customers(spark, sf)).withColumn("seq", F.col("seq").cast("bigint"))
+    sent = with_faults(customers(spark, sf, spread_table)).withColumn("seq", F.col("seq").cast("bigint"))
     # a broken event and its whole twin come in one file, as they lie a fixed distance apart
     folder, live = sent_in_parts(spark, sent.withColumn("_k", F.col("seq") % 1_000_000_000_000), "keyed-feed", 4, ["_k"])
     keyed.route_keyed(live.drop("_k"), f"{folder}-out", f"{folder}-checkpoint").awaitTermination()
