@@ -53,6 +53,27 @@ def test_recipe_a_gates(spark):
         C.clean_sales(sales(spark).withColumn("unit_price", F.lit("-1")))
 
 
+def test_recipes_do_not_run_their_input_for_a_look(spark, monkeypatch):
+    """A look at the first row of a joined input is the whole join once it is shuffled."""
+    raw, people = sales(spark), customers(spark)
+    monkeypatch.setattr(type(raw), "isEmpty", lambda self: pytest.fail("the input was run to look at one row"))
+    assert C.clean_sales(raw)[0].count() == C.report_sales(raw).count() == 4
+    assert clean_customers(people).count() == 400
+    for recipe in (C.clean_sales, C.report_sales):
+        with pytest.raises(ValueError, match="no data"):
+            recipe(raw.filter("false"))
+    with pytest.raises(ValueError, match="no data"):
+        clean_customers(people.filter("false"))
+
+
+def test_recipe_a_takes_typed_columns(spark):
+    """Numbers that are numbers already, and text that sorts by another collation."""
+    want = sorted(tuple(r) for r in C.clean_sales(sales(spark))[0].collect())
+    for kind in ("double", "string collate unicode_ci"):
+        raw = sales(spark).withColumns({c: F.col(c).cast(kind) for c in ("quantity", "unit_price", "discount")})
+        assert sorted(tuple(r) for r in C.clean_sales(raw)[0].collect()) == want
+
+
 def test_post_fill_median_is_not_the_raw_one(spark):
     rows = [("a", "1"), ("a", None), ("a", None), ("b", "10"), ("b", None), ("c", None)]
     raw = spark.createDataFrame(rows, "category string, unit_price string").select(

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import os
+import random
 from datetime import datetime
 
 import pytest
@@ -176,3 +177,40 @@ def test_scalar_edges(spark):
     u = one(spark, N.unit_value(1, lit("a")), N.unit_value(1, lit("a")), N.unit_value(2, lit("a")), N.jittered(lit(10.0), 0.5, 1, lit("a")))
     assert u[0] == u[1] != u[2] and 0 <= u[0] < 1 and 5 <= u[3] <= 15
     assert one(spark, J.all_present(F.array(lit("a"), lit(None))), J.missing_names({"x": none, "y": lit(1)})) == (False, ["x"])
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Seoul"])
+def test_mixed_timestamps_are_cast_like_their_patterns(spark, zone):
+    draw = random.Random(3)
+    two, four = (lambda top: f"{draw.randrange(top):02d}"), (lambda: f"{draw.choice([0, 1, 1582, 1883, 1900, 2000, 2024, 2025, 9999]):04d}")
+    forms = ["{y}-{m}-{d}", "{y}-{m}-{d} {h}:{n}:{s}", "{y}-{m}-{d}T{h}:{n}:{s}", "{y}/{m}/{d}", "{m}/{d}/{y}", "{y}{m}{d}", "{y}-{m}/{d}", "{y}.{m}.{d}"]
+    texts = [
+        f.format(y=four(), m=two(14), d=two(33), h=two(26), n=two(62), s=two(62)) for f in forms for _ in range(400)
+    ] + [
+        None, "", "unknown", " 2025-01-02", "2025-01-02 ", "2025-01-02\n", "2025-1-2", "2025-01-2 ", "2025-01-2T", "+025-01-02", "2025-01-02 3:04:05", "1/2/2025 ",
+        "2025-01-02T03:04:05Z", "2025-03-09 02:30:00", "2025-11-02 01:30:00", "٢٠٢٥-01-02", "12/31/2024", "13/31/2024", "20250229", "20240229", "02/29/2023",
+    ]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = spark.createDataFrame([(t,) for t in texts], "t string").repartition(2)
+        by_pattern = D.mixed_timestamp(F.col("t"), {**D.MIXED_LAYOUTS, "dd.MM.yyyy": r"^\d{2}\.\d{2}\.\d{4}\z"})
+        both = rows.select("t", D.micros(D.mixed_timestamp(F.col("t"))).alias("cast"), D.micros(by_pattern).alias("pattern"))
+        found = both.collect()
+        assert [tuple(r) for r in found if r["cast"] != r["pattern"]] == []
+        assert sum(r["cast"] is not None for r in found) > 1000
+        plan = rows.select(D.mixed_timestamp(F.col("t")))._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert "gettimestamp" not in plan and "gettimestamp" in both._jdf.queryExecution().optimizedPlan().toString().lower()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_words_are_no_numbers_without_a_parse(spark):
+    texts = [
+        None, "", " ", "1", "-1", "+1", ".5", "-.5", "1.", "1e3", "1E-3", "1d", "1F", "0x1p3", " 1.5 ", "\t2\n", "n/a", "NaN", "nan", " nan", "+NaN", "inf", "Inf", "INF", "+inf",
+        "-inf", "Infinity", "infinity", "-Infinity", " inf ", "information", "unknown", "1,000", "$5", ":5", "e5", "E5", "d", "x1", "١٢", "１", "\u00a01", "1\u00a0", "1 2", "--1", "\x7f1",
+    ]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").repartition(2)
+    found = rows.select("t", N.to_number(F.col("t")).alias("parsed"), N.text_to_number(F.col("t")).alias("quick")).collect()
+    assert [tuple(r) for r in found if r.parsed != r.quick] == []
+    assert {r.t for r in found if r.quick == float("inf")} >= {"inf", "Infinity", "+inf"}

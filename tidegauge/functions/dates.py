@@ -16,11 +16,28 @@ MIXED_LAYOUTS = {
 }
 
 
+_MIXED_SHAPE = "|".join(MIXED_LAYOUTS.values())
+
+
+def _as_iso(c: Column) -> Column:
+    """ISO text of a text in one of `MIXED_LAYOUTS`."""
+    us = F.concat_ws("-", F.substring(c, 7, 4), F.substring(c, 1, 2), F.substring(c, 4, 2))
+    plain = F.concat_ws("-", F.substring(c, 1, 4), F.substring(c, 5, 2), F.substring(c, 7, 2))
+    return (
+        F.when(F.octet_length(c) == 8, plain)
+        .when(F.substring(c, 3, 1) == "/", us)
+        .otherwise(F.replace(c, F.lit("/"), F.lit("-")))
+    )
+
+
 def mixed_timestamp(c: Column, layouts: dict[str, str] = MIXED_LAYOUTS) -> Column:
     """Timestamp under the layout whose shape fits; null where none does.
 
-    The shape is tested first: a parse that fails costs an exception per row.
+    The shape is tested first: a parse that fails costs an exception per row. The usual layouts are tested at once and cast from
+    ISO text, which takes a fraction of a pattern's time; others are tried one by one.
     """
+    if layouts == MIXED_LAYOUTS:
+        return F.when(c.rlike(_MIXED_SHAPE), _as_iso(c).try_cast("timestamp"))
     out = F.lit(None).cast("timestamp")
     for layout, shape in reversed(layouts.items()):
         out = F.when(c.rlike(shape), F.try_to_timestamp(c, F.lit(layout))).otherwise(out)

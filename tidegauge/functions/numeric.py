@@ -16,6 +16,16 @@ def to_number(c: Column) -> Column:
     return nan_to_null(c.try_cast("double"))
 
 
+def text_to_number(c: Column) -> Column:
+    """`to_number` of a text column (binary collation).
+
+    A failed parse costs an exception per row, so words are not tried: a number starts with a digit, sign, point or blank, all of
+    them below ":", or is spelled "inf".
+    """
+    may_parse = (c < ":") | c.startswith("i") | c.startswith("I")
+    return nan_to_null(F.when(may_parse, c.try_cast("double")))
+
+
 def positive_or_null(c: Column) -> Column:
     return F.when(c > 0, c)
 

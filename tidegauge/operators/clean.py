@@ -10,11 +10,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import from_micros, micros, mixed_timestamp
-from ..functions.numeric import clip, fill, positive_or_null, to_number
+from ..functions.numeric import clip, fill, positive_or_null, text_to_number, to_number
 from ..functions.text import strip
-from ..sources.gates import require_columns, require_rows
+from ..sources.gates import require_columns
 from .profile import missing_cells
 from .quantiles import quantiles_of_counts, stacked_values
 from .scale import lookup, stage_counted
@@ -26,7 +27,7 @@ UNKNOWN = "Unknown"
 
 
 class FillStatistics:
-    """Value counts of some columns, with missing values counted under a null value."""
+    """Value counts of some columns, with missing values counted under a null value; fails on an empty input."""
 
     def __init__(self, df: DataFrame, columns: dict[str, Column], group: Column, grouped: Sequence[str], **limits):
         long = stacked_values(df.withColumn("_grp", group), columns, [F.col("_grp").alias("grp")])
@@ -34,6 +35,9 @@ class FillStatistics:
         own_group = F.when(F.col("feature").isin(*grouped), F.col("grp"))
         counts = long.groupBy("feature", own_group.alias("grp"), "value").agg(F.count(F.lit(1)).alias("n"))
         self.counts, self.rows = stage_counted(counts, "fill-counts")
+        # every row gives counts, null values too; asking the input itself would run its joins once more
+        if not self.rows:
+            raise ValueError("there is no data to work on")
         self.limits = limits
 
     def _quantiles(self, counts: DataFrame, probs: Sequence[float], keys: Sequence[str]) -> DataFrame:
@@ -128,15 +132,21 @@ def with_amount(df: DataFrame) -> DataFrame:
     return df.withColumn("amount", F.col("quantity") * F.col("unit_price") * (1 - F.col("discount")))
 
 
+def _number(df: DataFrame, name: str) -> Column:
+    """Number or null of a column, by the cheaper way if it is text."""
+    is_text = df.schema[name].dataType == T.StringType()  # not another collation, whose order differs
+    return text_to_number(F.col(name)) if is_text else to_number(F.col(name))
+
+
 def typed_sales(raw: DataFrame) -> DataFrame:
     """Coerced sales columns; nothing filled yet except discount."""
     return raw.select(
         *[
             {
                 "order_date": mixed_timestamp(F.col("order_date")).alias("order_date"),
-                "quantity": to_number(F.col("quantity")).alias("quantity"),
-                "unit_price": to_number(F.col("unit_price")).alias("unit_price"),
-                "discount": clip(fill(to_number(F.col("discount")), 0.0), 0.0, 1.0).alias("discount"),
+                "quantity": _number(raw, "quantity").alias("quantity"),
+                "unit_price": _number(raw, "unit_price").alias("unit_price"),
+                "discount": clip(fill(_number(raw, "discount"), 0.0), 0.0, 1.0).alias("discount"),
                 "category": fill(F.col("category"), UNKNOWN).alias("category"),
                 "region": fill(F.col("region"), UNKNOWN).alias("region"),
             }.get(c, F.col(c))
@@ -147,7 +157,7 @@ def typed_sales(raw: DataFrame) -> DataFrame:
 
 def clean_sales(raw: DataFrame, **limits) -> tuple[DataFrame, dict]:
     """Recipe A: keep every row, fill, winsorize, add amount. Returns the rows and the fences used."""
-    require_columns(require_rows(raw), SALES_COLUMNS)
+    require_columns(raw, SALES_COLUMNS)
     typed = typed_sales(raw).withColumn("unit_price", positive_or_null(F.col("unit_price")))
     stats = FillStatistics(
         typed,
@@ -187,8 +197,8 @@ def sales_metrics(raw: DataFrame, clean: DataFrame, bounds: dict) -> DataFrame:
     before = raw.agg(
         F.struct(
             missing_cells(raw, list(SALES_COLUMNS)).alias("missing"),
-            F.max(to_number(F.col("unit_price"))).alias("price"),
-            F.max(to_number(F.col("quantity"))).alias("quantity"),
+            F.max(_number(raw, "unit_price")).alias("price"),
+            F.max(_number(raw, "quantity")).alias("quantity"),
         ).alias("b")
     ).scalar()
     after = clean.agg(
@@ -216,7 +226,7 @@ def sales_metrics(raw: DataFrame, clean: DataFrame, bounds: dict) -> DataFrame:
 
 def report_sales(raw: DataFrame, **limits) -> DataFrame:
     """Recipe B: fill from medians that include negative prices, then drop rows without positive price and quantity."""
-    require_columns(require_rows(raw), REPORT_COLUMNS)
+    require_columns(raw, REPORT_COLUMNS)
     typed = typed_sales(raw.select(*REPORT_COLUMNS))
     stats = FillStatistics(
         typed, {"unit_price": F.col("unit_price"), "quantity": F.col("quantity")}, F.col("category"), ["unit_price"], **limits
@@ -245,7 +255,7 @@ def clean_customers(
 
     Nothing is clipped or dropped; the target is coerced and left unfilled. Pair it with `quality_snapshot(raw)`.
     """
-    require_rows(require_columns(raw, required))
+    require_columns(raw, required)
     typed = raw.select(
         *[
             to_number(F.col(c)).alias(c)
