@@ -214,3 +214,15 @@ def test_words_are_no_numbers_without_a_parse(spark):
     found = rows.select("t", N.to_number(F.col("t")).alias("parsed"), N.text_to_number(F.col("t")).alias("quick")).collect()
     assert [tuple(r) for r in found if r.parsed != r.quick] == []
     assert {r.t for r in found if r.quick == float("inf")} >= {"inf", "Infinity", "+inf"}
+
+
+def test_rounded_is_round(spark):
+    draw = random.Random(5)
+    values = [None, 0.0, -0.0, float("nan"), float("inf"), float("-inf"), 1e300, 1e14, 1e10 + 0.00005, 123456789.00005, -2.00005, 5e-324, 1e-7, 0.00005, 2.5e-7]
+    values += [draw.randrange(10**9) / 10**draw.randrange(9) for _ in range(4000)]
+    values += [draw.randrange(10**8) / 10**4 + 0.00005 for _ in range(2000)] + [draw.randrange(10**8) / 10**6 + 0.0000005 for _ in range(2000)]
+    values += [draw.uniform(-1, 1) * 10 ** draw.randrange(16) for _ in range(4000)]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").repartition(2)
+    both = [(F.round("v", d).cast("string").alias(f"r{d}"), N.rounded(F.col("v"), d).cast("string").alias(f"q{d}")) for d in (0, 2, 4, 6)]
+    found = rows.select("v", *[c for pair in both for c in pair]).collect()
+    assert [r for r in found if any(r[f"r{d}"] != r[f"q{d}"] for d in (0, 2, 4, 6))] == []

@@ -40,6 +40,18 @@ def clip(c: Column, low: Column | float | None = None, high: Column | float | No
     return F.when(c.isNotNull(), out)
 
 
+def rounded(c: Column, digits: int) -> Column:
+    """`F.round` of a double, half up, without its decimal arithmetic where the result is plain.
+
+    For a positive value below 1e14 units of the last digit, 0.1 units or more away from a tie, the nearest number of units is certain,
+    and its division by a power of ten is the correctly rounded result. All others take `F.round`.
+    """
+    unit = float(10**digits)
+    scaled = c * unit
+    plain = (c > 0) & (c < 1e14 / unit) & (F.abs(scaled - F.rint(scaled)) < 0.4)
+    return F.when(plain, F.rint(scaled) / unit).otherwise(F.round(c, digits))
+
+
 def half_even(c: Column, digits: int = 0) -> Column:
     return F.bround(c, digits)
 

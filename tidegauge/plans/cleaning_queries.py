@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..config import CANONICAL_FIELDS, NUMERIC_FEATURES
-from ..functions.numeric import masked, positive_or_null, scaled_with_cap
+from ..functions.numeric import masked, positive_or_null, rounded, scaled_with_cap
 from ..operators import clean as C
 from ..operators.aggregate import category_summary, pivot_sum
 from ..operators.profile import casualties, null_rates, quality_snapshot
@@ -126,10 +126,10 @@ def clean_a(spark, sf):
         F.date_format("order_date", "yyyy-MM-dd").alias("order_date"),
         "region",
         "category",
-        F.round("quantity", 4).alias("quantity"),
-        F.round("unit_price", 4).alias("unit_price"),
+        rounded(F.col("quantity"), 4).alias("quantity"),
+        rounded(F.col("unit_price"), 4).alias("unit_price"),
         "discount",
-        F.round("amount", 6).alias("amount"),
+        rounded(F.col("amount"), 6).alias("amount"),
     )
 
 
