@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import partial
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import DecisionTreeClassificationModel, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -15,8 +19,15 @@ from ..config import MonitorConfig
 from .attribution import explain_shift
 from .drift import CURRENT, REFERENCE
 from .quantiles import quantiles_of_counts, stacked_values
-from .sample import stratified_split
-from .scale import running_totals, spread, stage
+from .sample import poisson_counts, stratified_split
+from .scale import SLICE_ROWS, lookup, running_totals, spread, stage, stage_counted
+
+# Rows up to which each row by itself grows the forest and passes it; beyond, equal rows are counted and do so once.
+FOREST_ROWS = 500_000
+# Values that stand for a number in a forest: Spark's cut a number at no more than BINS - 1 places (`maxBins`).
+BINS = 32
+# Nodes of a forest whose cuts the driver reads.
+READ_NODES = 250_000
 
 
 def standardize(df: DataFrame, columns: Sequence[str], **limits) -> DataFrame:
@@ -83,11 +94,100 @@ def _model_frame(df: DataFrame, config: MonitorConfig) -> DataFrame:
     )
 
 
-def train(df: DataFrame, config: MonitorConfig, target: str = "churn", **forest) -> PipelineModel:
+def train(df: DataFrame, config: MonitorConfig, target: str = "churn", *, few_rows: int | None = None, **forest) -> PipelineModel:
+    """Fit the risk pipeline on all rows; above `few_rows` its forest grows on counts of equal rows (`_forest_of_counts`)."""
     used = _model_frame(df, config).select(target, *config.numeric, *config.categorical)
     # every stage of the pipeline reads the rows: written once, with the columns it uses, in files for many tasks
     rows = stage(spread(balanced_weights(used.withColumn(target, F.col(target).cast("double")), target)), "training-rows")
-    return risk_pipeline(config.numeric, config.categorical, target, seed=config.seed, **forest).fit(rows)
+    pipeline = risk_pipeline(config.numeric, config.categorical, target, seed=config.seed, **forest)
+    n = rows.count()
+    if n <= (FOREST_ROWS if few_rows is None else few_rows):
+        return pipeline.fit(rows)
+    *steps, classifier = pipeline.getStages()
+    prepared = Pipeline(stages=steps).fit(rows)
+    counted, n_counted = stage_counted(_equal_rows(prepared.stages[0].transform(rows), config, target), "equal-rows")
+    if 2 * n_counted * classifier.getMinInstancesPerNode() > n:  # counts would be no fewer
+        return PipelineModel([*prepared.stages, classifier.fit(prepared.transform(rows))])
+    return PipelineModel([*prepared.stages, _forest_of_counts(classifier, prepared.transform(counted), n_counted, config)])
+
+
+def _levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[float]]:
+    """At most BINS values of each column, in order: all its values, or quantiles if it has more."""
+    about = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+    few = [c for c in columns if about[c] <= 2 * BINS]
+    found = df.agg(*[F.collect_set(c).alias(c) for c in few]).first().asDict() if few else {}
+    many = [c for c in columns if c not in found or len(found[c]) > BINS]
+    if many:
+        found |= zip(many, df.approxQuantile(many, [(i + 0.5) / BINS for i in range(BINS)], 0.001))
+    return {c: sorted(set(found[c])) for c in columns}
+
+
+def _between(x: Column, cuts: Sequence[float], values: Sequence) -> Column:
+    """The value whose place among the cuts x has; x equal to a cut lies below it, as in a tree."""
+    out = F.lit(values[-1])
+    if cuts:
+        first, *rest = zip(cuts, values)
+        chain = F.when(x <= first[0], first[1])
+        for cut, value in rest:
+            chain = chain.when(x <= cut, value)
+        out = chain.otherwise(out)
+    return out
+
+
+def _equal_rows(filled: DataFrame, config: MonitorConfig, target: str) -> DataFrame:
+    """How many rows have the same label, weight and categories and numbers nearest to the same level.
+
+    A forest puts its cuts midway between the levels, so rows that are counted together are never on two sides of one.
+    """
+    levels = {c: v for c, v in zip(config.numeric, _levels(filled, [f"{c}_filled" for c in config.numeric]).values())}
+    near = [
+        _between(F.col(f"{c}_filled"), [(a + b) / 2 for a, b in zip(v, v[1:])], v).alias(c) for c, v in levels.items()
+    ]
+    return filled.groupBy(target, "weight", *near, *config.categorical).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _forest_of_counts(
+    classifier: RandomForestClassifier, counted: DataFrame, rows: int, config: MonitorConfig
+) -> RandomForestClassificationModel:
+    """The forest of all rows, grown from `n` rows of each kind.
+
+    A tree draws every row a Poisson(1) number of times, so n equal rows a Poisson(n) number of times in all. Those enter as up to
+    `leaf` instances with the weight of all, so a node holds `leaf` instances exactly if it holds `leaf` drawn rows.
+    """
+    spark, target = counted.sparkSession, classifier.getLabelCol()
+    trees, leaf = classifier.getNumTrees(), classifier.getMinInstancesPerNode()
+    classes = int(counted.agg(F.max(target)).first()[0]) + 1
+    labels = {"ml_attr": {"type": "nominal", "name": target, "vals": [str(i) for i in range(classes)]}}
+    kind = F.xxhash64(target, *config.numeric, *config.categorical)
+    tasks = -(-rows * leaf // SLICE_ROWS)
+    dealt = counted.withColumn("_kind", kind).repartition(max(tasks, spark.sparkContext.defaultParallelism))
+    draws = dealt.withColumn("_draws", poisson_counts(F.col("n"), F.col("_kind"), config.seed, trees)).select(
+        F.col(target).alias(target, metadata=labels), "weight", "features", *[F.col("_draws")[i].alias(f"_{i}") for i in range(trees)]
+    )
+    draws = stage(draws, "draws")  # a tree reads its own column
+
+    def grow(i: int) -> DecisionTreeClassificationModel:
+        n = F.col(f"_{i}")
+        pieces = F.least(n, F.lit(leaf))
+        share = F.explode(F.array_repeat(F.col("weight") * n / pieces, pieces.cast("int"))).alias("weight")
+        one = {
+            classifier.numTrees: 1, classifier.bootstrap: False, classifier.seed: classifier.getSeed() + i,
+            classifier.featureSubsetStrategy: "sqrt" if trees > 1 else "all",
+        }
+        return classifier.copy(one).fit(draws.filter(n > 0).select(target, "features", share).coalesce(tasks)).trees[0]
+
+    # each call is wrapped by itself: a wrapper holds one copy of the caller's job properties
+    calls = [inheritable_thread_target(spark)(partial(grow, i)) for i in range(trees)]
+    with ThreadPool(min(trees, spark.sparkContext.defaultParallelism)) as pool:
+        grown = pool.map(lambda call: call(), calls)
+    jvm = spark.sparkContext._jvm.org.apache.spark.ml.classification
+    array = spark.sparkContext._gateway.new_array(jvm.DecisionTreeClassificationModel, trees)
+    for i, tree in enumerate(grown):
+        array[i] = tree._java_obj
+    model = jvm.RandomForestClassificationModel(classifier.uid, array, grown[0].numFeatures, grown[0].numClasses)
+    forest = classifier._copyValues(RandomForestClassificationModel(model))
+    forest._transfer_params_to_java()
+    return forest
 
 
 def save(model: PipelineModel, path: str) -> PipelineModel:
@@ -96,13 +196,47 @@ def save(model: PipelineModel, path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def score(model: PipelineModel, df: DataFrame, config: MonitorConfig, out: str = "risk_score") -> DataFrame:
-    """Class-1 probability and the label at the threshold (ML-09)."""
+def score(
+    model: PipelineModel, df: DataFrame, config: MonitorConfig, out: str = "risk_score", *, few_rows: int | None = None
+) -> DataFrame:
+    """Class-1 probability and the label at the threshold (ML-09); above `few_rows`, rows no tree tells apart pass the forest once."""
+    rows = df.count()
     probability = vector_to_array(F.col("probability"))[1]
-    scored = model.transform(_model_frame(spread(df), config))
-    return scored.select(
-        *df.columns, probability.alias(out), (probability >= config.high_risk_threshold).cast("int").alias("high_risk")
-    )
+    dealt = _model_frame(spread(df, rows=rows), config)
+    scored = None
+    if rows > (FOREST_ROWS if few_rows is None else few_rows) and model.stages[-1].totalNumNodes <= READ_NODES:
+        scored = _scored_by_kind(model, dealt, rows, config, probability)
+    if scored is None:
+        scored = model.transform(dealt).withColumn("_risk", probability)
+    risk = F.col("_risk")
+    return scored.select(*df.columns, risk.alias(out), (risk >= config.high_risk_threshold).cast("int").alias("high_risk"))
+
+
+def _cuts(forest: RandomForestClassificationModel, numbers: int) -> list[list[float]]:
+    """Where the trees cut each of the first `numbers` features."""
+    cuts = [set() for _ in range(numbers)]
+    for feature, cut in re.findall(r"If \(feature (\d+) <= ([^)]+)\)", forest.toDebugString):
+        if int(feature) < numbers:
+            cuts[int(feature)].add(float(cut))
+    return [sorted(c) for c in cuts]
+
+
+def _scored_by_kind(model: PipelineModel, df: DataFrame, rows: int, config: MonitorConfig, risk: Column) -> DataFrame | None:
+    """Rows with `_risk`: those with the same categories and numbers between the same cuts reach the same leaves of every tree.
+
+    None if the rows are of too many kinds for it.
+    """
+    scaled = PipelineModel(model.stages[:-1]).transform(df).withColumn("_scaled", vector_to_array("scaled"))
+    cuts = _cuts(model.stages[-1], len(config.numeric))
+    places = [_between(F.col("_scaled")[i], c, range(len(c) + 1)).alias(f"_place{i}") for i, c in enumerate(cuts)]
+    placed = stage(scaled.select(*df.columns, *places), "placed")
+    kind = [*[f"_place{i}" for i in range(len(cuts))], *config.categorical]
+    # any numbers of a kind will do, each by itself: the least needs no sort
+    kinds, n = stage_counted(placed.groupBy(*kind).agg(*[F.min(c).alias(c) for c in config.numeric]), "kinds")
+    if 2 * n > rows:
+        return None
+    passed = model.transform(spread(kinds, rows=n)).select(*kind, risk.alias("_risk"))
+    return lookup(placed, stage(passed, "kind-risks"), kind, table_rows=n)
 
 
 def auc(scored: DataFrame, label: str, value: str, keys: Sequence[str] = (), **limits) -> DataFrame:

@@ -13,6 +13,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -148,6 +150,17 @@ def poisson_draws(mean: Column, seed: int, *keys: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(POISSON_TOP)), start, add, lambda at: at["n"])
 
 
+def poisson_counts(mean: Column, key: Column, seed: int, times: int) -> Column:
+    """`times` independent Poisson numbers of any mean per row, the same for the same seed and (long) key in every run."""
+
+    @F.pandas_udf("array<bigint>")
+    def draw(means: pd.Series, keys: pd.Series) -> pd.Series:
+        streams = (np.random.default_rng([seed % 2**64, int(k) % 2**64]) for k in keys)
+        return pd.Series([r.poisson(m, times) for r, m in zip(streams, means)], dtype=object)
+
+    return draw(mean, key)
+
+
 def poisson_resample(
     df: DataFrame, key: str, weight: Column, seed: int, *, copy: str = "copy", chunk_draws: int = CHUNK_DRAWS
 ) -> DataFrame:
